@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference is one batch script (no watermark, window, state or late data); the mart is
+rebuilt per period and appended.  Nothing here re-implements a stream.
+"""
