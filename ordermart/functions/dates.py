@@ -48,8 +48,8 @@ def week_of_year_sunday(c: ColumnOrName) -> Column:
 
 
 def iso_weekday(c: ColumnOrName) -> Column:
-    """Monday = 1 … Sunday = 7, as ``MOD(DAYOFWEEK + 5, 7) + 1``."""
-    return F.pmod(F.dayofweek(_c(c)) + F.lit(5), F.lit(7)) + F.lit(1)
+    """Monday = 1 … Sunday = 7, as ``MOD(DAYOFWEEK + 5, 7) + 1`` (INT64)."""
+    return (F.pmod(F.dayofweek(_c(c)) + F.lit(5), F.lit(7)) + F.lit(1)).cast("bigint")
 
 
 def month_diff(later: ColumnOrName, earlier: ColumnOrName) -> Column:

@@ -104,7 +104,7 @@ def user_month_join(users: DataFrame) -> JoinSpec:
         "dmart_activation_period": "activation_period"}, name="L16 user months")
 
 
-def customer_month_joins(src: dict[str, DataFrame], month_aggs: DataFrame) -> list[JoinSpec]:
+def customer_month_joins(src: dict[str, DataFrame], month_aggs: DataFrame | None = None) -> list[JoinSpec]:
     """L12, L18, L19, L22 and the customer-month window aggregates, all on (customer, month)."""
     gt_cols = ("bop_level_0", "bop_level_1", "bop_level_2", "benefit_segment", "platform_current_frequency",
                "month_dechurned", "sundays_boolean", "sundays_boolean_last_month", "activated_by",
@@ -119,9 +119,9 @@ def customer_month_joins(src: dict[str, DataFrame], month_aggs: DataFrame) -> li
             "crm_pe_dm_cluster": "final_dm_cluster", "crm_pe_dmart_cluster": "dmart_cluster",
             "crm_pe_dmart_cluster_prior_month": "dmart_cluster_prior_month"}, name="L19 clustering"),
         JoinSpec(src["dmart_growth_tracker"], CUST_MONTH, USER_MONTH, _same(*gt_cols), name="L22 growth tracker"),
+    ] + ([] if month_aggs is None else [
         JoinSpec(month_aggs, CUST_MONTH, CUST_MONTH,
-                 _same(*[c for c in month_aggs.columns if c not in CUST_MONTH]), name="W16-W18"),
-    ]
+                 _same(*[c for c in month_aggs.columns if c not in CUST_MONTH]), name="W16-W18")])
 
 
 def user_income_with_max(s11: DataFrame) -> DataFrame:
@@ -135,7 +135,7 @@ def user_income_with_max(s11: DataFrame) -> DataFrame:
     return s11.join(maxes, "join_user_id", "left")
 
 
-def customer_joins(src: dict[str, DataFrame], cust_aggs: DataFrame) -> list[JoinSpec]:
+def customer_joins(src: dict[str, DataFrame], cust_aggs: DataFrame | None = None) -> list[JoinSpec]:
     return [
         JoinSpec(src["agg_user_lifecycle"], ["k_cust"], ["join_user_id"], {
             "health_status": "health_status", "h_int_type": "intermittency_type", "h_funnel": "funnel",
@@ -145,9 +145,9 @@ def customer_joins(src: dict[str, DataFrame], cust_aggs: DataFrame) -> list[Join
             "dh_age_prediction": "dh_age_prediction_max", "dh_gender_prediction": "dh_gender_prediction_max",
             "u_cell_segment": "u_cell_segment", "u_income": "u_income", "u_segmemnt": "segment_max",
             "u_user_demographic_group": "user_demographic_group_max"}, name="L11 income + W11"),
+    ] + ([] if cust_aggs is None else [
         JoinSpec(cust_aggs, ["k_cust"], ["k_cust"], _same(*[c for c in cust_aggs.columns if c != "k_cust"]),
-                 name="W14"),
-    ]
+                 name="W14")])
 
 
 def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame | None = None) -> DataFrame:
