@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -24,7 +24,8 @@ class RunConfig:
     prune_spine: bool = True
     # minute buckets that split a hot customer's rows before ranking them (operators.windows)
     rank_segment: str = "minute"
-    thresholds: dict = field(default_factory=dict)
+    # materialise the order rows once all order-keyed joins are done (session.cut_lineage)
+    checkpoint_joined: bool = True
 
     @property
     def period_start(self) -> dt.date:

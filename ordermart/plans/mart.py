@@ -6,10 +6,11 @@ Plan shape (wide side = one row per order, times join fan-out):
 2. W15 joined back on (customer, week) while rows are still narrow;
 3. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23): one shuffle of the left side;
 4. L16 on (user from the order fact, month);
-5. W14/W16/W17/W18 as aggregates of that result (partial aggregation, no per-customer sort);
-6. customer-month joins (L12 L18 L19 L22 + the month aggregates): one shuffle;
-7. customer joins (L10 L11 with W11 folded into the right side + the first-order aggregate);
-8. W12/W13 running numbers in (customer, minute) segments: one shuffle;
+5. customer-month joins (L12 L18 L19 L22): one shuffle;
+6. customer joins (L10, L11 with W11 folded into the right side): one shuffle;
+7. lineage cut (reliable checkpoint in ``spark.checkpoint.dir``);
+8. W12-W14, W16-W18 from small aggregate tables folded per (customer, minute segment),
+   joined back after one shuffle of the rows on (customer, segment) (``customer_windows``);
 9. final projection in the published column order.
 
 Customer keys go through ``null_safe_key`` so the NULL customer, one window partition in
@@ -19,22 +20,17 @@ that key value, so their joins are unchanged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart import config as C
 from ordermart.config import RunConfig
+from ordermart.session import cut_lineage
 from ordermart.functions import rules as R
 from ordermart.functions.dates import hour_of, iso_weekday, week_monday, week_of_year_sunday, year_start
 from ordermart.functions.numeric import flag, net_of_tax
 from ordermart.operators.joins import JoinSpec, enrich
-from ordermart.operators.windows import (
-    first_values,
-    group_aggregate,
-    null_safe_key,
-    sequence_numbers,
-    time_segment,
-)
+from ordermart.operators.windows import first_values, group_aggregate, null_safe_key, time_segment
 from ordermart.plans import orders as O
 from ordermart.plans import users as U
 
@@ -165,32 +161,68 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
 
     if users is None:
         users = U.user_months(src, cfg, U.spine_floor(cfg))
-    df = enrich(s, order_joins(src) + [user_month_join(users)])
-
-    # One aggregate per (customer, month)
+    # every source join, grouped by key: order, user-month, customer-month, customer
+    df = enrich(s, order_joins(src) + [user_month_join(users)] + customer_month_joins(src) + customer_joins(src))
+    if cfg.checkpoint_joined:
+        # the window step reads these rows four times (three small aggregates + the rows)
+        df = cut_lineage(df)
+    return customer_windows(df, cfg)
+
+
+def customer_windows(df: DataFrame, cfg: RunConfig) -> DataFrame:
+    """W12, W13, W14, W16, W17, W18 on the fully joined rows, with one shuffle of them.
+
+    Every value is first computed into small tables keyed by customer (W14), customer-month
+    (W16-W18) or customer-month-minute (row counts); partial aggregation keeps a hot
+    customer from landing in one task.  They are folded into one table keyed by
+    (customer, minute segment) and joined back after the rows are shuffled on
+    (customer, segment), the same shuffle the running numbers need."""
+    seg = time_segment("order_timestamp", cfg.rank_segment)
+    d = df.withColumn("_seg", seg)
     act = R.month_activation_expressions("coupon_used_amount", "plus_order", "plus_item_level", "crm_vertical")
-    month_aggs = df.groupBy(*CUST_MONTH).agg(
+    month_cols = [*act, "has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2"]
+    month_aggs = d.groupBy(*CUST_MONTH).agg(
         F.min(F.struct(*[F.col(c) for c in FIRST_ORDER], *[e.alias(n) for n, e in act.items()])).alias("_first"),
         F.max(flag(F.col("mission_type") == "Stock Up")).alias("has_stock_up_mission"),
         F.max(flag(F.col("mission_type") == "Fill In")).alias("has_fill_in_mission"),
         F.max(flag(F.col("_mission") == "Stock Up")).alias("user_has_stock_up_v2"),
         F.max(flag(F.col("_mission") == "Fill In")).alias("user_has_fill_in_v2"),
-    ).select(*CUST_MONTH, *[F.col("_first").getField(n).alias(n) for n in act],
-             "has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2")
-    # First order of each customer in the period
+    ).select(*CUST_MONTH, *[F.col("_first").getField(n).alias(n) for n in act], *month_cols[len(act):])
     first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
                                       "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
                                       "crm_vertical")
-    cust_aggs = first_values(df, ["k_cust"], FIRST_ORDER, first)
-
-    df = enrich(df, customer_month_joins(src, month_aggs) + customer_joins(src, cust_aggs))
-
-    # Running order numbers over the fanned rows
-    df = sequence_numbers(
-        df, {"order_number": ["k_cust"], "order_num_month": ["k_cust", "join_order_month"]},
-        order_by=[*FIRST_ORDER, *FANOUT_ORDER],
-        segment=time_segment("order_timestamp", cfg.rank_segment), base_keys=["k_cust"])
-    return df
+    cust_aggs = first_values(d, ["k_cust"], FIRST_ORDER, first)
+
+    # offsets of the running numbers: rows of the customer (resp. customer-month) in earlier segments
+    counts = d.groupBy("k_cust", "join_order_month", "_seg").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.unboundedPreceding, -1
+    per_seg = counts.groupBy("k_cust", "_seg").agg(F.sum("_n").alias("_ns"))
+    per_seg = per_seg.withColumn("_off_all", F.coalesce(F.sum("_ns").over(
+        Window.partitionBy("k_cust").orderBy("_seg").rowsBetween(*before)), F.lit(0)))
+    counts = counts.withColumn("_off_month", F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*CUST_MONTH).orderBy("_seg").rowsBetween(*before)), F.lit(0)))
+    per_month = counts.join(month_aggs, CUST_MONTH, "left")
+    packed = F.map_from_entries(F.collect_list(F.struct(
+        F.col("join_order_month"), F.struct("_off_month", *month_cols))))
+    table = (per_month.groupBy("k_cust", "_seg").agg(packed.alias("_by_month"))
+             .join(per_seg.drop("_ns"), ["k_cust", "_seg"])
+             .join(cust_aggs, "k_cust", "left"))
+
+    # the rows: one shuffle on (customer, segment); local numbers inside bounded groups
+    order = [F.col(c) for c in [*FIRST_ORDER, *FANOUT_ORDER]]
+    rows = d.repartition(F.col("k_cust"), F.col("_seg"))
+    rows = rows.withColumns({
+        "_rn_all": F.row_number().over(Window.partitionBy("k_cust", "_seg").orderBy(*order)),
+        "_rn_month": F.row_number().over(Window.partitionBy("k_cust", "join_order_month", "_seg").orderBy(*order)),
+    })
+    out = rows.join(table, ["k_cust", "_seg"], "left")
+    m = F.element_at(F.col("_by_month"), F.col("join_order_month"))
+    out = out.withColumns({
+        "order_number": (F.col("_rn_all") + F.col("_off_all")).cast("bigint"),
+        "order_num_month": (F.col("_rn_month") + m.getField("_off_month")).cast("bigint"),
+        **{c: m.getField(c) for c in month_cols},
+    })
+    return out.drop("_seg", "_rn_all", "_rn_month", "_off_all", "_by_month")
 
 
 def final_projection(k: DataFrame) -> DataFrame:

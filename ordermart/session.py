@@ -65,3 +65,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="ordermart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return local
+
+
+def cut_lineage(df):
+    """Materialise ``df`` with a reliable checkpoint in the shared checkpoint directory.
+
+    Later branches (aggregates joined back, running numbers) then read the written rows
+    instead of re-running the joins above, and a lost executor costs a re-read, not a
+    recomputation of the whole upstream plan.  Output partitioning is kept."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
