@@ -33,3 +33,4 @@ def test_sources(spark: SparkSession, sf_dir: str, cfg: RunConfig = TEST_CONFIG,
 def run_mart(spark: SparkSession, sf_dir: str, cfg: RunConfig = TEST_CONFIG) -> DataFrame:
     from ordermart.plans.mart import order_mart
     return order_mart(test_sources(spark, sf_dir, cfg), cfg)
+test_sources.__test__ = False  # not a pytest test
