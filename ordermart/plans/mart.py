@@ -1,20 +1,20 @@
 """C15 (order enrichment) and C16 (published projection), plus ``publish`` (K1).
 
-Plan shape (wide side = one row per order, times join fan-out):
-
-1. order rollup (C14): one aggregate over the period's lines;
-2. W15 joined back on (customer, week) while rows are still narrow;
-3. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23): one shuffle of the left side;
-4. L16 on (user from the order fact, month);
-5. customer-month joins (L12 L18 L19 L22): one shuffle;
-6. customer joins (L10, L11 with W11 folded into the right side): one shuffle;
-7. lineage cut (reliable checkpoint in ``spark.checkpoint.dir``);
-8. W12-W14, W16-W18 from small aggregate tables folded per (customer, minute segment),
-   joined back after one shuffle of the rows on (customer, segment) (``customer_windows``);
-9. final projection in the published column order.
+Plan shape of the wide side (one row per order, times join fan-out):
+
+1. order rollup (C14): one aggregate over the period's lines (partial, then final);
+2. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23): one shuffle of the rows,
+   every right side co-partitioned on the order key;
+3. L16 on (user of the order fact, month): one shuffle (AQE may split a skewed user);
+4. lineage cut (reliable checkpoint in ``spark.checkpoint.dir``);
+5. ``customer_stage``: every customer-keyed input -- customer-month sources (L12 L18 L19
+   L22), customer sources (L10, L11 with W11), W12-W18 -- folded into one small table per
+   (customer, minute segment); the rows are shuffled once on (customer, segment) and joined
+   to it.  A customer holding a third of all orders is spread over its minutes;
+6. final projection in the published column order.
 
 Customer keys go through ``null_safe_key`` so the NULL customer, one window partition in
-the reference, joins its own aggregates back with a plain equi-join; sources never carry
+the reference, gets its own aggregates back through a plain equi-join; sources never carry
 that key value, so their joins are unchanged.
 """
 
@@ -155,74 +155,116 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
         "week_of_year": week_of_year_sunday(week_monday("order_date")),
         "_mission": R.shopping_mission("fulfilled", "categories"),
     })
-    # W15 on the narrow order rows (fan-out does not change a MIN)
-    wsd = group_aggregate(s, ["k_cust", "week_of_year"], {"wsd_start_day": F.min(iso_weekday("order_date"))})
-    s = enrich(s, [JoinSpec(wsd, ["k_cust", "week_of_year"], ["k_cust", "week_of_year"], _same("wsd_start_day"))])
-
     if users is None:
         users = U.user_months(src, cfg, U.spine_floor(cfg))
-    # every source join, grouped by key: order, user-month, customer-month, customer
-    df = enrich(s, order_joins(src) + [user_month_join(users)] + customer_month_joins(src) + customer_joins(src))
+    # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
+    df = enrich(s, order_joins(src) + [user_month_join(users)])
     if cfg.checkpoint_joined:
-        # the window step reads these rows four times (three small aggregates + the rows)
+        # the customer stage reads these rows five times (four small aggregates + the rows)
         df = cut_lineage(df)
-    return customer_windows(df, cfg)
+    return customer_stage(df, src, cfg)
+
+
+def _struct_of(cols: list[str]):
+    return F.struct(*[F.col(c) for c in cols])
 
 
-def customer_windows(df: DataFrame, cfg: RunConfig) -> DataFrame:
-    """W12, W13, W14, W16, W17, W18 on the fully joined rows, with one shuffle of them.
+def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig) -> DataFrame:
+    """Everything keyed by the customer, with ONE shuffle of the order rows.
 
-    Every value is first computed into small tables keyed by customer (W14), customer-month
-    (W16-W18) or customer-month-minute (row counts); partial aggregation keeps a hot
-    customer from landing in one task.  They are folded into one table keyed by
-    (customer, minute segment) and joined back after the rows are shuffled on
-    (customer, segment), the same shuffle the running numbers need."""
+    Customer-keyed inputs are where one key can hold a third of all rows, so none of them
+    is joined to the rows on the customer key.  Instead:
+
+    1. small tables are aggregated from the rows (partial aggregation splits hot keys):
+       row counts per (customer, month, week, minute segment), W14 per customer,
+       W15 per (customer, week), W16-W18 per (customer, month);
+    2. the customer-month sources (L12 L18 L19 L22) are left-joined to the distinct
+       (customer, month) keys and the customer sources (L10, L11 + W11) to the distinct
+       customers -- exactly the matches each order row would get, fan-out included;
+    3. all of it is folded into one table keyed by (customer, segment): per (month, week)
+       entry the window values, the running-number offsets and the array of matched
+       source rows;
+    4. the rows are shuffled once on (customer, segment), joined to that table, the
+       matching entry's source rows exploded (the fan-out of the original left joins),
+       and numbered inside their bounded (customer, segment) groups.
+    A hot customer is thus spread over its minutes in every step."""
     seg = time_segment("order_timestamp", cfg.rank_segment)
     d = df.withColumn("_seg", seg)
+    K, M_, WK = "k_cust", "join_order_month", "week_of_year"
+
+    # 1. aggregates of the rows
+    counts = d.groupBy(K, M_, WK, "_seg").agg(F.count(F.lit(1)).alias("_n"))
     act = R.month_activation_expressions("coupon_used_amount", "plus_order", "plus_item_level", "crm_vertical")
-    month_cols = [*act, "has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2"]
-    month_aggs = d.groupBy(*CUST_MONTH).agg(
+    flags = ["has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2"]
+    month_aggs = d.groupBy(K, M_).agg(
         F.min(F.struct(*[F.col(c) for c in FIRST_ORDER], *[e.alias(n) for n, e in act.items()])).alias("_first"),
-        F.max(flag(F.col("mission_type") == "Stock Up")).alias("has_stock_up_mission"),
-        F.max(flag(F.col("mission_type") == "Fill In")).alias("has_fill_in_mission"),
-        F.max(flag(F.col("_mission") == "Stock Up")).alias("user_has_stock_up_v2"),
-        F.max(flag(F.col("_mission") == "Fill In")).alias("user_has_fill_in_v2"),
-    ).select(*CUST_MONTH, *[F.col("_first").getField(n).alias(n) for n in act], *month_cols[len(act):])
+        F.max(flag(F.col("mission_type") == "Stock Up")).alias(flags[0]),
+        F.max(flag(F.col("mission_type") == "Fill In")).alias(flags[1]),
+        F.max(flag(F.col("_mission") == "Stock Up")).alias(flags[2]),
+        F.max(flag(F.col("_mission") == "Fill In")).alias(flags[3]),
+    ).select(K, M_, *[F.col("_first").getField(n).alias(n) for n in act], *flags)
     first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
                                       "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
                                       "crm_vertical")
-    cust_aggs = first_values(d, ["k_cust"], FIRST_ORDER, first)
-
-    # offsets of the running numbers: rows of the customer (resp. customer-month) in earlier segments
-    counts = d.groupBy("k_cust", "join_order_month", "_seg").agg(F.count(F.lit(1)).alias("_n"))
+    cust_aggs = first_values(d, [K], FIRST_ORDER, first)
+    week_aggs = group_aggregate(d, [K, WK], {"wsd_start_day": F.min(iso_weekday("order_date"))})
+
+    # 2. source matches per key (left joins on the key tables: same matches as the rows get)
+    cm_specs = customer_month_joins(src)
+    cu_specs = customer_joins(src)
+    cm_cols = [c for j in cm_specs for c in j.select]
+    cu_cols = [c for j in cu_specs for c in j.select]
+    cm_rows = enrich(counts.select(K, M_).distinct(), cm_specs)
+    cu_rows = enrich(counts.select(K).distinct(), cu_specs)
+    cm_n = cm_rows.groupBy(K, M_).agg(F.count(F.lit(1)).alias("_f_cm"))
+    cu_n = cu_rows.groupBy(K).agg(F.count(F.lit(1)).alias("_f_cu"))
+    matches = (cm_rows.join(cu_rows, K)
+               .groupBy(K, M_).agg(F.array_sort(F.collect_list(_struct_of(cm_cols + cu_cols))).alias("_matches")))
+
+    # offsets of the running numbers over the final (fanned) rows
     before = Window.unboundedPreceding, -1
-    per_seg = counts.groupBy("k_cust", "_seg").agg(F.sum("_n").alias("_ns"))
-    per_seg = per_seg.withColumn("_off_all", F.coalesce(F.sum("_ns").over(
-        Window.partitionBy("k_cust").orderBy("_seg").rowsBetween(*before)), F.lit(0)))
-    counts = counts.withColumn("_off_month", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*CUST_MONTH).orderBy("_seg").rowsBetween(*before)), F.lit(0)))
-    per_month = counts.join(month_aggs, CUST_MONTH, "left")
-    packed = F.map_from_entries(F.collect_list(F.struct(
-        F.col("join_order_month"), F.struct("_off_month", *month_cols))))
-    table = (per_month.groupBy("k_cust", "_seg").agg(packed.alias("_by_month"))
-             .join(per_seg.drop("_ns"), ["k_cust", "_seg"])
-             .join(cust_aggs, "k_cust", "left"))
-
-    # the rows: one shuffle on (customer, segment); local numbers inside bounded groups
-    order = [F.col(c) for c in [*FIRST_ORDER, *FANOUT_ORDER]]
-    rows = d.repartition(F.col("k_cust"), F.col("_seg"))
+    cnt = (counts.join(cm_n, [K, M_]).join(cu_n, K)
+           .withColumn("_nf", F.col("_n") * F.col("_f_cm") * F.col("_f_cu")))
+    per_ms = cnt.groupBy(K, M_, "_seg").agg(F.sum("_nf").alias("_nms"))
+    per_ms = per_ms.withColumn("_off_month", F.coalesce(F.sum("_nms").over(
+        Window.partitionBy(K, M_).orderBy("_seg").rowsBetween(*before)), F.lit(0)))
+    per_s = cnt.groupBy(K, "_seg").agg(F.sum("_nf").alias("_ns"))
+    per_s = per_s.withColumn("_off_all", F.coalesce(F.sum("_ns").over(
+        Window.partitionBy(K).orderBy("_seg").rowsBetween(*before)), F.lit(0)))
+
+    # 3. one table keyed by (customer, segment)
+    month_vals = [*act, *flags]
+    entry_cols = ["_off_month", "wsd_start_day", *month_vals, "_matches"]
+    entries = (counts.select(K, M_, WK, "_seg")
+               .join(per_ms.select(K, M_, "_seg", "_off_month"), [K, M_, "_seg"])
+               .join(week_aggs, [K, WK], "left")
+               .join(month_aggs, [K, M_], "left")
+               .join(matches, [K, M_], "left"))
+    table = (entries.groupBy(K, "_seg")
+             .agg(F.map_from_entries(F.collect_list(F.struct(F.struct(M_, WK), _struct_of(entry_cols))))
+                  .alias("_by_key"))
+             .join(per_s.select(K, "_seg", "_off_all"), [K, "_seg"])
+             .join(cust_aggs, K, "left"))
+
+    # 4. the rows: one shuffle, join, explode the matches, number inside bounded groups
+    rows = d.repartition(F.col(K), F.col("_seg")).join(table, [K, "_seg"], "left")
+    e = F.element_at(F.col("_by_key"), F.struct(F.col(M_), F.col(WK)))
+    rows = rows.withColumns({"_e": e}).select("*", F.posexplode_outer(F.col("_e").getField("_matches"))
+                                               .alias("_pos", "_m"))
+    order = [F.col(c) for c in [*FIRST_ORDER, *FANOUT_ORDER, "_pos"]]
     rows = rows.withColumns({
-        "_rn_all": F.row_number().over(Window.partitionBy("k_cust", "_seg").orderBy(*order)),
-        "_rn_month": F.row_number().over(Window.partitionBy("k_cust", "join_order_month", "_seg").orderBy(*order)),
+        "_rn_all": F.row_number().over(Window.partitionBy(K, "_seg").orderBy(*order)),
+        "_rn_month": F.row_number().over(Window.partitionBy(K, M_, "_seg").orderBy(*order)),
     })
-    out = rows.join(table, ["k_cust", "_seg"], "left")
-    m = F.element_at(F.col("_by_month"), F.col("join_order_month"))
-    out = out.withColumns({
+    ev = F.col("_e")
+    out = rows.withColumns({
         "order_number": (F.col("_rn_all") + F.col("_off_all")).cast("bigint"),
-        "order_num_month": (F.col("_rn_month") + m.getField("_off_month")).cast("bigint"),
-        **{c: m.getField(c) for c in month_cols},
+        "order_num_month": (F.col("_rn_month") + ev.getField("_off_month")).cast("bigint"),
+        "wsd_start_day": ev.getField("wsd_start_day"),
+        **{c: ev.getField(c) for c in month_vals},
+        **{c: F.col("_m").getField(c) for c in cm_cols + cu_cols},
     })
-    return out.drop("_seg", "_rn_all", "_rn_month", "_off_all", "_by_month")
+    return out.drop("_seg", "_by_key", "_e", "_pos", "_m", "_rn_all", "_rn_month", "_off_all")
 
 
 def final_projection(k: DataFrame) -> DataFrame:

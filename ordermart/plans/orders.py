@@ -67,7 +67,9 @@ def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25)
     qty = F.col("fulfilled_quantity")
     disc = F.col("pcm_discount_amount_net_lc")
     agg = df.groupBy(*ORDER_KEYS).agg(
-        F.countDistinct("level_2").alias("categories"),
+        # distinct level-2 categories: a set bounded by the catalogue, built map-side
+        # (one shuffle; COUNT(DISTINCT) would re-shuffle the lines on (order, level_2))
+        F.size(F.collect_set("level_2")).cast("bigint").alias("categories"),
         F.sum("ordered_quantity").alias("ordered"),
         F.sum("fulfilled_quantity").alias("fulfilled"),
         dec("total_amount_sold_net_lc").alias("venta"),
