@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.aggregatePushdown": "true",
+    # per-order category sets are tiny: keep the partial collect_set hash-based
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
