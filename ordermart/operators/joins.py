@@ -26,6 +26,8 @@ class JoinSpec:
     select: dict[str, str | Column] = field(default_factory=dict)
     how: str = "left"
     name: str = ""
+    # left column whose value spreads rows with a NULL key (see ``join_one``)
+    spread_nulls_by: str | None = None
 
 
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
@@ -35,15 +37,32 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
+NULL_SPREAD_PREFIX = "\u0001"
+
+
 def join_one(left: DataFrame, spec: JoinSpec) -> DataFrame:
     """``left ⟕ right ON left_on = right_on``, keeping left's key columns, adding
-    ``spec.select`` under their output names."""
+    ``spec.select`` under their output names.
+
+    With ``spread_nulls_by`` (left outer joins on STRING keys), a left row with a NULL key
+    joins on ``'\\u0001' || <that column>`` instead: it still matches nothing (no source key
+    starts with that character), but NULL-key rows no longer hash to a single partition."""
     rkeys = [f"__rk{i}" for i in range(len(spec.right_on))]
     sel = [F.col(r).alias(k) for r, k in zip(spec.right_on, rkeys)]
     sel += [(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in spec.select.items()]
     right = spec.right.select(*sel)
-    cond = [F.col(lk) == F.col(rk) for lk, rk in zip(spec.left_on, rkeys)]
-    return left.join(right, cond, spec.how).drop(*rkeys)
+    lkeys = [F.col(k) for k in spec.left_on]
+    drop = list(rkeys)
+    if spec.spread_nulls_by is not None and spec.how == "left":
+        any_null = None
+        for k in lkeys:
+            any_null = k.isNull() if any_null is None else (any_null | k.isNull())
+        spread = F.concat(F.lit(NULL_SPREAD_PREFIX), F.col(spec.spread_nulls_by).cast("string"))
+        left = left.withColumn("__lk0", F.when(any_null, spread).otherwise(lkeys[0]))
+        lkeys = [F.col("__lk0"), *lkeys[1:]]
+        drop.append("__lk0")
+    cond = [lk == F.col(rk) for lk, rk in zip(lkeys, rkeys)]
+    return left.join(right, cond, spec.how).drop(*drop)
 
 
 def enrich(left: DataFrame, specs: Sequence[JoinSpec]) -> DataFrame:

@@ -97,7 +97,9 @@ def user_month_join(users: DataFrame) -> JoinSpec:
                 "dmart_churn_type_prior_month", "dmart_frec_performance", "dmart_afv_performance",
                 "dmart_growth_status_past_month", "dmart_growth_status"),
         "dmart_growth_stage": "dmart_growth_status_fixed", "dmart_last_month_active": "last_month_active",
-        "dmart_activation_period": "activation_period"}, name="L16 user months")
+        "dmart_activation_period": "activation_period"}, name="L16 user months",
+        # orders without a user match nothing; keep them from piling into one partition
+        spread_nulls_by="join_order_id")
 
 
 def customer_month_joins(src: dict[str, DataFrame], month_aggs: DataFrame | None = None) -> list[JoinSpec]:

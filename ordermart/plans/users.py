@@ -71,32 +71,46 @@ def user_monthly_orders(lines: DataFrame) -> DataFrame:
                  safe_ratio(F.sum("total_amount_net_with_discount_lc"), n_orders).alias("afv")))
 
 
-def dmart_data(grid: DataFrame, ugd: DataFrame, ums: DataFrame, umo: DataFrame) -> DataFrame:
-    """Spine ⟕ user dates ⟕ monthly status ⟕ monthly orders."""
+def dmart_data(grid: DataFrame, ugd: DataFrame, ums: DataFrame, umo: DataFrame,
+               more: list[JoinSpec] = ()) -> DataFrame:
+    """Spine ⟕ monthly status ⟕ monthly orders (L4, L5) [⟕ ``more`` user-month joins]
+    ⟕ user dates (L3).  The (user, month) joins share one partitioning; the user join
+    comes last so that the per-user windows after it need no further shuffle."""
     df = enrich(grid, [
-        JoinSpec(ugd, ["join_user_id"], ["join_user_id"],
-                 {c: c for c in ("adoption_since", "acquisition_since", "adoption_until", "acquisition_until")}),
         JoinSpec(ums, USER_MONTH, USER_MONTH, {"type": "type", "mes_en_curso": "mes_en_curso"}),
         JoinSpec(umo, USER_MONTH, USER_MONTH,
                  {c: c for c in ("dm_current_frequency", "basket_size", "categories", "afv")}),
+        *more,
+        JoinSpec(ugd, ["join_user_id"], ["join_user_id"],
+                 {c: c for c in ("adoption_since", "acquisition_since", "adoption_until", "acquisition_until")}),
     ])
+    extra = [c for j in more for c in j.select]
     return df.select(
         "join_user_id",
         R.growth_status("type").alias("dmart_growth_status"),
         "type", "mes_en_curso", "adoption_since", "acquisition_since", "adoption_until",
         "acquisition_until", "join_month",
         F.coalesce(F.col("dm_current_frequency"), F.lit(0)).alias("dm_current_frequency"),
-        "basket_size", "categories", "afv",
+        "basket_size", "categories", "afv", *extra,
     )
 
 
-def user_data(dd: DataFrame, s3: DataFrame) -> DataFrame:
+MONTHLY_INFO = ["present_month_status_user", "past_month_status_user", "dm_past_month_orders",
+                "f_present_month_orders", "ls_present_month_orders", "c_present_month_orders",
+                "f_past_month_orders", "ls_past_month_orders", "c_past_month_orders"]
+
+
+def monthly_info_join(s3: DataFrame) -> JoinSpec:
+    """Platform info per (user, month), columns prefixed ``m_``."""
+    return JoinSpec(s3, USER_MONTH, USER_MONTH, {f"m_{c}": c for c in MONTHLY_INFO})
+
+
+def user_data(dd: DataFrame, s3: DataFrame | None = None) -> DataFrame:
     """C11: platform info (L6), prior-month values (W5-W7), R7/R8, month totals (W9), last
-    active month (W10)."""
-    m = ["present_month_status_user", "past_month_status_user", "dm_past_month_orders",
-         "f_present_month_orders", "ls_present_month_orders", "c_present_month_orders",
-         "f_past_month_orders", "ls_past_month_orders", "c_past_month_orders"]
-    df = enrich(dd, [JoinSpec(s3, USER_MONTH, USER_MONTH, {f"m_{c}": c for c in m})])
+    active month (W10).  Pass ``s3`` to join L6 here; without it ``dd`` must already carry
+    the ``m_`` columns (``user_months`` joins L6 together with L4/L5)."""
+    m = MONTHLY_INFO
+    df = dd if s3 is None else enrich(dd, [monthly_info_join(s3)])
     df = df.withColumns({"platform_status": F.col("m_present_month_status_user"),
                          "platform_prior_status": F.col("m_past_month_status_user")})
     df = prior_value(df, ["join_user_id"], ["join_month"], {
@@ -151,5 +165,5 @@ def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None
     s3 = src["monthly_user_info"]
     if floor is not None:
         s3 = s3.where(F.col("join_month") >= F.lit(floor))
-    dd = dmart_data(grid, ugd, ums, umo)
-    return prep_united_users(united_users(user_data(dd, s3)))
+    dd = dmart_data(grid, ugd, ums, umo, more=[monthly_info_join(s3)])
+    return prep_united_users(united_users(user_data(dd)))
