@@ -22,6 +22,8 @@ class RunConfig:
     discount_incentive_threshold: float = 0.25
     # prune the user-month spine to the months the mart can consume (exact, see plans.users)
     prune_spine: bool = True
+    # build the spine only for users that appear in the period's order facts (exact, plans.users)
+    prune_users: bool = True
     # minute buckets that split a hot customer's rows before ranking them (operators.windows)
     rank_segment: str = "minute"
     # materialise the order rows once all order-keyed joins are done (session.cut_lineage)

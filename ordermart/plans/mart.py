@@ -158,7 +158,11 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
         "_mission": R.shopping_mission("fulfilled", "categories"),
     })
     if users is None:
-        users = U.user_months(src, cfg, U.spine_floor(cfg))
+        period_users = None
+        if cfg.prune_users:
+            period_users = (src["fact_orders"].select("join_user_id")
+                            .where(F.col("join_user_id").isNotNull()).distinct())
+        users = U.user_months(src, cfg, U.spine_floor(cfg), only_users=period_users)
     # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
     df = enrich(s, order_joins(src) + [user_month_join(users)])
     if cfg.checkpoint_joined:

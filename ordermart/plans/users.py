@@ -155,10 +155,17 @@ def prep_united_users(uu: DataFrame) -> DataFrame:
     return prior_value(uu, ["join_user_id"], ["join_month"], {"dmart_churn_type_prior_month": "dmart_churn_type"})
 
 
-def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None) -> DataFrame:
-    """C1-C4, C10-C13 end to end."""
+def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None,
+                only_users: DataFrame | None = None) -> DataFrame:
+    """C1-C4, C10-C13 end to end.
+
+    ``only_users`` (a ``join_user_id`` column) restricts the spine to those users before it
+    is generated: every window here is per user, so dropping whole users changes nothing
+    for the others, and the mart reads the spine only for users of its orders."""
     s1 = src["first_dmart_order_date_users"]
     ugd = user_global_dates(s1)
+    if only_users is not None:
+        ugd = ugd.join(only_users, "join_user_id", "left_semi")
     grid = date_grid(ugd, cfg, floor)
     ums = user_monthly_status(s1, floor)
     umo = user_monthly_orders(src["customer_orders_sku_level"])
