@@ -60,7 +60,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     if not current:
-        current = spark.conf.get("spark.checkpoint.dir", None)
+        current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         sc.setCheckpointDir(current)
         return current
@@ -69,11 +69,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df):
-    """Materialise ``df`` with a reliable checkpoint in the shared checkpoint directory.
+def cut_lineage(df, name: str = "rows"):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
-    Later branches (aggregates joined back, running numbers) then read the written rows
-    instead of re-running the joins above, and a lost executor costs a re-read, not a
-    recomputation of the whole upstream plan.  Output partitioning is kept."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    Later branches then read the written rows instead of re-running the joins above, and a
+    lost executor costs a re-read, not a recomputation of the upstream plan.  Parquet (not
+    an RDD checkpoint) because most readers need a few of the ~150 columns: they get column
+    pruning and compressed input.  The folder is the cluster's ``spark.checkpoint.dir``
+    (a private one only when the session has none, as in tests)."""
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/ordermart-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
