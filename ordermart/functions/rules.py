@@ -6,7 +6,6 @@ Thresholds and labels are arguments with the reference's values as defaults (con
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F

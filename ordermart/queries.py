@@ -62,7 +62,7 @@ def _mart(spark, sf_dir) -> DataFrame:
     return M.order_mart(src, TEST_CONFIG)
 
 
-def _users(spark, sf_dir, cfg: RunConfig = TEST_CONFIG, floor=None) -> dict[str, DataFrame]:
+def _users(spark, sf_dir, cfg: RunConfig = TEST_CONFIG) -> dict[str, DataFrame]:
     return _src(spark, sf_dir, "first_dmart_order_date_users", "customer_orders_sku_level", "monthly_user_info", cfg=cfg)
 
 
@@ -307,6 +307,8 @@ def q_safe_ratio(spark, sf_dir):
 
 # --- joins -----------------------------------------------------------------------------------
 
+FANOUT = M.FANOUT_ORDER
+
 _BY_ORDER_COLS = ["coupon_used_amount", "bank", "operation_type", "payment_name", "crm_vertical", "coupon_campaign",
                   "dps_scheme_id", "d_bin_campaign", "actual_delivery_time", "mission_type"]
 
@@ -341,9 +343,6 @@ def q_join_fan_out(spark, sf_dir):
         .select("join_order_id", *FANOUT, "cases")
 
 
-FANOUT = M.FANOUT_ORDER
-
-
 @register("enrich_user_month", """SELECT s.join_order_id, o1.user_id AS o1_user_id, d.type AS type_user,
   d.dmart_growth_status, d.dmart_churn_type_prior_month, d.platform_performance, d.activation_period AS
   dmart_activation_period
@@ -432,7 +431,7 @@ def _from_mart(name: str, cols: list[str]) -> None:
         return _mart(spark, sf_dir).select(*cols)
 
 
-_KEY = ["order_id", *[c for c in FANOUT]]
+_KEY = ["order_id", *FANOUT]
 _from_mart("business_stage", [*_KEY, "order_date", "business_stage"])
 _from_mart("date_in_window", [*_KEY, "cohort_date", "adoption_type", "acquisition_type"])
 _from_mart("bin_campaign_flags", [*_KEY, "d_bin_campaign", "sunday_plus", "fija_plus", "plus_benefit_orders"])
