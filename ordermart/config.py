@@ -24,6 +24,8 @@ class RunConfig:
     prune_spine: bool = True
     # build the spine only for users that appear in the period's order facts (exact, plans.users)
     prune_users: bool = True
+    # user-month order counts from the order rollup instead of a second pass over the lines
+    user_months_from_orders: bool = True
     # minute buckets that split a hot customer's rows before ranking them (operators.windows)
     rank_segment: str = "minute"
     # materialise the order rows once all order-keyed joins are done (session.cut_lineage)

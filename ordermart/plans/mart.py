@@ -162,7 +162,8 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
         if cfg.prune_users:
             period_users = (src["fact_orders"].select("join_user_id")
                             .where(F.col("join_user_id").isNotNull()).distinct())
-        users = U.user_months(src, cfg, U.spine_floor(cfg), only_users=period_users)
+        users = U.user_months(src, cfg, U.spine_floor(cfg), only_users=period_users,
+                              orders=s if cfg.user_months_from_orders else None)
     # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
     df = enrich(s, order_joins(src) + [user_month_join(users)])
     if cfg.checkpoint_joined:

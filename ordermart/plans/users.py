@@ -71,6 +71,22 @@ def user_monthly_orders(lines: DataFrame) -> DataFrame:
                  safe_ratio(F.sum("total_amount_net_with_discount_lc"), n_orders).alias("afv")))
 
 
+def user_monthly_orders_from_rollup(orders: DataFrame) -> DataFrame:
+    """C4 for the mart, from the order rollup (C14) instead of the lines: the same orders
+    per (user, month), the same net sum (decimal sums are exact, so summing per-order sums
+    gives the line total), so ``dm_current_frequency`` and ``afv`` -- the spine values the
+    mart publishes through R7, R8, R12 -- are identical.  ``categories`` (distinct master
+    categories of the lines) is never published and is not recomputed here."""
+    n_orders = F.countDistinct("join_order_id")
+    return (orders.where(F.col("join_customer_id").isNotNull())
+            .groupBy(F.col("join_customer_id").alias("join_user_id"),
+                     F.col("join_order_month").alias("join_month"))
+            .agg(n_orders.alias("dm_current_frequency"),
+                 safe_ratio(F.sum("fulfilled"), n_orders).alias("basket_size"),
+                 F.lit(None).cast("bigint").alias("categories"),
+                 safe_ratio(F.sum("venta_neta"), n_orders).alias("afv")))
+
+
 def dmart_data(grid: DataFrame, ugd: DataFrame, ums: DataFrame, umo: DataFrame,
                more: list[JoinSpec] = ()) -> DataFrame:
     """Spine ⟕ monthly status ⟕ monthly orders (L4, L5) [⟕ ``more`` user-month joins]
@@ -156,7 +172,7 @@ def prep_united_users(uu: DataFrame) -> DataFrame:
 
 
 def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None,
-                only_users: DataFrame | None = None) -> DataFrame:
+                only_users: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
     """C1-C4, C10-C13 end to end.
 
     ``only_users`` (a ``join_user_id`` column) restricts the spine to those users before it
@@ -168,7 +184,10 @@ def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None
         ugd = ugd.join(only_users, "join_user_id", "left_semi")
     grid = date_grid(ugd, cfg, floor)
     ums = user_monthly_status(s1, floor)
-    umo = user_monthly_orders(src["customer_orders_sku_level"])
+    if orders is not None:
+        umo = user_monthly_orders_from_rollup(orders)   # the mart: reuse its order rollup
+    else:
+        umo = user_monthly_orders(src["customer_orders_sku_level"])
     s3 = src["monthly_user_info"]
     if floor is not None:
         s3 = s3.where(F.col("join_month") >= F.lit(floor))
