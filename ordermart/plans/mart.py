@@ -5,7 +5,8 @@ Plan shape of the wide side (one row per order, times join fan-out):
 1. order rollup (C14): one aggregate over the period's lines (partial, then final);
 2. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23): one shuffle of the rows,
    every right side co-partitioned on the order key;
-3. L16 on (user of the order fact, month): one shuffle (AQE may split a skewed user);
+3. L16 on (user of the order fact, month) through narrow (order, user, month) triples
+   packed per order and joined back on the order key: no shuffle of the rows;
 4. lineage cut (reliable checkpoint in ``spark.checkpoint.dir``);
 5. ``customer_stage``: every customer-keyed input -- customer-month sources (L12 L18 L19
    L22), customer sources (L10, L11 with W11), W12-W18 -- folded into one small table per
@@ -165,13 +166,37 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
         users = U.user_months(src, cfg, U.spine_floor(cfg), only_users=period_users,
                               orders=s if cfg.user_months_from_orders else None)
     # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
-    df = enrich(s, order_joins(src) + [user_month_join(users)])
+    df = enrich(s, order_joins(src))
+    df = user_month_values(df, users)
     if cfg.checkpoint_joined:
         # the customer stage reads these rows five times (four small aggregates + the rows)
         df = cut_lineage(df)
     return customer_stage(df, src, cfg)
 
 
+def user_month_values(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """L16 without re-shuffling the order rows.
+
+    The rows are partitioned by the order key after the order-keyed joins; L16's key is
+    (user of the order fact, month).  So the distinct (order, user, month) triples -- three
+    narrow columns -- are joined to the user months (NULL users spread, they match
+    nothing), the matches packed per order, and the pack joined back on the order key,
+    where the rows already are.  Each row then takes the entries of its own (user, month),
+    exploded: one per match (the join's fan-out), or one all-NULL entry when there is none."""
+    spec = user_month_join(users)
+    keys = ["join_order_id", "o1_join_user_id", "join_order_month"]
+    looked = enrich(rows.select(*keys).distinct(), [spec])
+    cols = list(spec.select)
+    packed = looked.groupBy("join_order_id").agg(F.collect_list(F.struct(
+        F.col("o1_join_user_id").alias("_u"), F.col("join_order_month").alias("_m"),
+        *[F.col(c) for c in cols])).alias("_um"))
+    out = rows.join(packed, "join_order_id", "left")
+    mine = F.filter("_um", lambda e: e["_u"].eqNullSafe(F.col("o1_join_user_id"))
+                    & (e["_m"] == F.col("join_order_month")))
+    out = out.select("*", F.explode_outer(mine).alias("_e"))
+    return out.withColumns({c: F.col("_e").getField(c) for c in cols}).drop("_um", "_e")
+
+
 def _struct_of(cols: list[str]):
     return F.struct(*[F.col(c) for c in cols])
 

@@ -83,3 +83,6 @@ def test_plan_has_no_python_and_one_shuffle_for_windows(spark):
     # after the lineage cut: the rows are shuffled once, on (customer, segment)
     assert plan.count("REPARTITION_BY_COL") == 1
     assert "hashpartitioning(k_cust" in plan
+    # L16 travels as narrow triples: the rows are never shuffled on the user key
+    assert "hashpartitioning(o1_join_user_id" not in plan or "store_name" not in plan.split(
+        "hashpartitioning(o1_join_user_id")[1].split("\n")[1]
