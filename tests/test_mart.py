@@ -83,6 +83,30 @@ def test_plan_has_no_python_and_one_shuffle_for_windows(spark):
     # after the lineage cut: the rows are shuffled once, on (customer, segment)
     assert plan.count("REPARTITION_BY_COL") == 1
     assert "hashpartitioning(k_cust" in plan
-    # L16 travels as narrow triples: the rows are never shuffled on the user key
-    assert "hashpartitioning(o1_join_user_id" not in plan or "store_name" not in plan.split(
-        "hashpartitioning(o1_join_user_id")[1].split("\n")[1]
+
+
+
+def test_order_rows_shuffled_only_on_order_key_before_the_customer_stage(spark):
+    """Static plan without broadcasts (the TB-scale shape): from the rollup to the customer
+    stage the order rows cross exactly one shuffle, on the order key; L16's user key only
+    shuffles narrow triples."""
+    src = test_sources(spark, SF_SMALL)
+    skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])
+    s = O.customer_orders(src["customer_orders_sku_level"], skus)
+    users = M.U.user_months(src, TEST_CONFIG, M.U.spine_floor(TEST_CONFIG))
+    rows = M.user_month_values(M.enrich(s, M.order_joins(src)), users)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        node, exchanges = rows._jdf.queryExecution().executedPlan(), []
+        while node.children().size() > 0:          # follow the rows (first child) down
+            if node.nodeName() == "Exchange":
+                exchanges.append(node.simpleString(5))
+            if node.nodeName().endswith("Aggregate"):
+                break                                # reached the order rollup
+            node = node.children().apply(0)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(exchanges) == 1 and "hashpartitioning(join_order_id" in exchanges[0]
