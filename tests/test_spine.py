@@ -18,3 +18,18 @@ def test_spine_floor(spark):
     df = spark.createDataFrame([("a", D(2023, 11, 3)), ("b", None)], "u string, s date")
     got = sorted(map(tuple, month_spine(df, "u", "s", D(2024, 2, 1), floor=D(2024, 1, 1)).collect()))
     assert got == [("a", D(2024, 1, 1)), ("a", D(2024, 2, 1))]
+
+
+def test_spine_on_test_data_is_dense_and_unique(spark):
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+
+    grid = E.queries()["month_spine"](spark, SF_SMALL)
+    assert grid.count() == grid.distinct().count()
+    per_user = grid.groupBy("join_user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("join_month").alias("lo"), F.max("join_month").alias("hi"))
+    gaps = per_user.where(F.col("n") != F.months_between("hi", "lo").cast("int") + 1).count()
+    assert gaps == 0
+    assert per_user.where(F.col("hi") != F.lit(D(2001, 8, 1))).count() == 0
