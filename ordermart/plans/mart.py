@@ -31,7 +31,7 @@ from ordermart.functions import rules as R
 from ordermart.functions.dates import hour_of, iso_weekday, week_monday, week_of_year_sunday, year_start
 from ordermart.functions.numeric import flag, net_of_tax
 from ordermart.operators.joins import JoinSpec, enrich
-from ordermart.operators.windows import first_values, group_aggregate, null_safe_key, time_segment
+from ordermart.operators.windows import group_aggregate, null_safe_key, time_segment
 from ordermart.plans import orders as O
 from ordermart.plans import users as U
 
@@ -207,9 +207,10 @@ def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig) ->
     Customer-keyed inputs are where one key can hold a third of all rows, so none of them
     is joined to the rows on the customer key.  Instead:
 
-    1. small tables are aggregated from the rows (partial aggregation splits hot keys):
-       row counts per (customer, month, week, minute segment), W14 per customer,
-       W15 per (customer, week), W16-W18 per (customer, month);
+    1. one aggregate of the rows at (customer, month, week, minute segment) grain (partial
+       aggregation splits hot keys): row counts, and the pieces of W14 (per customer),
+       W15 (per (customer, week)) and W16-W18 (per (customer, month)), which are then
+       re-aggregated from that small table;
     2. the customer-month sources (L12 L18 L19 L22) are left-joined to the distinct
        (customer, month) keys and the customer sources (L10, L11 + W11) to the distinct
        customers -- exactly the matches each order row would get, fan-out included;
@@ -224,22 +225,30 @@ def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig) ->
     d = df.withColumn("_seg", seg)
     K, M_, WK = "k_cust", "join_order_month", "week_of_year"
 
-    # 1. aggregates of the rows
-    counts = d.groupBy(K, M_, WK, "_seg").agg(F.count(F.lit(1)).alias("_n"))
+    # 1. aggregates of the rows: ONE pass at the finest grain (customer, month, week, minute);
+    #    the coarser tables re-aggregate that small table (MIN / MAX / struct-MIN compose)
     act = R.month_activation_expressions("coupon_used_amount", "plus_order", "plus_item_level", "crm_vertical")
     flags = ["has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2"]
-    month_aggs = d.groupBy(K, M_).agg(
-        F.min(F.struct(*[F.col(c) for c in FIRST_ORDER], *[e.alias(n) for n, e in act.items()])).alias("_first"),
+    first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
+                                      "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
+                                      "crm_vertical")
+    order_key = [F.col(c) for c in FIRST_ORDER]
+    fine = d.groupBy(K, M_, WK, "_seg").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(F.struct(*order_key, *[e.alias(n) for n, e in act.items()])).alias("_first_m"),
+        F.min(F.struct(*order_key, *[e.alias(n) for n, e in first.items()])).alias("_first_c"),
+        F.min(iso_weekday("order_date")).alias("_wmin"),
         F.max(flag(F.col("mission_type") == "Stock Up")).alias(flags[0]),
         F.max(flag(F.col("mission_type") == "Fill In")).alias(flags[1]),
         F.max(flag(F.col("_mission") == "Stock Up")).alias(flags[2]),
         F.max(flag(F.col("_mission") == "Fill In")).alias(flags[3]),
-    ).select(K, M_, *[F.col("_first").getField(n).alias(n) for n in act], *flags)
-    first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
-                                      "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
-                                      "crm_vertical")
-    cust_aggs = first_values(d, [K], FIRST_ORDER, first)
-    week_aggs = group_aggregate(d, [K, WK], {"wsd_start_day": F.min(iso_weekday("order_date"))})
+    )
+    counts = fine.select(K, M_, WK, "_seg", "_n")
+    month_aggs = (fine.groupBy(K, M_).agg(F.min("_first_m").alias("_first"), *[F.max(c).alias(c) for c in flags])
+                  .select(K, M_, *[F.col("_first").getField(n).alias(n) for n in act], *flags))
+    cust_aggs = (fine.groupBy(K).agg(F.min("_first_c").alias("_first"))
+                 .select(K, *[F.col("_first").getField(n).alias(n) for n in first]))
+    week_aggs = fine.groupBy(K, WK).agg(F.min("_wmin").alias("wsd_start_day"))
 
     # 2. source matches per key (left joins on the key tables: same matches as the rows get)
     cm_specs = customer_month_joins(src)
