@@ -28,6 +28,9 @@ class RunConfig:
     user_months_from_orders: bool = True
     # minute buckets that split a hot customer's rows before ranking them (operators.windows)
     rank_segment: str = "minute"
+    # the narrow SKU catalogue (key + two levels) is broadcast when it provably has at most
+    # this many rows (a bounded count); above it the lines join it by sort-merge
+    catalogue_broadcast_rows: int = 1_000_000
     # materialise the order rows once all order-keyed joins are done (session.cut_lineage)
     checkpoint_joined: bool = True
 

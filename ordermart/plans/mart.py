@@ -152,7 +152,8 @@ def customer_joins(src: dict[str, DataFrame], cust_aggs: DataFrame | None = None
 def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame | None = None) -> DataFrame:
     """The period's orders with every enrichment and customer-level window value."""
     skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])
-    s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold)
+    s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold,
+                          broadcast_rows=cfg.catalogue_broadcast_rows)
     s = s.withColumns({
         "k_cust": null_safe_key("join_customer_id"),
         "week_of_year": week_of_year_sunday(week_monday("order_date")),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ordermart import config as C
 from ordermart.functions import rules as R
 from ordermart.functions.numeric import any_flag, safe_ratio
-from ordermart.operators.joins import JoinSpec, enrich
+from ordermart.operators.joins import JoinSpec, broadcast_if_bounded, enrich
 from ordermart.operators.windows import latest_per_key, prior_value
 
 ORDER_KEYS = ["store_name", "vendor_id", "order_date", "join_order_month", "order_timestamp",
@@ -59,10 +59,19 @@ def complaint_rollup(s18: DataFrame) -> DataFrame:
                  F.countDistinct("case_number").alias("cases")))
 
 
-def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25) -> DataFrame:
+def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25,
+                    broadcast_rows: int | None = None) -> DataFrame:
     """C14 / A5: order lines ⟕ catalogue (L7) rolled up to orders, with bands (R2, R3) and
-    flags (R4, R5).  One aggregate: partial per task, then final per order."""
-    df = enrich(lines, [JoinSpec(skus, ["join_sku_id"], ["join_sku"], {"level_0": "level_0", "level_2": "level_2"})])
+    flags (R4, R5).  One aggregate: partial per task, then final per order.
+
+    With ``broadcast_rows`` the catalogue, narrowed to the three columns used, is
+    broadcast if a bounded count proves it has at most that many rows: the lines then keep
+    their scan partitioning (no shuffle by SKU, so no hot-SKU task) and the partial
+    aggregate combines each order's lines before the one shuffle of the rollup."""
+    cat = skus.select("join_sku", "level_0", "level_2")
+    if broadcast_rows:
+        cat = broadcast_if_bounded(cat, broadcast_rows)
+    df = enrich(lines, [JoinSpec(cat, ["join_sku_id"], ["join_sku"], {"level_0": "level_0", "level_2": "level_2"})])
     dec = lambda c: F.sum(c).cast("decimal(18,2)")
     qty = F.col("fulfilled_quantity")
     disc = F.col("pcm_discount_amount_net_lc")
