@@ -2,16 +2,18 @@
 
 Plan shape of the wide side (one row per order, times join fan-out):
 
-1. order rollup (C14): one aggregate over the period's lines (partial, then final);
+1. order rollup (C14): the narrow SKU catalogue is broadcast behind a proven row bound
+   (L7, no shuffle of the lines), then one aggregate (partial, then final);
 2. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23): one shuffle of the rows,
    every right side co-partitioned on the order key;
 3. L16 on (user of the order fact, month) through narrow (order, user, month) triples
    packed per order and joined back on the order key: no shuffle of the rows;
-4. lineage cut (reliable checkpoint in ``spark.checkpoint.dir``);
-5. ``customer_stage``: every customer-keyed input -- customer-month sources (L12 L18 L19
-   L22), customer sources (L10, L11 with W11), W12-W18 -- folded into one small table per
-   (customer, minute segment); the rows are shuffled once on (customer, segment) and joined
-   to it.  A customer holding a third of all orders is spread over its minutes;
+4. lineage cut (a Parquet table in ``spark.checkpoint.dir``, read back);
+5. ``customer_stage``: one aggregate of the rows, then every customer-keyed input --
+   customer-month sources (L12 L18 L19 L22), customer sources (L10, L11 with W11),
+   W12-W18 -- folded into one small table per (customer, minute segment); the rows are
+   shuffled once on (customer, segment) and joined to it.  A customer holding a third of
+   all orders is spread over its minutes;
 6. final projection in the published column order.
 
 Customer keys go through ``null_safe_key`` so the NULL customer, one window partition in
