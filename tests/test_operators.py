@@ -56,3 +56,20 @@ def test_load_source_keys_filters_and_rules(spark):
     assert [tuple(r) for r in rows] == [("20", "2", dt.date(2024, 6, 1), 1)]
     assert dict(out.dtypes)["order_timestamp"] == "timestamp_ntz"
     assert out.columns.index("join_order_id") == out.columns.index("order_id") + 1
+
+
+def test_catalogue_broadcast_is_bounded_and_exact(spark):
+    from conftest import SF_SMALL
+    from ordermart.pipeline import test_sources
+    from ordermart.plans import orders as O
+
+    src = test_sources(spark, SF_SMALL)
+    skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])
+    lines = src["customer_orders_sku_level"]
+    small = O.customer_orders(lines, skus, broadcast_rows=1_000_000)   # 200 SKUs: hinted
+    over = O.customer_orders(lines, skus, broadcast_rows=10)           # bound exceeded: no hint
+    hint = lambda df: "broadcast" in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert hint(small) and not hint(over)
+    cols = sorted(small.columns)
+    rows = lambda df: sorted(map(tuple, df.select(*cols).collect()), key=str)
+    assert rows(small) == rows(over)
