@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -49,38 +51,64 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, extra:
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on; keep whatever the cluster already set for the rest."""
     for k, v in REQUIRED_CONF.items():
-        spark.conf.set(k, v)
-    ensure_checkpoint_dir(spark)
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when it is unset (tests, local
-    runs) create a private one."""
+_private: dict[str, str] = {}  # application id -> folder of a local session that has none
+_written: list[tuple[SparkSession, str]] = []
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder every executor can read: the cluster's ``spark.checkpoint.dir``.
+
+    Only a local master (tests, the bench) may do without: it gets one private folder per
+    application.  On a cluster a missing setting is an error, because a machine-local folder
+    would silently lose rows."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
-    if not current:
-        current = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        sc.setCheckpointDir(current)
-        return current
-    local = tempfile.mkdtemp(prefix="ordermart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(local)
-    return local
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if base:
+        return base.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _private:
+        _private[sc.applicationId] = tempfile.mkdtemp(prefix="ordermart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _private[sc.applicationId]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder; ``drop_scratch`` (or the end of the program) deletes it."""
+    path = f"{shared_dir(spark)}/ordermart-{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
 
 
-def cut_lineage(df, name: str = "rows"):
-    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and read it back.
+def cut_lineage(df, name: str = "rows", **options):
+    """Materialise ``df`` as a Parquet table in the shared folder and read it back.
 
     Later branches then read the written rows instead of re-running the joins above, and a
     lost executor costs a re-read, not a recomputation of the upstream plan.  Parquet (not
-    an RDD checkpoint) because most readers need a few of the ~150 columns: they get column
-    pruning and compressed input.  The folder is the cluster's ``spark.checkpoint.dir``
-    (a private one only when the session has none, as in tests)."""
-    import uuid
-
+    an RDD checkpoint) because most readers need a few of the columns: they get column
+    pruning and compressed input."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/ordermart-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+    path = scratch_path(spark, name)
+    df.write.options(**options).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession | None = None) -> None:
+    """Delete the scratch tables written so far (of ``spark``, or of every session).  Call it once
+    the results that read them are stored; it also runs when the program ends."""
+    for entry in [e for e in _written if spark is None or e[0] is spark]:
+        owner, path = entry
+        try:
+            jvm, conf = owner._jvm, owner._jsc.hadoopConfiguration()
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        except Exception:  # the session is gone: its folder is the cluster's to clean
+            pass
+        _written.remove(entry)
+
+
+atexit.register(drop_scratch)
