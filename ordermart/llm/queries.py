@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from ordermart.llm import substring_dedup
+import public_tokenizers
+from pyspark.sql import functions as F
+
+from ordermart.llm import bpe, decontaminate, ngram_join, substring_dedup
 from ordermart.llm.text import table
 
 
@@ -11,5 +14,19 @@ def op2_substring_dedup(spark, sf_dir):
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup,)}
+def op3_bpe(spark, sf_dir):
+    coded = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op7_ngram_join(spark, sf_dir):
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op9_decontaminate(spark, sf_dir):
+    return decontaminate.report(decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_bpe, op7_ngram_join, op9_decontaminate)}
 ORACLE: dict[str, str] = {}
