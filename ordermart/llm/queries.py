@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ordermart.llm import bpe, decontaminate, ngram_join, substring_dedup
+from ordermart.llm import bpe, decontaminate, ngram_join, substring_dedup, token_files, warc
 from ordermart.llm.text import table
 
 
+def op1_token_counts(spark, sf_dir):
+    return token_files.document_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, 50256)
+
+
 def op2_substring_dedup(spark, sf_dir):
     done = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -20,6 +24,10 @@ def op3_bpe(spark, sf_dir):
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op4_warc_revisits(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -28,5 +36,5 @@ def op9_decontaminate(spark, sf_dir):
     return decontaminate.report(decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op2_substring_dedup, op3_bpe, op7_ngram_join, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op7_ngram_join, op9_decontaminate)}
 ORACLE: dict[str, str] = {}
