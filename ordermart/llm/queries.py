@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ordermart.llm import bpe, decontaminate, ngram_join, substring_dedup, token_files, warc
+from ordermart.llm import bpe, decontaminate, language, ngram_join, quality, substring_dedup, token_files, warc
 from ordermart.llm.text import table
 
 
@@ -28,6 +28,10 @@ def op4_warc_revisits(spark, sf_dir):
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_quality_rules(spark, sf_dir):
+    return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
 def op7_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
@@ -36,5 +40,10 @@ def op9_decontaminate(spark, sf_dir):
     return decontaminate.report(decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op7_ngram_join, op9_decontaminate)}
+def op10_language_id(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents")).drop("phrases_a_letter")
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op6_quality_rules, op7_ngram_join, op9_decontaminate, op10_language_id)}
 ORACLE: dict[str, str] = {}
