@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ordermart.llm import bpe, decontaminate, language, ngram_join, quality, substring_dedup, token_files, warc
+from ordermart.llm import bpe, decontaminate, language, licences, ngram_join, quality, substring_dedup, token_files, warc
 from ordermart.llm.text import table
 
 
@@ -28,6 +28,13 @@ def op4_warc_revisits(spark, sf_dir):
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_licences(spark, sf_dir):
+    """Documents as files: a source is a directory, each 64 successive ids a folder in it."""
+    path = F.concat_ws("/", "source", F.expr("doc_id div 64").cast("string"), F.col("doc_id").cast("string"))
+    found = licences.scan(table(spark, sf_dir, "documents"), "doc_id", path)
+    return found.withColumnRenamed("id", "doc_id").withColumn("cosine", F.round("cosine", 6))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -45,5 +52,5 @@ def op10_language_id(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op6_quality_rules, op7_ngram_join, op9_decontaminate, op10_language_id)}
+    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op9_decontaminate, op10_language_id)}
 ORACLE: dict[str, str] = {}
