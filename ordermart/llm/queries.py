@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ordermart.llm import bpe, decontaminate, language, licences, ngram_join, quality, substring_dedup, token_files, warc
+from ordermart.llm import bpe, decontaminate, language, licences, ngram_join, quality, substring_dedup, suffix_dedup, token_files, warc
 from ordermart.llm.text import table
 
 
@@ -43,6 +43,11 @@ def op7_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op8_suffix_dedup(spark, sf_dir):
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.greatest(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op9_decontaminate(spark, sf_dir):
     return decontaminate.report(decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -52,5 +57,5 @@ def op10_language_id(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op9_decontaminate, op10_language_id)}
+    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op8_suffix_dedup, op9_decontaminate, op10_language_id)}
 ORACLE: dict[str, str] = {}

@@ -37,16 +37,12 @@ ROUNDS = 3
 _U = np.uint64
 
 
-def recompress(words: np.ndarray, first: np.ndarray, rounds: int = ROUNDS):
-    """High-level symbols of many word sequences (``first``: n + 1 offsets).
+def recompress(name, low, high, doc, out_low, out_high, rounds: int = ROUNDS):
+    """High-level symbols of many symbol sequences: names and reaches (low, high) of the symbols, both
+    ascending, and the sequence of each.
 
-    Returns the symbols' names and reaches (low, high), both ascending.  A decision that depends on
-    a sequence's end reaches one word past it, so no window contains it."""
-    n = len(words)
-    sizes = np.diff(first)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    name, low, high = words.copy(), np.arange(n), np.arange(1, n + 1)
-    out_low, out_high = first[:-1] - 1, first[1:] + 1
+    Returns the new symbols' names and reaches.  A decision that depends on a sequence's end reaches
+    past it (``out_low`` and ``out_high`` by sequence), so no window contains it."""
     for r in range(rounds):
         if len(name) < 2:
             break
@@ -105,7 +101,8 @@ def choose(keys: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
 
 
 def anchors(words: np.ndarray, first: np.ndarray, window: int, rounds: int = ROUNDS):
-    """Anchor rows (first window, number of windows, key, fingerprint of all words of the windows)."""
+    """Anchor rows (first window, number of windows, key, fingerprint of what the windows hold: of all
+    their words, or of the one window that windows without a symbol repeat)."""
     sizes = np.diff(first)
     n_windows = np.maximum(sizes - window + 1, 0)
     total = int(n_windows.sum())
@@ -114,7 +111,8 @@ def anchors(words: np.ndarray, first: np.ndarray, window: int, rounds: int = ROU
     ends = np.cumsum(n_windows)
     s = np.arange(total) + np.repeat(first[:-1] - (ends - n_windows), n_windows)
     content = Ranges(words)
-    name, low, high = recompress(words, first, rounds)
+    name, low, high = recompress(words, np.arange(len(words)), np.arange(1, len(words) + 1), np.repeat(np.arange(len(sizes)), sizes),
+                                 first[:-1] - 1, first[1:] + 1, rounds)
     inside = (low >= 0) & (high <= len(words))
     a, b = np.where(inside, low, 0), np.where(inside, high, 0)
     keys = mix(name + content(a, b))
