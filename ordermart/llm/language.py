@@ -121,43 +121,74 @@ def train(texts: dict[str, list[str]]) -> dict[str, Automaton]:
     return {lang: Automaton(" " + " ".join(w for t in ts for w in words_of(t)) + " ") for lang, ts in sorted(texts.items())}
 
 
+class Predictor:
+    """Predicts blocks of texts; remembers the phrase counts of earlier blocks' words."""
+
+    def __init__(self, automata: dict[str, Automaton]):
+        self.langs, self.automata = list(automata), list(automata.values())
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.counts = np.zeros((0, len(self.langs) + 1), np.int64)  # phrases by language, letters
+
+    def learn(self, chunks: set[str]) -> None:
+        rows = []
+        for c in chunks:
+            words = [f" {w} " for w in words_of(c)]
+            self.number[c] = len(self.number)
+            rows.append((*(sum([a.phrases(w) for w in words]) for a in self.automata), sum(map(len, words)) - 2 * len(words)))
+        if rows:
+            self.counts = np.concatenate([self.counts, np.array(rows, np.int64)])
+
+    def predict(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """(language, score, phrases a letter) of each text."""
+        if len(self.number) > REMEMBER:
+            self.forget()
+        chunks = [(t or "").split() for t in texts]
+        self.learn({c for cs in chunks for c in cs if c not in self.number})
+        total = np.zeros((len(chunks), len(self.langs) + 1), np.int64)
+        for i, cs in enumerate(chunks):
+            if cs:
+                total[i] = self.counts[list(map(self.number.__getitem__, cs))].sum(axis=0)
+        letters, phrases = total[:, -1], total[:, :-1]
+        some = (letters > 0) & (len(self.langs) > 0)
+        if not self.langs:
+            return [UNKNOWN] * len(chunks), np.zeros(len(chunks)), np.zeros(len(chunks))
+        least = np.sort(phrases, axis=1)[:, :2].astype(float)
+        score = 1 - least[:, 0] / np.maximum(least[:, 1], 1) if len(self.langs) > 1 else np.ones(len(chunks))
+        names = [self.langs[b] if s else UNKNOWN for b, s in zip(phrases.argmin(axis=1).tolist(), some.tolist(), strict=True)]
+        return names, np.where(some, score, 0.0), np.where(some, least[:, 0] / np.maximum(letters, 1), 0.0)
+
+
 def _predict(model):
     def run(batches):
-        automata = model.value
-        langs = list(automata)
-        number: dict[str, int] = {}
-        counts: list[tuple[int, ...]] = []
-        table = np.zeros((0, len(langs) + 1), np.int64)
+        predictor = Predictor(model.value)
         for batch in batches:
             for part in pieces(batch):
-                if len(number) > REMEMBER:
-                    number, counts, table = {}, [], table[:0]
-                chunks = [(t or "").split() for t in part.column("text").to_pylist()]
-                for c in {c for cs in chunks for c in cs if c not in number}:
-                    words = [f" {w} " for w in words_of(c)]
-                    number[c] = len(counts)
-                    counts.append((*(sum([a.phrases(w) for w in words]) for a in automata.values()), sum(map(len, words)) - 2 * len(words)))
-                if len(counts) > len(table):
-                    table = np.concatenate([table, np.array(counts[len(table):], np.int64)])
-                total = np.zeros((len(chunks), len(langs) + 1), np.int64)
-                for i, cs in enumerate(chunks):
-                    if cs:
-                        total[i] = table[list(map(number.__getitem__, cs))].sum(axis=0)
-                letters, phrases = total[:, -1], total[:, :-1]
-                if langs:
-                    best = phrases.argmin(axis=1)
-                    least = np.sort(phrases, axis=1)[:, :2].astype(float)
-                    score = 1 - least[:, 0] / np.maximum(least[:, 1], 1) if len(langs) > 1 else np.ones(len(chunks))
-                else:
-                    best, score = np.zeros(len(chunks), np.int64), np.zeros(len(chunks))
-                some = (letters > 0) & (len(langs) > 0)
-                rate = np.where(some, (phrases.min(axis=1) if langs else 0) / np.maximum(letters, 1), 0.0)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([langs[b] if s else UNKNOWN for b, s in zip(best.tolist(), some.tolist(), strict=True)], pa.string()),
-                     pa.array(np.where(some, score, 0.0)), pa.array(rate)], names=["doc_id", "lang_pred", "score", "phrases_a_letter"])
+                langs, score, rate = predictor.predict(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), pa.array(score), pa.array(rate)],
+                                                 names=["doc_id", "lang_pred", "score", "phrases_a_letter"])
+    return run
+
+
+def _known(model, index: int):
+    def run(batches):
+        predictor = Predictor(model.value)
+        for batch in batches:
+            batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
+            for part in pieces(batch, f"c{index}"):
+                langs, _, _ = predictor.predict(part.column(index).to_pylist())
+                yield part.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
     return run
 
 
+def known(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+    """The documents whose text has a language, with all their columns."""
+    model = docs.sparkSession.sparkContext.broadcast(train(training_texts(docs if labelled is None else labelled)))
+    return docs.mapInArrow(_known(model, docs.columns.index("text")), docs.schema)
+
+
 def identify(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score and phrases_a_letter for every document row, learned from ``labelled``
     (``docs`` unless given)."""

@@ -199,12 +199,23 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document row: doc_id, n_shingles, component_id (and _id, _th, fp)."""
+    """One row per document row: _id, _th, doc_id, n_shingles, component_id and component (null for an empty set)."""
     info, edges = links(docs, percent)
     label = components(edges)
     named = info.join(label, info["fp"] == label["node"], "left").select(
         "_id", "_th", "doc_id", "n", "fp", F.coalesce("component", "fp").alias("component"))
     least = named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    full = named.filter("n > 0").join(least, "component").select("_id", "_th", "doc_id", F.col("n").alias("n_shingles"), "component_id")
-    empty = named.filter("n = 0").select("_id", "_th", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    full = named.filter("n > 0").join(least, "component").select("_id", "_th", "doc_id", F.col("n").alias("n_shingles"), "component_id", "component")
+    empty = named.filter("n = 0").select("_id", "_th", "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(None).cast("long").alias("component"))
     return full.unionByName(empty)
+
+
+def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The documents, of each component only one: that with the least doc_id (of equal ids, the least
+    text fingerprint).  Documents without words all stay.  All columns are kept."""
+    found = near_duplicates(docs, percent)
+    keep = found.filter("component is not null").groupBy("component").agg(F.min(F.struct("_id", "_th")).alias("one")).select("one.*")
+    keyed = docs.select(F.struct("*").alias("row"), *row_key())
+    wordless = ~F.coalesce(F.col("row.text"), F.lit("")).rlike("[^ \\t-\\r]")
+    one = keyed.filter(~wordless).join(keep, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
+    return one.unionByName(keyed.filter(wordless)).select("row.*")

@@ -220,7 +220,7 @@ def _remove(window: int):
 
 
 def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
-    """One row per document row: doc_id, n_words, n_removed, kept_sha256 (kept words joined by one
+    """One row per document row: _id, _th, doc_id, n_words, n_removed, kept_sha256 (kept words joined by one
     space), spans (removed word ranges) and kept_text, null where nothing was removed."""
     rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     parsed = cut_lineage(rows.mapInArrow(_parse(window), PARSED), "repeats-parsed", compression="zstd")
@@ -243,5 +243,16 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     removed = texts.join(hits, ["_id", "_th"]).mapInArrow(
         _remove(window), "_id long, _th long, n_removed long, sha string, kept_text string, spans array<struct<begin:int,end:int>>")
     return parsed.drop("anchors").join(removed, ["_id", "_th"], "left").select(
-        "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("sha", "kept_sha256").alias("kept_sha256"),
+        "_id", "_th", "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("sha", "kept_sha256").alias("kept_sha256"),
         "spans", "kept_text")
+
+
+def without_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
+    """The documents with their repeated windows removed: a changed text is its kept words joined by one space,
+    and n_chars, if there, its length.  Other texts and all other columns are as they were."""
+    changed = remove_repeats(docs, window).filter("kept_text is not null").select("_id", "_th", "kept_text").dropDuplicates(["_id", "_th"])
+    keyed = docs.select(F.struct("*").alias("row"), *row_key()).join(changed, ["_id", "_th"], "left")
+    row = F.col("row").withField("text", F.col("kept_text"))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length("kept_text").cast(docs.schema["n_chars"].dataType))
+    return keyed.select(F.when(F.col("kept_text").isNull(), F.col("row")).otherwise(row).alias("row")).select("row.*")
