@@ -23,26 +23,33 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--target", required=True, help="table to append the mart to")
     p.add_argument("--as-of", type=dt.date.fromisoformat, default=None)
     p.add_argument("--mode", choices=["append", "replace_month"], default="append")
+    p.add_argument("--shuffle-partitions", type=int, default=None,
+                   help="about the input's bytes / 128 MB; AQE merges small ones but does not multiply")
     p.add_argument("--create", action="store_true", help="create the target (month-partitioned Parquet) first")
     args = p.parse_args(argv)
 
     from ordermart.config import RunConfig
-    from ordermart.plans.mart import create_target, order_mart, publish
-    from ordermart.session import configure
-    from ordermart.sources.adapters import roles_from_catalog
-    from ordermart.sources.spec import ROLES, load_all
+    from ordermart.plans.mart import check_target, create_target, mart_schema, order_mart, publish
+    from ordermart.session import apply_defaults, drop_scratch, shared_dir
+    from ordermart.sources.spec import ROLES, load_all, roles_from_catalog
 
-    spark = configure(SparkSession.builder.appName("ordermart").getOrCreate())
+    spark = apply_defaults(SparkSession.builder.appName("ordermart").getOrCreate(), args.shuffle_partitions)
     with open(args.tables) as f:
         names = json.load(f)
     missing = sorted(set(ROLES) - set(names))
     if missing:
         raise SystemExit(f"no table given for roles: {', '.join(missing)}")
+    shared_dir(spark)
     cfg = RunConfig(as_of=args.as_of or dt.datetime.now(dt.timezone.utc).date())
-    mart = order_mart(load_all(roles_from_catalog(spark, names), cfg), cfg)
+    src = load_all(roles_from_catalog(spark, names), cfg)
+    schema = mart_schema(src, cfg)
     if args.create:
-        create_target(mart, args.target)
-    publish(mart, args.target, mode=args.mode)
+        create_target(schema, args.target, spark)
+    check_target(spark, args.target, schema, args.mode)  # before any work
+    try:
+        publish(order_mart(src, cfg), args.target, mode=args.mode)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

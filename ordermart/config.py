@@ -20,19 +20,8 @@ class RunConfig:
     as_of: dt.date
     spine_end: dt.date | None = None
     discount_incentive_threshold: float = 0.25
-    # prune the user-month spine to the months the mart can consume (exact, see plans.users)
-    prune_spine: bool = True
-    # build the spine only for users that appear in the period's order facts (exact, plans.users)
-    prune_users: bool = True
-    # user-month order counts from the order rollup instead of a second pass over the lines
-    user_months_from_orders: bool = True
     # minute buckets that split a hot customer's rows before ranking them (operators.windows)
     rank_segment: str = "minute"
-    # the narrow SKU catalogue (key + two levels) is broadcast when it provably has at most
-    # this many rows (a bounded count); above it the lines join it by sort-merge
-    catalogue_broadcast_rows: int = 1_000_000
-    # materialise the order rows once all order-keyed joins are done (session.cut_lineage)
-    checkpoint_joined: bool = True
 
     @property
     def period_start(self) -> dt.date:

@@ -33,7 +33,3 @@ def net_of_tax(c: ColumnOrName) -> Column:
     """Amount net of 18% tax, a DOUBLE division (a decimal literal would round)."""
     return _c(c).cast("double") / F.lit(TAX_DIVISOR)
 
-
-def money(c: ColumnOrName) -> Column:
-    """Money columns are decimal(18,2)."""
-    return _c(c).cast("decimal(18,2)")

@@ -4,8 +4,7 @@ Physical strategy is left to Spark: AQE measures each right side at runtime and
 sort-merge join into a broadcast hash join only when the measured size is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``; above it, sort-merge with skewed left
 partitions split (``spark.sql.adaptive.skewJoin``).  Consecutive joins on the same key
-reuse one partitioning of the left side, so ``enrich`` groups them by key.
-An explicit ``broadcast`` is only placed behind a row-count bound (``broadcast_if_bounded``).
+reuse one partitioning of the left side, so ``enrich`` groups them by key.  No join is forced to broadcast.
 """
 
 from __future__ import annotations
@@ -30,13 +29,6 @@ class JoinSpec:
     spread_nulls_by: str | None = None
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows (a bounded count
-    on the driver: ``limit(max_rows + 1).count()``); otherwise leave the choice to AQE."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 NULL_SPREAD_PREFIX = "\u0001"
 
 

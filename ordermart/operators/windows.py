@@ -50,12 +50,12 @@ def partition_total(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column])
     return df.withColumns({name: a.over(w) for name, a in aggs.items()})
 
 
-def last_active_before(df: DataFrame, keys: Sequence[str], order_by: str, value: str | Column,
+def last_active_before(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], value: str | Column,
                        condition: Column, name: str) -> DataFrame:
     """The latest ``value`` among *earlier* rows meeting ``condition``
     (``MAX(CASE WHEN cond THEN value END) OVER (... ROWS UNBOUNDED PRECEDING AND 1 PRECEDING)``)."""
     v = F.col(value) if isinstance(value, str) else value
-    w = Window.partitionBy(*keys).orderBy(order_by).rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*keys).orderBy(*_cols(order_by)).rowsBetween(Window.unboundedPreceding, -1)
     return df.withColumn(name, F.max(F.when(condition, v)).over(w))
 
 
@@ -66,17 +66,6 @@ def group_aggregate(df: DataFrame, keys: Sequence[str], aggs: dict[str, Column])
     return df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
 
 
-def first_values(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], exprs: dict[str, Column]) -> DataFrame:
-    """``FIRST_VALUE(expr) OVER (PARTITION BY keys ORDER BY order_by)`` as a keyed
-    table: ``min(struct(order_by..., exprs...))``.  NULL expression values are kept (no
-    IGNORE NULLS), ASC NULLS FIRST ordering as in the window; ties on ``order_by`` are
-    broken by the expression values."""
-    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
-    fields += [e.alias(n) for n, e in exprs.items()]
-    return (df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_first"))
-            .select(*keys, *[F.col("_first").getField(n).alias(n) for n in exprs]))
-
-
 NULL_KEY = "\u0000"
 
 

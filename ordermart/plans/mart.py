@@ -2,18 +2,14 @@
 
 Plan shape of the wide side (one row per order, times join fan-out):
 
-1. order rollup (C14): the narrow SKU catalogue is broadcast behind a proven row bound
-   (L7, no shuffle of the lines), then one aggregate (partial, then final);
-2. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23): one shuffle of the rows,
-   every right side co-partitioned on the order key;
+1. order rollup (C14): the lines meet the SKU catalogue (L7) and are hashed on the order key once;
+2. nine order-keyed joins (L8 L9 L13 L14 L15 L17 L20 L21 L23) on that partitioning, every
+   right side co-partitioned on the order key;
 3. L16 on (user of the order fact, month) through narrow (order, user, month) triples
    packed per order and joined back on the order key: no shuffle of the rows;
 4. lineage cut (a Parquet table in ``spark.checkpoint.dir``, read back);
-5. ``customer_stage``: one aggregate of the rows, then every customer-keyed input --
-   customer-month sources (L12 L18 L19 L22), customer sources (L10, L11 with W11),
-   W12-W18 -- folded into one small table per (customer, minute segment); the rows are
-   shuffled once on (customer, segment) and joined to it.  A customer holding a third of
-   all orders is spread over its minutes;
+5. ``customer_stage``: one aggregate of the rows to narrow (customer, month, week, minute) rows; every
+   customer-keyed value is a window or a lookup on those, and the rows are shuffled once to meet them;
 6. final projection in the published column order.
 
 Customer keys go through ``null_safe_key`` so the NULL customer, one window partition in
@@ -45,6 +41,16 @@ FIRST_ORDER = ["order_timestamp", "order_id"]
 FANOUT_ORDER = ["comp_ccr1", "comp_ccr2", "comp_ccr3", "comp_user_fraud", "comp_case_origin", "user_trust_segment"]
 
 
+# rows of one order that other sources repeat
+ROW_ORDER = ["o1_user_id", "customer_real_id", "coupon_used_amount", "bank", "coupon_campaign", "coupon_campaign_id", "dps_scheme_id",
+             "d_bin_campaign", "actual_delivery_time", "mission_type", "type_user", "mes_en_curso", "dmart_growth_status"]
+
+
+def _known(df: DataFrame, key: str) -> DataFrame:
+    """Rows whose key can meet anything: NULL equals no key."""
+    return df.where(F.col(key).isNotNull())
+
+
 def _same(*names: str) -> dict[str, str]:
     return {n: n for n in names}
 
@@ -58,7 +64,7 @@ def order_joins(src: dict[str, DataFrame]) -> list[JoinSpec]:
                     "shipping_amount_visualized", "shipping_amount", "plus_order", "total_amount",
                     "has_bins_discount", "is_user_plus")}, name="L8 fact_orders"),
         JoinSpec(src["fact_talon_coupons"], ORDER, ["join_order_id"], _same("coupon_used_amount"), name="L9 coupons"),
-        JoinSpec(O.prep_payments(src["fact_payments_transaction"]), ORDER, ["join_order_id"],
+        JoinSpec(O.prep_payments(_known(src["fact_payments_transaction"], "join_order_id")), ORDER, ["join_order_id"],
                  _same("bank", "operation_type", "payment_name"), name="L13 payments"),
         JoinSpec(src["dim_coupon_crm_attributes"], ORDER, ["join_order_id"], {
             "v_type": "type", "coupon_segment": "segment", "coupon_nivel": "nivel", "coupon_funnel": "funnel",
@@ -83,7 +89,7 @@ def order_joins(src: dict[str, DataFrame]) -> list[JoinSpec]:
             name="L21 orders_pe"),
         JoinSpec(src["fact_groceries_shopping_missions"], ORDER, ["join_order_id"], _same("mission_type"),
                  name="L23 shopping missions"),
-        JoinSpec(O.complaint_rollup(src["dmarts_customer_compliant"]), ORDER, ["join_order_id"], {
+        JoinSpec(O.complaint_rollup(_known(src["dmarts_customer_compliant"], "join_order_id")), ORDER, ["join_order_id"], {
             "comp_ccr1": "ccr1", "comp_ccr2": "ccr2", "comp_ccr3": "ccr3", "comp_user_fraud": "user_fraud",
             "comp_case_origin": "case_origin", "user_trust_segment": "user_trust_segment"},
             name="L20 complaints (fans out)"),
@@ -105,24 +111,24 @@ def user_month_join(users: DataFrame) -> JoinSpec:
         spread_nulls_by="join_order_id")
 
 
-def customer_month_joins(src: dict[str, DataFrame], month_aggs: DataFrame | None = None) -> list[JoinSpec]:
-    """L12, L18, L19, L22 and the customer-month window aggregates, all on (customer, month)."""
+def customer_month_joins(src: dict[str, DataFrame], floor=None) -> list[JoinSpec]:
+    """L12, L18, L19, L22, all on (customer, month).  ``floor``: the first order month; earlier months of
+    the two sources that no look-back reads can't match."""
+    recent = lambda df: df if floor is None else df.where(F.col("join_month") >= F.lit(floor))
     gt_cols = ("bop_level_0", "bop_level_1", "bop_level_2", "benefit_segment", "platform_current_frequency",
                "month_dechurned", "sundays_boolean", "sundays_boolean_last_month", "activated_by",
                "last_month_activated_by", "dmart_category_range", "user_dmart_frequency_interval",
                "dmart_lifetime_stage", "plus_dmarts_lifecycle", "user_range_retention_tag")
     return [
-        JoinSpec(src["peru_clusters"], CUST_MONTH, USER_MONTH, {"crm_pe_cluster": "n_cluster"}, name="L12 clusters"),
-        JoinSpec(O.prep_purchase_missions(src["dmart_purchase_missions"]), CUST_MONTH, USER_MONTH, {
+        JoinSpec(recent(src["peru_clusters"]), CUST_MONTH, USER_MONTH, {"crm_pe_cluster": "n_cluster"}, name="L12 clusters"),
+        JoinSpec(O.prep_purchase_missions(_known(src["dmart_purchase_missions"], "join_user_id")), CUST_MONTH, USER_MONTH, {
             "dmart_shopping_mission": "category",
             "dmart_pm_shopping_mission_prior_month": "dmart_pm_shopping_mission_prior_month"}, name="L18 missions"),
-        JoinSpec(O.prep_behavioural_clustering(src["dmart_behavioural_clustering"]), CUST_MONTH, USER_MONTH, {
+        JoinSpec(O.prep_behavioural_clustering(_known(src["dmart_behavioural_clustering"], "join_user_id")), CUST_MONTH, USER_MONTH, {
             "crm_pe_dm_cluster": "final_dm_cluster", "crm_pe_dmart_cluster": "dmart_cluster",
             "crm_pe_dmart_cluster_prior_month": "dmart_cluster_prior_month"}, name="L19 clustering"),
-        JoinSpec(src["dmart_growth_tracker"], CUST_MONTH, USER_MONTH, _same(*gt_cols), name="L22 growth tracker"),
-    ] + ([] if month_aggs is None else [
-        JoinSpec(month_aggs, CUST_MONTH, CUST_MONTH,
-                 _same(*[c for c in month_aggs.columns if c not in CUST_MONTH]), name="W16-W18")])
+        JoinSpec(recent(src["dmart_growth_tracker"]), CUST_MONTH, USER_MONTH, _same(*gt_cols), name="L22 growth tracker"),
+    ]
 
 
 def user_income_with_max(s11: DataFrame) -> DataFrame:
@@ -136,7 +142,7 @@ def user_income_with_max(s11: DataFrame) -> DataFrame:
     return s11.join(maxes, "join_user_id", "left")
 
 
-def customer_joins(src: dict[str, DataFrame], cust_aggs: DataFrame | None = None) -> list[JoinSpec]:
+def customer_joins(src: dict[str, DataFrame]) -> list[JoinSpec]:
     return [
         JoinSpec(src["agg_user_lifecycle"], ["k_cust"], ["join_user_id"], {
             "health_status": "health_status", "h_int_type": "intermittency_type", "h_funnel": "funnel",
@@ -146,35 +152,27 @@ def customer_joins(src: dict[str, DataFrame], cust_aggs: DataFrame | None = None
             "dh_age_prediction": "dh_age_prediction_max", "dh_gender_prediction": "dh_gender_prediction_max",
             "u_cell_segment": "u_cell_segment", "u_income": "u_income", "u_segmemnt": "segment_max",
             "u_user_demographic_group": "user_demographic_group_max"}, name="L11 income + W11"),
-    ] + ([] if cust_aggs is None else [
-        JoinSpec(cust_aggs, ["k_cust"], ["k_cust"], _same(*[c for c in cust_aggs.columns if c != "k_cust"]),
-                 name="W14")])
+    ]
 
 
-def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame | None = None) -> DataFrame:
-    """The period's orders with every enrichment and customer-level window value."""
-    skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])
-    s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold,
-                          broadcast_rows=cfg.catalogue_broadcast_rows)
+def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame | None = None, cut=cut_lineage) -> DataFrame:
+    """The period's orders with every enrichment and customer-level window value.  ``cut`` writes
+    a table and reads it back."""
+    skus = O.prep_skus_pim(_known(src["skus_pim_dmart"], "join_sku"), src["pim_level_0_bis"])
+    s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold)
     s = s.withColumns({
         "k_cust": null_safe_key("join_customer_id"),
         "week_of_year": week_of_year_sunday(week_monday("order_date")),
         "_mission": R.shopping_mission("fulfilled", "categories"),
     })
     if users is None:
-        period_users = None
-        if cfg.prune_users:
-            period_users = (src["fact_orders"].select("join_user_id")
-                            .where(F.col("join_user_id").isNotNull()).distinct())
-        users = U.user_months(src, cfg, U.spine_floor(cfg), only_users=period_users,
-                              orders=s if cfg.user_months_from_orders else None)
+        period_users = _known(src["fact_orders"].select("join_user_id"), "join_user_id").distinct()
+        users = U.user_months(U.known_users(src), cfg, U.spine_floor(cfg), only_users=period_users)
     # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
     df = enrich(s, order_joins(src))
     df = user_month_values(df, users)
-    if cfg.checkpoint_joined:
-        # the customer stage reads these rows five times (four small aggregates + the rows)
-        df = cut_lineage(df)
-    return customer_stage(df, src, cfg)
+    # the customer stage reads these rows twice
+    return customer_stage(cut(df, "orders"), src, cfg, cut)
 
 
 def user_month_values(rows: DataFrame, users: DataFrame) -> DataFrame:
@@ -204,111 +202,65 @@ def _struct_of(cols: list[str]):
     return F.struct(*[F.col(c) for c in cols])
 
 
-def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig) -> DataFrame:
-    """Everything keyed by the customer, with ONE shuffle of the order rows.
-
-    Customer-keyed inputs are where one key can hold a third of all rows, so none of them
-    is joined to the rows on the customer key.  Instead:
-
-    1. one aggregate of the rows at (customer, month, week, minute segment) grain (partial
-       aggregation splits hot keys): row counts, and the pieces of W14 (per customer),
-       W15 (per (customer, week)) and W16-W18 (per (customer, month)), which are then
-       re-aggregated from that small table;
-    2. the customer-month sources (L12 L18 L19 L22) are left-joined to the distinct
-       (customer, month) keys and the customer sources (L10, L11 + W11) to the distinct
-       customers -- exactly the matches each order row would get, fan-out included;
-    3. all of it is folded into one table keyed by (customer, segment): per (month, week)
-       entry the window values, the running-number offsets and the array of matched
-       source rows;
-    4. the rows are shuffled once on (customer, segment), joined to that table, the
-       matching entry's source rows exploded (the fan-out of the original left joins),
-       and numbered inside their bounded (customer, segment) groups.
-    A hot customer is thus spread over its minutes in every step."""
-    seg = time_segment("order_timestamp", cfg.rank_segment)
-    d = df.withColumn("_seg", seg)
-    K, M_, WK = "k_cust", "join_order_month", "week_of_year"
-
-    # 1. aggregates of the rows: ONE pass at the finest grain (customer, month, week, minute);
-    #    the coarser tables re-aggregate that small table (MIN / MAX / struct-MIN compose)
+def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage) -> DataFrame:
+    """Everything keyed by the customer.
+
+    One key can hold a third of all rows here, so the wide rows are never gathered by customer:
+
+    1. one aggregate of the rows to ``fine``, narrow rows (customer, month, week, minute): counts and the
+       pieces of W14-W18.  It is written once; a customer has at most as many of them as the clock has minutes;
+    2. the customer-month sources (L12 L18 L19 L22) are joined to the distinct (customer, month) keys and the
+       customer sources (L10, L11 with W11) to the distinct customers, and packed per
+       (customer, month): exactly the matches each order row gets, fan-out included;
+    3. ``fine`` meets the packed matches on (customer, month) and is hashed on the customer once; first values,
+       week minimum, flags and the offsets of the running numbers are windows on that partitioning;
+    4. the rows are hashed on (customer, minute), meet their ``fine`` row, explode the matches, and are
+       numbered inside their (customer, minute) groups on top of the offsets."""
+    K, M_, WK, SEG = "k_cust", "join_order_month", "week_of_year", "_seg"
+    d = df.withColumn(SEG, time_segment("order_timestamp", cfg.rank_segment))
     act = R.month_activation_expressions("coupon_used_amount", "plus_order", "plus_item_level", "crm_vertical")
-    flags = ["has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2"]
     first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
                                       "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
                                       "crm_vertical")
+    flags = {"has_stock_up_mission": F.col("mission_type") == "Stock Up", "has_fill_in_mission": F.col("mission_type") == "Fill In",
+             "user_has_stock_up_v2": F.col("_mission") == "Stock Up", "user_has_fill_in_v2": F.col("_mission") == "Fill In"}
     order_key = [F.col(c) for c in FIRST_ORDER]
-    fine = d.groupBy(K, M_, WK, "_seg").agg(
+    fine = cut(d.groupBy(K, M_, WK, SEG).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.struct(*order_key, *[e.alias(n) for n, e in act.items()])).alias("_first_m"),
         F.min(F.struct(*order_key, *[e.alias(n) for n, e in first.items()])).alias("_first_c"),
         F.min(iso_weekday("order_date")).alias("_wmin"),
-        F.max(flag(F.col("mission_type") == "Stock Up")).alias(flags[0]),
-        F.max(flag(F.col("mission_type") == "Fill In")).alias(flags[1]),
-        F.max(flag(F.col("_mission") == "Stock Up")).alias(flags[2]),
-        F.max(flag(F.col("_mission") == "Fill In")).alias(flags[3]),
-    )
-    counts = fine.select(K, M_, WK, "_seg", "_n")
-    month_aggs = (fine.groupBy(K, M_).agg(F.min("_first_m").alias("_first"), *[F.max(c).alias(c) for c in flags])
-                  .select(K, M_, *[F.col("_first").getField(n).alias(n) for n in act], *flags))
-    cust_aggs = (fine.groupBy(K).agg(F.min("_first_c").alias("_first"))
-                 .select(K, *[F.col("_first").getField(n).alias(n) for n in first]))
-    week_aggs = fine.groupBy(K, WK).agg(F.min("_wmin").alias("wsd_start_day"))
-
-    # 2. source matches per key (left joins on the key tables: same matches as the rows get)
-    cm_specs = customer_month_joins(src)
-    cu_specs = customer_joins(src)
-    cm_cols = [c for j in cm_specs for c in j.select]
-    cu_cols = [c for j in cu_specs for c in j.select]
-    cm_rows = enrich(counts.select(K, M_).distinct(), cm_specs)
-    cu_rows = enrich(counts.select(K).distinct(), cu_specs)
-    cm_n = cm_rows.groupBy(K, M_).agg(F.count(F.lit(1)).alias("_f_cm"))
-    cu_n = cu_rows.groupBy(K).agg(F.count(F.lit(1)).alias("_f_cu"))
-    matches = (cm_rows.join(cu_rows, K)
-               .groupBy(K, M_).agg(F.array_sort(F.collect_list(_struct_of(cm_cols + cu_cols))).alias("_matches")))
-
-    # offsets of the running numbers over the final (fanned) rows
-    before = Window.unboundedPreceding, -1
-    cnt = (counts.join(cm_n, [K, M_]).join(cu_n, K)
-           .withColumn("_nf", F.col("_n") * F.col("_f_cm") * F.col("_f_cu")))
-    per_ms = cnt.groupBy(K, M_, "_seg").agg(F.sum("_nf").alias("_nms"))
-    per_ms = per_ms.withColumn("_off_month", F.coalesce(F.sum("_nms").over(
-        Window.partitionBy(K, M_).orderBy("_seg").rowsBetween(*before)), F.lit(0)))
-    per_s = cnt.groupBy(K, "_seg").agg(F.sum("_nf").alias("_ns"))
-    per_s = per_s.withColumn("_off_all", F.coalesce(F.sum("_ns").over(
-        Window.partitionBy(K).orderBy("_seg").rowsBetween(*before)), F.lit(0)))
-
-    # 3. one table keyed by (customer, segment)
-    month_vals = [*act, *flags]
-    entry_cols = ["_off_month", "wsd_start_day", *month_vals, "_matches"]
-    entries = (counts.select(K, M_, WK, "_seg")
-               .join(per_ms.select(K, M_, "_seg", "_off_month"), [K, M_, "_seg"])
-               .join(week_aggs, [K, WK], "left")
-               .join(month_aggs, [K, M_], "left")
-               .join(matches, [K, M_], "left"))
-    table = (entries.groupBy(K, "_seg")
-             .agg(F.map_from_entries(F.collect_list(F.struct(F.struct(M_, WK), _struct_of(entry_cols))))
-                  .alias("_by_key"))
-             .join(per_s.select(K, "_seg", "_off_all"), [K, "_seg"])
-             .join(cust_aggs, K, "left"))
-
-    # 4. the rows: one shuffle, join, explode the matches, number inside bounded groups
-    rows = d.repartition(F.col(K), F.col("_seg")).join(table, [K, "_seg"], "left")
-    e = F.element_at(F.col("_by_key"), F.struct(F.col(M_), F.col(WK)))
-    rows = rows.withColumns({"_e": e}).select("*", F.posexplode_outer(F.col("_e").getField("_matches"))
-                                               .alias("_pos", "_m"))
-    order = [F.col(c) for c in [*FIRST_ORDER, *FANOUT_ORDER, "_pos"]]
+        *[F.max(flag(e)).alias(n) for n, e in flags.items()]), "fine")
+
+    cm_specs, cu_specs = customer_month_joins(src, cfg.period_start), customer_joins(src)
+    matched = [c for j in [*cm_specs, *cu_specs] for c in j.select]
+    months = enrich(fine.select(K, M_).distinct(), cm_specs)
+    customers = enrich(fine.select(K).distinct(), cu_specs)
+    matches = months.join(customers, K).groupBy(K, M_).agg(F.array_sort(F.collect_list(_struct_of(matched))).alias("_matches"))
+
+    by = lambda *keys: Window.partitionBy(K, *keys)
+    upto = lambda w: F.coalesce(F.sum("_rows").over(w.orderBy(SEG).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+                                - F.sum("_rows").over(w.orderBy(SEG).rangeBetween(Window.currentRow, Window.currentRow)), F.lit(0))
+    values = fine.join(matches, [K, M_]).withColumn("_rows", F.col("_n") * F.size("_matches")).repartition(K).withColumns({
+        "_off_all": upto(by()), "_off_month": upto(by(M_)),
+        "_c": F.min("_first_c").over(by()), "_m": F.min("_first_m").over(by(M_)),
+        "wsd_start_day": F.min("_wmin").over(by(WK)),
+        **{n: F.max(n).over(by(M_)) for n in flags},
+    }).select(K, M_, WK, SEG, "_off_all", "_off_month", "wsd_start_day", *flags, "_matches",
+              *[F.col("_m")[n].alias(n) for n in act], *[F.col("_c")[n].alias(n) for n in first])
+
+    # the month and week are compared as ranges: the join's own keys stay the partitioning's
+    mine = [F.col(f"r.{K}") == F.col(f"v.{K}"), F.col(f"r.{SEG}") == F.col(f"v.{SEG}"), F.col(f"r.{M_}").between(F.col(f"v.{M_}"), F.col(f"v.{M_}")),
+            F.col(f"r.{WK}").between(F.col(f"v.{WK}"), F.col(f"v.{WK}"))]
+    given = [c for c in values.columns if c not in (K, M_, WK, SEG, "_matches")]
+    rows = d.repartition(K, SEG).alias("r").join(values.alias("v"), mine).select("r.*", *given, F.posexplode("_matches").alias("_pos", "_e"))
+    order = [F.col(c) for c in [*FIRST_ORDER, *FANOUT_ORDER, *ROW_ORDER, "_pos"]]
     rows = rows.withColumns({
-        "_rn_all": F.row_number().over(Window.partitionBy(K, "_seg").orderBy(*order)),
-        "_rn_month": F.row_number().over(Window.partitionBy(K, M_, "_seg").orderBy(*order)),
+        "order_number": (F.row_number().over(Window.partitionBy(K, SEG).orderBy(*order)) + F.col("_off_all")).cast("bigint"),
+        "order_num_month": (F.row_number().over(Window.partitionBy(K, M_, SEG).orderBy(*order)) + F.col("_off_month")).cast("bigint"),
+        **{c: F.col("_e")[c] for c in matched},
     })
-    ev = F.col("_e")
-    out = rows.withColumns({
-        "order_number": (F.col("_rn_all") + F.col("_off_all")).cast("bigint"),
-        "order_num_month": (F.col("_rn_month") + ev.getField("_off_month")).cast("bigint"),
-        "wsd_start_day": ev.getField("wsd_start_day"),
-        **{c: ev.getField(c) for c in month_vals},
-        **{c: F.col("_m").getField(c) for c in cm_cols + cu_cols},
-    })
-    return out.drop("_seg", "_by_key", "_e", "_pos", "_m", "_rn_all", "_rn_month", "_off_all")
+    return rows.drop(SEG, "_e", "_pos", "_off_all", "_off_month")
 
 
 def final_projection(k: DataFrame) -> DataFrame:
@@ -368,33 +320,61 @@ def final_projection(k: DataFrame) -> DataFrame:
     return k.select(*C.OUTPUT_COLUMNS)
 
 
-def order_mart(src: dict[str, DataFrame], cfg: RunConfig) -> DataFrame:
+def order_mart(src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage) -> DataFrame:
     """The published order mart."""
-    return final_projection(enrich_orders(src, cfg))
+    return final_projection(enrich_orders(src, cfg, cut=cut))
 
 
-def publish(df: DataFrame, target: str, mode: str = "append") -> None:
-    """K1: append the mart to ``target``.  Columns are matched to the table's own column
-    order by name (a month-partitioned table keeps ``month`` last), then inserted
-    positionally.  ``mode='replace_month'`` overwrites only the months present (dynamic
-    partition overwrite), so rerunning a month does not append it twice."""
-    spark = df.sparkSession
-    table_cols = spark.table(target).columns
-    if sorted(table_cols) != sorted(C.OUTPUT_COLUMNS):
-        raise ValueError(f"{target} does not have the published columns")
-    out = df.select(*table_cols)
-    if mode == "append":
-        out.write.insertInto(target)
-    elif mode == "replace_month":
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        out.write.insertInto(target, overwrite=True)
-    else:
+def mart_schema(src: dict[str, DataFrame], cfg: RunConfig):
+    """The mart's schema; plans only, no data is read."""
+    return order_mart(src, cfg, cut=lambda df, *_: df).schema
+
+
+def check_target(spark, target: str, schema, mode: str = "append") -> None:
+    """Refuse a target that the mart can't be appended to by position, or whose months can't be
+    replaced.  Reads the catalog only."""
+    fields = spark.table(target).schema.fields
+    parts = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    if len(fields) != len(schema.fields):
+        raise ValueError(f"{target} has {len(fields)} columns, the mart {len(schema.fields)}")
+    for at, (have, give) in enumerate(zip(fields, positioned(schema.fields, parts), strict=True)):
+        if have.dataType != give.dataType:
+            raise ValueError(f"column {at + 1} of {target} ({have.name}) is {have.dataType.simpleString()}, the mart's {give.name} {give.dataType.simpleString()}")
+    if mode not in ("append", "replace_month"):
         raise ValueError(mode)
+    if mode == "replace_month" and parts != ["month"]:
+        raise ValueError(f"replace_month needs a target partitioned by month alone; {target} is partitioned by {parts or 'nothing'}")
+
 
+def positioned(columns: list, parts: list[str]) -> list:
+    """The published columns in a target's order: a table keeps its partition columns last."""
+    name = lambda c: getattr(c, "name", c)
+    return [c for c in columns if name(c) not in parts] + [c for p in parts for c in columns if name(c) == p]
 
-def create_target(df: DataFrame, target: str, path: str | None = None) -> None:
-    """Create an empty month-partitioned Parquet target with the mart's schema."""
-    w = df.select(*C.OUTPUT_COLUMNS).limit(0).write.format("parquet").partitionBy("month")
+
+def publish(df: DataFrame, target: str, mode: str = "append") -> None:
+    """K1: append the mart to ``target`` by position; the target's column names are its own.
+    ``mode='replace_month'`` overwrites only the months present, so rerunning a month does not append it twice."""
+    spark = df.sparkSession
+    df = df.select(*C.OUTPUT_COLUMNS)
+    check_target(spark, target, df.schema, mode)
+    parts = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    writer = df.select(*positioned(df.columns, parts)).write
+    if mode == "append":
+        writer.insertInto(target)
+        return
+    key = "spark.sql.sources.partitionOverwriteMode"  # an insert by position reads the session's, not the writer's
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        writer.insertInto(target, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
+
+
+def create_target(schema, target: str, spark, path: str | None = None) -> None:
+    """Create an empty month-partitioned Parquet target for the mart."""
+    w = spark.createDataFrame([], schema).select(*C.OUTPUT_COLUMNS).write.format("parquet").partitionBy("month")
     if path:
         w = w.option("path", path)
     w.saveAsTable(target)

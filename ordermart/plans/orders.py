@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ordermart import config as C
 from ordermart.functions import rules as R
 from ordermart.functions.numeric import any_flag, safe_ratio
-from ordermart.operators.joins import JoinSpec, broadcast_if_bounded, enrich
+from ordermart.operators.joins import JoinSpec, enrich
 from ordermart.operators.windows import latest_per_key, prior_value
 
 ORDER_KEYS = ["store_name", "vendor_id", "order_date", "join_order_month", "order_timestamp",
@@ -19,7 +19,7 @@ def prep_skus_pim(s4: DataFrame, s5: DataFrame) -> DataFrame:
     """Catalogue ⟕ level-0 lookup (L1), best barcode per SKU."""
     cat = enrich(s4, [JoinSpec(s5, ["level_1"], ["level_1"], {"level_0": "level_0"})])
     payload = ["piece_barcode", "level_0", "level_1", "level_2", "level_3", "level_4", "country_code"]
-    return latest_per_key(cat.where(F.col("join_sku").isNotNull()), ["join_sku"], ["piece_barcode"], payload)
+    return latest_per_key(cat, ["join_sku"], ["piece_barcode"], payload)
 
 
 def prep_payments(s6: DataFrame, s7: DataFrame | None = None) -> DataFrame:
@@ -33,58 +33,49 @@ def prep_payments(s6: DataFrame, s7: DataFrame | None = None) -> DataFrame:
         df = enrich(df, [JoinSpec(s7, ["join_restaurant_id"], ["join_codigo"], {"_v": "join_codigo"})])
     df = df.select("join_order_id", F.col("issuer").alias("bank"),
                    F.col("card_operation_type").alias("operation_type"), F.col("provider").alias("payment_name"))
-    return latest_per_key(df.where(F.col("join_order_id").isNotNull()), ["join_order_id"], ["bank"],
+    return latest_per_key(df, ["join_order_id"], ["bank"],
                           ["bank", "operation_type", "payment_name"])
 
 
 def prep_purchase_missions(s16: DataFrame) -> DataFrame:
     """Previous month's purchase mission."""
-    df = s16.where(F.col("join_user_id").isNotNull())
-    return prior_value(df, ["join_user_id"], ["join_month", "category"],
+    return prior_value(s16, ["join_user_id"], ["join_month", "category"],
                        {"dmart_pm_shopping_mission_prior_month": "category"})
 
 
 def prep_behavioural_clustering(s17: DataFrame) -> DataFrame:
     """Previous month's behavioural cluster."""
-    df = s17.where(F.col("join_user_id").isNotNull())
-    return prior_value(df, ["join_user_id"], ["join_month", "dmart_cluster", "final_dm_cluster"],
+    return prior_value(s17, ["join_user_id"], ["join_month", "dmart_cluster", "final_dm_cluster"],
                        {"dmart_cluster_prior_month": "dmart_cluster"})
 
 
 def complaint_rollup(s18: DataFrame) -> DataFrame:
     """Complaints per order and six attributes."""
     return (s18.groupBy("join_order_id", "ccr1", "ccr2", "ccr3", "user_fraud", "user_trust_segment", "case_origin")
-            .agg(F.sum("amount").cast("decimal(18,2)").alias("sum_amount"),
-                 F.sum("euros").cast("decimal(18,2)").alias("sum_euros"),
+            .agg(F.sum("amount").alias("sum_amount"),
+                 F.sum("euros").alias("sum_euros"),
                  F.countDistinct("case_number").alias("cases")))
 
 
-def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25,
-                    broadcast_rows: int | None = None) -> DataFrame:
+def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25) -> DataFrame:
     """C14 / A5: order lines ⟕ catalogue (L7) rolled up to orders, with bands (R2, R3) and
-    flags (R4, R5).  One aggregate: partial per task, then final per order.
+    flags (R4, R5).
 
-    With ``broadcast_rows`` the catalogue, narrowed to the three columns used, is
-    broadcast if a bounded count proves it has at most that many rows: the lines then keep
-    their scan partitioning (no shuffle by SKU, so no hot-SKU task) and the partial
-    aggregate combines each order's lines before the one shuffle of the rollup."""
+    The lines are hashed on the order key once: that partitioning serves the nine-key grouping, the
+    distinct categories and every order-keyed join after it.  Sums keep the type that the lines' money has."""
     cat = skus.select("join_sku", "level_0", "level_2")
-    if broadcast_rows:
-        cat = broadcast_if_bounded(cat, broadcast_rows)
     df = enrich(lines, [JoinSpec(cat, ["join_sku_id"], ["join_sku"], {"level_0": "level_0", "level_2": "level_2"})])
-    dec = lambda c: F.sum(c).cast("decimal(18,2)")
+    df = df.repartition("join_order_id")
     qty = F.col("fulfilled_quantity")
     disc = F.col("pcm_discount_amount_net_lc")
     agg = df.groupBy(*ORDER_KEYS).agg(
-        # distinct level-2 categories: a set bounded by the catalogue, built map-side
-        # (one shuffle; COUNT(DISTINCT) would re-shuffle the lines on (order, level_2))
-        F.size(F.collect_set("level_2")).cast("bigint").alias("categories"),
+        F.countDistinct("level_2").alias("categories"),
         F.sum("ordered_quantity").alias("ordered"),
         F.sum("fulfilled_quantity").alias("fulfilled"),
-        dec("total_amount_sold_net_lc").alias("venta"),
-        dec("total_amount_net_with_discount_lc").alias("venta_neta"),
-        dec("total_cogs_sold_net_lc").alias("cost"),
-        dec("pcm_discount_amount_net_lc").alias("discount"),
+        F.sum("total_amount_sold_net_lc").alias("venta"),
+        F.sum("total_amount_net_with_discount_lc").alias("venta_neta"),
+        F.sum("total_cogs_sold_net_lc").alias("cost"),
+        F.sum("pcm_discount_amount_net_lc").alias("discount"),
         any_flag(F.col("level_0").isin(*C.FRESH_LEVELS) & (qty > 0)).alias("fresh_order"),
         any_flag((F.col("level_0") == C.ULTRA_FRESH_LEVEL) & (qty > 0)).alias("ultra_fresh_order"),
         any_flag(disc > 0).alias("discount_order"),
@@ -94,8 +85,8 @@ def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25,
     )
     ratio = safe_ratio("discount", "venta")
     return agg.withColumns({
-        "front_margin": (F.col("venta_neta") - F.col("cost")).cast("decimal(18,2)"),
-        "theoric_margin": (F.col("venta") - F.col("cost")).cast("decimal(18,2)"),
+        "front_margin": F.col("venta_neta") - F.col("cost"),
+        "theoric_margin": F.col("venta") - F.col("cost"),
         "discount_rate": ratio,
         "basket_segment": R.basket_segment("fulfilled"),
         "afv_segment": R.value_band("venta"),

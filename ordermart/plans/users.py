@@ -1,10 +1,11 @@
 """User branch: C1-C4, C10-C13 (user x month lifecycle spine and its metrics).
 
 Every window here is partitioned by user and ordered by month over a spine that has at
-most one row per (user, month) (plus the fan-out of the monthly-info join): partitions are
-bounded by the number of months, so plain windows are safe.  Rows with a NULL user can
-never be joined by the mart (``NULL = x`` is never true) and are dropped at the start,
-which also keeps them from forming one giant NULL partition.
+most one row per (user, month) (plus the fan-out of its left joins): partitions are
+bounded by the number of months, so plain windows are safe.  Window orders end in the payload
+columns, so rows that repeat a (user, month) give the same values in any input order.  The tables
+keep rows with a NULL user; the mart drops them before it comes here (``known_users``), as
+``NULL = x`` is never true.
 """
 
 from __future__ import annotations
@@ -29,19 +30,18 @@ def add_months(d: dt.date, n: int) -> dt.date:
     return dt.date(y, m + 1, 1)
 
 
-def spine_floor(cfg: RunConfig) -> dt.date | None:
+def spine_floor(cfg: RunConfig) -> dt.date:
     """First month the mart can read: the mart joins only order months >= period start,
     and the deepest look-back is two months (LAG of a rule over a LAG).  ``last_month_active``
     only sees months with loaded order lines, which start at the period start.  So the
     spine can start two months before the period without changing any published value."""
-    return add_months(cfg.period_start, -2) if cfg.prune_spine else None
+    return add_months(cfg.period_start, -2)
 
 
 def user_global_dates(s1: DataFrame) -> DataFrame:
     """One row per distinct (user, adoption and acquisition window)."""
-    return (s1.where(F.col("join_id").isNotNull())
-            .select(F.col("join_id").alias("join_user_id"), "adoption_since", "acquisition_since",
-                    "adoption_until", "acquisition_until")
+    return (s1.select(F.col("join_id").alias("join_user_id"), "adoption_since", "acquisition_since",
+                      "adoption_until", "acquisition_until")
             .distinct())
 
 
@@ -52,41 +52,23 @@ def date_grid(ugd: DataFrame, cfg: RunConfig, floor: dt.date | None = None) -> D
 
 def user_monthly_status(s1: DataFrame, floor: dt.date | None = None) -> DataFrame:
     """Lifecycle type and month-of-life per (user, month)."""
-    df = s1.where(F.col("join_id").isNotNull())
     if floor is not None:
-        df = df.where(F.col("join_month") >= F.lit(floor))
-    return df.select(F.col("join_id").alias("join_user_id"), "join_month", "type", "mes_en_curso")
+        s1 = s1.where(F.col("join_month") >= F.lit(floor))
+    return s1.select(F.col("join_id").alias("join_user_id"), "join_month", "type", "mes_en_curso")
 
 
 def user_monthly_orders(lines: DataFrame) -> DataFrame:
     """C4 / A3: orders, basket size, categories and average order value per (user, month).
     COUNT(DISTINCT) plans as an Expand + two-level aggregate, partial at each level."""
     n_orders = F.countDistinct("join_order_id")
-    return (lines.where(F.col("join_customer_id").isNotNull())
-            .groupBy(F.col("join_customer_id").alias("join_user_id"),
-                     F.col("join_order_month").alias("join_month"))
+    return (lines.groupBy(F.col("join_customer_id").alias("join_user_id"),
+                          F.col("join_order_month").alias("join_month"))
             .agg(n_orders.alias("dm_current_frequency"),
                  safe_ratio(F.sum("fulfilled_quantity"), n_orders).alias("basket_size"),
                  F.countDistinct("master_category_parent_english").alias("categories"),
                  safe_ratio(F.sum("total_amount_net_with_discount_lc"), n_orders).alias("afv")))
 
 
-def user_monthly_orders_from_rollup(orders: DataFrame) -> DataFrame:
-    """C4 for the mart, from the order rollup (C14) instead of the lines: the same orders
-    per (user, month), the same net sum (decimal sums are exact, so summing per-order sums
-    gives the line total), so ``dm_current_frequency`` and ``afv`` -- the spine values the
-    mart publishes through R7, R8, R12 -- are identical.  ``categories`` (distinct master
-    categories of the lines) is never published and is not recomputed here."""
-    n_orders = F.countDistinct("join_order_id")
-    return (orders.where(F.col("join_customer_id").isNotNull())
-            .groupBy(F.col("join_customer_id").alias("join_user_id"),
-                     F.col("join_order_month").alias("join_month"))
-            .agg(n_orders.alias("dm_current_frequency"),
-                 safe_ratio(F.sum("fulfilled"), n_orders).alias("basket_size"),
-                 F.lit(None).cast("bigint").alias("categories"),
-                 safe_ratio(F.sum("venta_neta"), n_orders).alias("afv")))
-
-
 def dmart_data(grid: DataFrame, ugd: DataFrame, ums: DataFrame, umo: DataFrame,
                more: list[JoinSpec] = ()) -> DataFrame:
     """Spine ⟕ monthly status ⟕ monthly orders (L4, L5) [⟕ ``more`` user-month joins]
@@ -121,6 +103,11 @@ def monthly_info_join(s3: DataFrame) -> JoinSpec:
     return JoinSpec(s3, USER_MONTH, USER_MONTH, {f"m_{c}": c for c in MONTHLY_INFO})
 
 
+# rows that repeat a (user, month) are told apart by what the windows read
+USER_MONTH_ORDER = ["join_month", "type", "mes_en_curso", "adoption_since", "acquisition_since", "adoption_until",
+                    "acquisition_until", "dm_current_frequency", "afv", "platform_status", "platform_prior_status"]
+
+
 def user_data(dd: DataFrame, s3: DataFrame | None = None) -> DataFrame:
     """C11: platform info (L6), prior-month values (W5-W7), R7/R8, month totals (W9), last
     active month (W10).  Pass ``s3`` to join L6 here; without it ``dd`` must already carry
@@ -129,7 +116,7 @@ def user_data(dd: DataFrame, s3: DataFrame | None = None) -> DataFrame:
     df = dd if s3 is None else enrich(dd, [monthly_info_join(s3)])
     df = df.withColumns({"platform_status": F.col("m_present_month_status_user"),
                          "platform_prior_status": F.col("m_past_month_status_user")})
-    df = prior_value(df, ["join_user_id"], ["join_month"], {
+    df = prior_value(df, ["join_user_id"], USER_MONTH_ORDER, {
         "dmart_growth_status_past_month": "dmart_growth_status",
         "previous_mes_en_curso": "mes_en_curso",
         "_prev_freq": "dm_current_frequency",
@@ -150,7 +137,7 @@ def user_data(dd: DataFrame, s3: DataFrame | None = None) -> DataFrame:
         "ls_current_frequency": F.sum(z("ls_present_month_orders") + z("c_present_month_orders")),
         "ls_prior_frequency": F.sum(z("ls_past_month_orders") + z("c_past_month_orders")),
     })
-    df = last_active_before(df, ["join_user_id"], "join_month", "join_month",
+    df = last_active_before(df, ["join_user_id"], USER_MONTH_ORDER, "join_month",
                             F.col("dm_current_frequency") > 0, "last_month_active")
     return df.drop("_prev_freq", "_prev_afv", *[f"m_{c}" for c in m])
 
@@ -168,27 +155,30 @@ def united_users(ud: DataFrame) -> DataFrame:
 
 def prep_united_users(uu: DataFrame) -> DataFrame:
     """Prior month's churn type."""
-    return prior_value(uu, ["join_user_id"], ["join_month"], {"dmart_churn_type_prior_month": "dmart_churn_type"})
+    return prior_value(uu, ["join_user_id"], [*USER_MONTH_ORDER, "dmart_churn_type"], {"dmart_churn_type_prior_month": "dmart_churn_type"})
+
+
+def known_users(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The user branch's inputs without rows of no user, which nothing in the mart can meet."""
+    keys = {"first_dmart_order_date_users": "join_id", "customer_orders_sku_level": "join_customer_id", "monthly_user_info": "join_user_id"}
+    return {name: src[name].where(F.col(key).isNotNull()) for name, key in keys.items()}
 
 
 def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None,
-                only_users: DataFrame | None = None, orders: DataFrame | None = None) -> DataFrame:
+                only_users: DataFrame | None = None) -> DataFrame:
     """C1-C4, C10-C13 end to end.
 
-    ``only_users`` (a ``join_user_id`` column) restricts the spine to those users before it
+    ``only_users`` (a ``join_user_id`` column) restricts every input to those users before the spine
     is generated: every window here is per user, so dropping whole users changes nothing
     for the others, and the mart reads the spine only for users of its orders."""
-    s1 = src["first_dmart_order_date_users"]
+    mine = lambda df, key="join_user_id": df if only_users is None else df.join(
+        only_users.select(F.col("join_user_id").alias("__only")), F.col(key) == F.col("__only"), "left_semi")
+    s1 = mine(src["first_dmart_order_date_users"], "join_id")
     ugd = user_global_dates(s1)
-    if only_users is not None:
-        ugd = ugd.join(only_users, "join_user_id", "left_semi")
     grid = date_grid(ugd, cfg, floor)
     ums = user_monthly_status(s1, floor)
-    if orders is not None:
-        umo = user_monthly_orders_from_rollup(orders)   # the mart: reuse its order rollup
-    else:
-        umo = user_monthly_orders(src["customer_orders_sku_level"])
-    s3 = src["monthly_user_info"]
+    umo = user_monthly_orders(mine(src["customer_orders_sku_level"], "join_customer_id"))
+    s3 = mine(src["monthly_user_info"])
     if floor is not None:
         s3 = s3.where(F.col("join_month") >= F.lit(floor))
     dd = dmart_data(grid, ugd, ums, umo, more=[monthly_info_join(s3)])

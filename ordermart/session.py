@@ -27,8 +27,6 @@ DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "32m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.aggregatePushdown": "true",
-    # per-order category sets are tiny: keep the partial collect_set hash-based
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -56,6 +54,16 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def apply_defaults(spark: SparkSession, shuffle_partitions: int | None = None) -> SparkSession:
+    """``configure``, and the execution settings that the cluster's session leaves at Spark's defaults."""
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and spark.sparkContext.getConf().get(k) is None:
+            spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    return configure(spark)
+
+
 _private: dict[str, str] = {}  # application id -> folder of a local session that has none
 _written: list[tuple[SparkSession, str]] = []
 

@@ -4,7 +4,7 @@ The engine reads 21 warehouse tables; the test data has ``lineitem orders part c
 Each role below is a deterministic Spark derivation of those tables (FIXTURES.md §3), so
 every query's work grows with the given data.  The DuckDB oracle (``oracle.py``) derives
 the same roles with the same arithmetic.  A production run passes the real tables instead
-(``roles_from_catalog``).
+(``spec.roles_from_catalog``).
 """
 
 from __future__ import annotations
@@ -23,11 +23,6 @@ def read_tables(spark: SparkSession, sf_dir: str, names=TPCH_TABLES) -> dict[str
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
-def roles_from_catalog(spark: SparkSession, table_names: dict[str, str]) -> dict[str, DataFrame]:
-    """Production: role name -> catalog table name."""
-    return {role: spark.table(name) for role, name in table_names.items()}
-
-
 def _m(c: str | Column, n: int) -> Column:
     return (F.col(c) if isinstance(c, str) else c) % F.lit(n)
 

@@ -11,8 +11,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ordermart import config as C
 from ordermart.config import RunConfig
@@ -44,8 +45,18 @@ def since_period(column: str) -> Callable[[RunConfig], Column]:
     return lambda cfg: F.to_date(F.col(column)) >= F.lit(cfg.period_start)
 
 
+def check_ids(df: DataFrame, spec: SourceSpec) -> None:
+    """Refuse ids that have no exact string form: the key of a double 12.0 would be '12.0' and join nothing."""
+    for key, path in spec.string_keys:
+        kind = df.select(F.col(path)).schema.fields[0].dataType
+        exact = isinstance(kind, (T.StringType, T.IntegralType)) or isinstance(kind, T.DecimalType) and kind.scale == 0
+        if not exact:
+            raise TypeError(f"{spec.name}.{path} ({key}) is {kind.simpleString()}; ids must be whole numbers or strings")
+
+
 def load_source(df: DataFrame, spec: SourceSpec, cfg: RunConfig) -> DataFrame:
     """Apply one SourceSpec to the raw table ``df``."""
+    check_ids(df, spec)
     if spec.predicate is not None:
         df = df.where(spec.predicate(cfg))
     out: list[Column] = []
@@ -223,6 +234,11 @@ SPECS: dict[str, SourceSpec] = {s.name: s for s in [
 ROLES = tuple(SPECS)
 
 
+def roles_from_catalog(spark: SparkSession, table_names: dict[str, str]) -> dict[str, DataFrame]:
+    """Production: role name -> catalog table name."""
+    return {role: spark.table(name) for role, name in table_names.items()}
+
+
 def load_all(raw: dict[str, DataFrame], cfg: RunConfig) -> dict[str, DataFrame]:
     """Normalise every raw role table given in ``raw`` (role name -> DataFrame)."""
     return {name: load_source(raw[name], SPECS[name], cfg) for name in ROLES if name in raw}

@@ -1,11 +1,14 @@
-"""Join helper, bounded broadcast and the source loader."""
+"""Join helper, the source loader and operators on null keys and finer money."""
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ordermart.config import RunConfig
-from ordermart.operators.joins import JoinSpec, broadcast_if_bounded, enrich
+from ordermart.operators.joins import JoinSpec, enrich
+from ordermart.plans.orders import customer_orders, prep_payments
+from ordermart.plans.users import user_global_dates, user_monthly_status
 from ordermart.sources.spec import SPECS, load_source
 
 
@@ -23,17 +26,6 @@ def test_spread_nulls_keeps_rows_and_matches(spark):
     assert "__lk0" not in spread.columns
 
 
-def test_broadcast_if_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    j1 = spark.range(100).join(broadcast_if_bounded(small, 50), "id")
-    j2 = spark.range(100).join(broadcast_if_bounded(big, 50), "id")
-    p1 = j1._jdf.queryExecution().optimizedPlan().toString()
-    p2 = j2._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in p1.lower()
-    assert "broadcast" not in p2.lower()
-
-
 def test_load_source_keys_filters_and_rules(spark):
     raw = spark.createDataFrame([
         (dt.date(2024, 5, 31), 1, 10, "pe", "CONFIRMED", "SEGMENT_USER", "summer", "growth"),
@@ -58,18 +50,34 @@ def test_load_source_keys_filters_and_rules(spark):
     assert out.columns.index("join_order_id") == out.columns.index("order_id") + 1
 
 
-def test_catalogue_broadcast_is_bounded_and_exact(spark):
-    from conftest import SF_SMALL
-    from ordermart.pipeline import test_sources
-    from ordermart.plans import orders as O
+def test_ids_without_exact_strings_are_refused(spark):
+    raw = spark.createDataFrame([(1.0, "a", "b")], "level_1 double, x string, y string")
+    with pytest.raises(TypeError, match="double"):
+        load_source(raw.withColumnRenamed("level_1", "codigo"), SPECS["dmarts_vendor_profiles"], RunConfig(as_of=dt.date(2024, 6, 15)))
+
+
+def _lines(spark, rows):
+    return spark.createDataFrame(rows, """store_name string, vendor_id long, order_date date, join_order_month date, order_timestamp timestamp_ntz,
+        customer_id long, join_customer_id string, order_id long, join_order_id string, join_sku_id string, ordered_quantity double,
+        fulfilled_quantity double, total_amount_sold_net_lc double, total_amount_net_with_discount_lc double, total_cogs_sold_net_lc double,
+        pcm_discount_amount_net_lc double, pcm_discount_subtype string, target_audience string, ild_amount int""")
+
+
+def test_sums_keep_the_money_of_the_lines(spark):
+    """No rounding: a value just below a band's edge and a discount below a cent count as they are; null orders stay."""
+    day, ts = dt.date(2024, 6, 1), dt.datetime(2024, 6, 1, 9)
+    line = lambda oid, sold, disc: ("s", 1, day, day, ts, 1, "1", oid, oid and str(oid), "k", 1.0, 1.0, sold, sold, 1.0, disc, None, None, 0)
+    skus = spark.createDataFrame([("k", "Fresh", "a")], "join_sku string, level_0 string, level_2 string")
+    got = {r.order_id: r for r in customer_orders(_lines(spark, [line(1, 50.0, 0.004), line(1, 48.996, 0.0), line(None, 5.0, 0.0)]), skus).collect()}
+    assert got[1].afv_segment == "[90,99]" and got[1].venta == 98.996 and got[1].discount_rate > 0 and got[1].discount_order == 1
+    assert got[None].venta == 5.0
+
 
-    src = test_sources(spark, SF_SMALL)
-    skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])
-    lines = src["customer_orders_sku_level"]
-    small = O.customer_orders(lines, skus, broadcast_rows=1_000_000)   # 200 SKUs: hinted
-    over = O.customer_orders(lines, skus, broadcast_rows=10)           # bound exceeded: no hint
-    hint = lambda df: "broadcast" in df._jdf.queryExecution().optimizedPlan().toString().lower()
-    assert hint(small) and not hint(over)
-    cols = sorted(small.columns)
-    rows = lambda df: sorted(map(tuple, df.select(*cols).collect()), key=str)
-    assert rows(small) == rows(over)
+def test_null_keys_are_kept_by_the_operators(spark):
+    s1 = spark.createDataFrame([(None, dt.date(2024, 1, 1))] * 2 + [("u", dt.date(2024, 1, 1))], "join_id string, adoption_since date").withColumns(
+        {c: F.col("adoption_since") for c in ("acquisition_since", "adoption_until", "acquisition_until", "join_month")} | {
+            "type": F.lit("x"), "mes_en_curso": F.lit(1)})
+    assert user_global_dates(s1).count() == 2 and user_monthly_status(s1).count() == 3
+    pay = spark.createDataFrame([(None, "a"), (None, "b"), ("1", "c")], "join_order_id string, issuer string").withColumns(
+        {"card_operation_type": F.lit("o"), "provider": F.lit("p")})
+    assert {(r.join_order_id, r.bank) for r in prep_payments(pay).collect()} == {(None, "b"), ("1", "c")}

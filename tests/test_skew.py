@@ -3,6 +3,7 @@ the orders, some customers are NULL, and customer / customer-month sources fan o
 
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,12 +20,17 @@ from ordermart.sources.adapters import build_roles, read_tables
 from ordermart.sources.spec import load_all
 
 
-def skewed_sources(spark):
+def skewed_sources(spark, times="as they are"):
     raw = build_roles(read_tables(spark, SF_SMALL))
     k = F.col("order_id")
     raw["customer_orders_sku_level"] = raw["customer_orders_sku_level"].withColumn(
         "customer_id", F.when(k % 3 == 0, F.lit(7)).when(k % 17 == 0, F.lit(None).cast("bigint"))
         .otherwise(F.col("customer_id")))
+    if times != "as they are":
+        lines = raw["customer_orders_sku_level"]
+        kind = lines.schema["order_timestamp"].dataType
+        value = F.lit(None).cast(kind) if times == "null" else F.date_trunc("day", "order_timestamp").cast(kind)
+        raw["customer_orders_sku_level"] = lines.withColumn("order_timestamp", value)
     inc = raw["user_income"]
     raw["user_income"] = inc.unionByName(inc.where(F.col("user_id") % 5 == 0).withColumn("age", F.col("age") + 1))
     pm = raw["dmart_purchase_missions"]
@@ -44,7 +50,7 @@ def naive_mart(src, cfg):
                 + M.customer_joins(src))
     c = Window.partitionBy("join_customer_id")
     cm = Window.partitionBy("join_customer_id", "join_order_month")
-    order = [F.col(x).asc_nulls_first() for x in [*M.FIRST_ORDER, *M.FANOUT_ORDER]]
+    order = [F.col(x).asc_nulls_first() for x in [*M.FIRST_ORDER, *M.FANOUT_ORDER, *M.ROW_ORDER]]
     first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
                                       "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
                                       "crm_vertical")
@@ -75,8 +81,9 @@ def by_order(df):
     return ranges, rest
 
 
-def test_customer_stage_matches_plain_windows_under_skew_and_fan_out(spark):
-    src = skewed_sources(spark)
+@pytest.mark.parametrize("times", ["as they are", "null", "midnight"])
+def test_customer_stage_matches_plain_windows_under_skew_and_fan_out(spark, times):
+    src = skewed_sources(spark, times)
     fast = M.order_mart(src, TEST_CONFIG)
     plain = naive_mart(src, TEST_CONFIG)
     rf, cf = by_order(fast)

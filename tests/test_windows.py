@@ -63,14 +63,6 @@ def test_latest_per_key_equals_qualify(spark):
     assert sorted(map(tuple, ref.collect())) == sorted(map(tuple, got.collect()))
 
 
-def test_first_values_equal_first_value(spark):
-    df = _df(spark).withColumn("k", W.null_safe_key("cust"))
-    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_first(), F.col("oid").asc_nulls_first())
-    ref = df.select("k", F.first("tag", ignorenulls=False).over(w).alias("t")).distinct()
-    got = W.first_values(df, ["k"], ["ts", "oid"], {"t": F.col("tag")})
-    assert sorted(map(tuple, ref.collect()), key=str) == sorted(map(tuple, got.collect()), key=str)
-
-
 def test_last_active_before(spark):
     df = spark.createDataFrame([("u", 1, 0), ("u", 2, 3), ("u", 3, 0), ("u", 4, 1), ("v", 1, 5)],
                                "u string, m int, f int")

@@ -33,14 +33,11 @@ def main() -> None:
 
     spark = build_session(extra={"spark.sql.autoBroadcastJoinThreshold": "-1",
                                  "spark.sql.adaptive.enabled": "false"})
-    import dataclasses
-
     from ordermart.pipeline import TEST_CONFIG, test_sources
     from ordermart.plans import mart as M
 
-    cfg = dataclasses.replace(TEST_CONFIG, checkpoint_joined=False)
-    src = test_sources(spark, sf_dir, cfg)
-    mart = M.order_mart(src, cfg)
+    src = test_sources(spark, sf_dir, TEST_CONFIG)
+    mart = M.order_mart(src, TEST_CONFIG, cut=lambda df, *_: df)
     lines = ["# Physical plans (static, broadcasts off: the shape a TB-sized run gets)", "",
              "Generated by `tools/explain.py`. The wide side is followed from the output down its first child;",
              "every `Exchange` listed is a shuffle of order rows. (The lineage cut is off here so the whole",
