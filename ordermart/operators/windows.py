@@ -83,61 +83,3 @@ def time_segment(ts: str | Column, unit: str = "minute") -> Column:
     """Bucket of an ordering timestamp, monotone in it; NULL (sorted first) -> the smallest bucket."""
     t = F.col(ts) if isinstance(ts, str) else ts
     return F.coalesce(F.date_trunc(unit, t).cast("timestamp_ntz"), F.lit(MIN_TS).cast("timestamp_ntz"))
-
-
-def sequence_numbers(df: DataFrame, specs: dict[str, Sequence[str]], order_by: Sequence[str | Column],
-                     segment: Column, base_keys: Sequence[str]) -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order_by)`` for several key
-    sets that all start with ``base_keys``, without ever holding one key's rows in one task.
-
-    ``segment`` must be non-decreasing along ``order_by`` (e.g. the minute of the leading
-    timestamp) and never NULL.  Rows are numbered inside (keys, segment) groups, which is a
-    window over bounded groups after a shuffle on (base_keys, segment); each group then adds
-    the row count of its key's earlier segments.  Those offsets come from a per-(key,
-    segment) count table (one row per key and minute: partially aggregated, small), summed
-    with a running window, and are joined back on (base_keys, segment), the partitioning
-    the rows already have.
-    """
-    base = list(base_keys)
-    d = df.withColumn("_seg", segment).repartition(*[F.col(k) for k in base], F.col("_seg"))
-    order = _cols(order_by)
-    extra_keys: dict[str, list[str]] = {}
-    for name, keys in specs.items():
-        assert list(keys[: len(base)]) == base, "every key set must start with base_keys"
-        extra_keys[name] = list(keys[len(base):])
-        w = Window.partitionBy(*keys, "_seg").orderBy(*order)
-        d = d.withColumn(f"_local_{name}", F.row_number().over(w))
-
-    counts = df.withColumn("_seg", segment).groupBy(
-        *base, *dict.fromkeys(k for ks in extra_keys.values() for k in ks), "_seg"
-    ).agg(F.count(F.lit(1)).alias("_n"))
-    offs = None
-    for name, ex in extra_keys.items():
-        # rows of the same (base, extra) key in earlier segments
-        per = counts.groupBy(*base, *ex, "_seg").agg(F.sum("_n").alias("_ns"))
-        w = Window.partitionBy(*base, *ex).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-        per = per.withColumn("_off", F.coalesce(F.sum("_ns").over(w), F.lit(0)))
-        if ex:
-            # one row per (base, segment): offsets that depend on extra keys travel as a map
-            packed = F.map_from_entries(F.collect_list(F.struct(F.struct(*ex), F.col("_off"))))
-        else:
-            packed = F.first("_off")
-        per = per.groupBy(*base, "_seg").agg(packed.alias(f"_off_{name}"))
-        offs = per if offs is None else offs.join(per, [*base, "_seg"], "full")
-
-    out = d.join(offs, [*base, "_seg"], "left")
-    result = {}
-    for name, ex in extra_keys.items():
-        off = F.col(f"_off_{name}")
-        if ex:
-            off = F.element_at(off, F.struct(*[F.col(k) for k in ex]))
-        result[name] = (F.col(f"_local_{name}") + off).cast("bigint")
-    out = out.withColumns(result)
-    drop = ["_seg", *[f"_local_{n}" for n in specs], *[f"_off_{n}" for n in specs]]
-    return out.drop(*drop)
-
-
-def row_number_plain(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], name: str) -> DataFrame:
-    """Reference form of W12/W13 (one partition per key), kept for tests of the segmented form."""
-    w = Window.partitionBy(*keys).orderBy(*_cols(order_by))
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))

@@ -4,6 +4,7 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import NullType
 
 from conftest import SF_SMALL
@@ -82,6 +83,7 @@ def test_publish_append_and_replace_month(spark):
 
 def test_unfit_targets_are_refused_and_unchanged(spark):
     schema = M.mart_schema(test_sources(spark, SF_SMALL), TEST_CONFIG)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
     row = spark.createDataFrame([tuple([None] * len(schema))], schema)
     names = [f"c{i}" for i in range(len(schema))]
     path = tempfile.mkdtemp(prefix="ordermart-plain-") + "/t"
