@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ordermart.llm import bpe, decontaminate, language, licences, ngram_join, quality, substring_dedup, suffix_dedup, token_files, warc
+from ordermart.llm.oracle import ORACLE  # noqa: F401
 from ordermart.llm.text import table
 
 
@@ -58,4 +59,3 @@ def op10_language_id(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op8_suffix_dedup, op9_decontaminate, op10_language_id)}
-ORACLE: dict[str, str] = {}
