@@ -16,8 +16,10 @@ from __future__ import annotations
 
 import heapq
 import json
+import struct
 import unicodedata
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -26,6 +28,8 @@ from pyspark.sql import functions as F
 from ordermart.llm.text import pieces
 
 REMEMBER = 200_000  # distinct words kept in a task's memory
+BLOCK_BYTES = 12 << 20  # text whose new words are merged together
+MANY = 48  # positions from which a rank is applied to all at once
 OTHER_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for spaces, the pattern doesn't
 
 
@@ -48,62 +52,96 @@ class Vocabulary:
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         hidden = [b for b in range(256) if b not in shown]
         letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-        self.inner = [vocab[letter[b]] for b in range(256)]
-        self.last = [vocab[letter[b] + self.end] for b in range(256)]
+        self.inner = np.array([vocab[letter[b]] for b in range(256)])
+        self.last = np.array([vocab[letter[b] + self.end] for b in range(256)])
+        self.pair = {rank: (key >> 32, key & 0xFFFFFFFF, new) for key, (rank, new) in self.merges.items()}
+        #: whether every token is made by a lower rank than any that uses it: merging all places of a rank at once is then exact
+        made = {new: rank for rank, (_, _, new) in self.pair.items()}
+        self.ordered = len(made) == len(self.pair) and all(max(made.get(a, -1), made.get(b, -1)) < rank for rank, (a, b, _) in self.pair.items())
+        keys = sorted(self.merges)
+        self.keys, self.key_ranks = np.array(keys, np.int64), np.array([self.merges[k][0] for k in keys], np.int64)
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs, -1 where there is none."""
+        key = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.key_ranks[at], -1)
 
 
 def merge_words(words: list[bytes], vocab: Vocabulary) -> list[list[int]]:
     """Token ids of each word, by one pair occurrence index over all of them."""
-    symbol: list[int] = []
-    begin = []
-    for w in words:
-        begin.append(len(symbol))
-        symbol.extend([vocab.inner[b] for b in w[:-1]])
-        symbol.append(vocab.last[w[-1]])
-    size = len(symbol)
-    after = list(range(1, size + 1))  # position of the next symbol of the word, 0 at its end
-    before = list(range(-1, size - 1))  # -1 at its begin
-    for b in begin:
-        before[b] = -1
-        after[b - 1] = 0
-    if size:
-        after[size - 1] = 0
-    merges = vocab.merges
+    if not words:
+        return []
+    size = np.array([len(w) for w in words], np.int64)
+    begin = np.cumsum(size) - size
+    end = begin + size - 1
+    data = np.frombuffer(b"".join(words), np.uint8)
+    symbol = vocab.inner[data]
+    symbol[end] = vocab.last[data[end]]
+    after = np.arange(1, len(data) + 1)  # position of the next symbol of the word, 0 at its end
+    after[end] = 0
+    before = np.arange(-1, len(data) - 1)  # -1 at its begin
+    before[begin] = -1
     places: dict[int, list[int]] = {}
-    pair_of: dict[int, tuple[int, int, int]] = {}
-    for i in range(size):
-        if (j := after[i]) and (m := merges.get(symbol[i] << 32 | symbol[j])):
-            rank = m[0]
-            if rank in places:
-                places[rank].append(i)
+
+    def index(at: np.ndarray) -> list[int]:
+        """Enter the pairs that begin at these positions; the ranks that are new."""
+        rank = vocab.rank(symbol[at], symbol[after[at]])
+        at, rank = at[rank >= 0], rank[rank >= 0]
+        order = np.argsort(rank, kind="stable")
+        at, rank = at[order], rank[order]
+        heads = np.flatnonzero(np.concatenate([[True], rank[1:] != rank[:-1]])) if len(rank) else rank
+        new = []
+        at = at.tolist()
+        for r, x, y in zip(rank[heads].tolist(), heads.tolist(), np.append(heads, len(rank))[1:].tolist(), strict=True):
+            if r in places:
+                places[r] += at[x:y]
             else:
-                places[rank] = [i]
-                pair_of[rank] = (symbol[i], symbol[j], m[1])
-    ranks = list(places)
+                places[r] = at[x:y]
+                new.append(r)
+        return new
+
+    ranks = index(np.flatnonzero(after))
     heapq.heapify(ranks)
+    merges = vocab.merges
+    one_symbol, one_after, one_before = memoryview(symbol), memoryview(after), memoryview(before)
     while ranks:
         rank = heapq.heappop(ranks)
+        left, right, new = vocab.pair[rank]
         at = places.pop(rank)
-        at.sort()
-        left, right, new = pair_of[rank]
-        for k, i in enumerate(at):
+        if len(at) >= MANY and left != right and vocab.ordered:
+            i = np.sort(np.array(at, np.int64))
+            i = i[np.concatenate([[True], i[1:] != i[:-1]])]
             j = after[i]
-            if symbol[i] != left or not j or symbol[j] != right:
-                continue  # another merge has taken a symbol
-            symbol[i], symbol[j] = new, -1
-            n = after[i] = after[j]
+            here = (symbol[i] == left) & (j > 0) & (symbol[j] == right)  # else another merge has taken a symbol
+            i, j = i[here], j[here]
+            n = after[j]
+            symbol[i], symbol[j], after[i] = new, -1, n
+            some = n > 0
+            before[n[some]] = i[some]
             p = before[i]
+            beside = np.sort(np.concatenate([i[some], p[p >= 0]]))
+            for r in index(beside[np.concatenate([[True], beside[1:] != beside[:-1]])[: len(beside)]]):
+                heapq.heappush(ranks, r)
+            continue
+        at.sort()
+        for k, i in enumerate(at):
+            j = one_after[i]
+            if one_symbol[i] != left or not j or one_symbol[j] != right:
+                continue
+            one_symbol[i], one_symbol[j] = new, -1
+            n = one_after[i] = one_after[j]
+            p = one_before[i]
             if n:
-                before[n] = i
+                one_before[n] = i
             lower = False
             for x, y in ((p, i), (i, n)):
-                if x >= 0 and y and (m := merges.get(symbol[x] << 32 | symbol[y])):
+                if x >= 0 and y and (m := merges.get(one_symbol[x] << 32 | one_symbol[y])):
                     r = m[0]
                     if r in places:
                         places[r].append(x)
                     elif r != rank:
                         places[r] = [x]
-                        pair_of[r] = (symbol[x], symbol[y], m[1])
                         heapq.heappush(ranks, r)
                     else:
                         at.append(x)  # the pair being applied appears again
@@ -113,15 +151,10 @@ def merge_words(words: list[bytes], vocab: Vocabulary) -> list[list[int]]:
                 if rank not in ranks:
                     heapq.heappush(ranks, rank)
                 break
-    out = []
-    for b in begin:
-        ids = [symbol[b]]
-        i = after[b]
-        while i:
-            ids.append(symbol[i])
-            i = after[i]
-        out.append(ids)
-    return out
+    ids = symbol[symbol >= 0]
+    of = np.concatenate([[0], np.cumsum(symbol >= 0)])
+    ids, first, stop = ids.tolist(), of[begin].tolist(), of[end + 1].tolist()
+    return [ids[x:y] for x, y in zip(first, stop, strict=True)]
 
 
 def decode(ids: list[int], vocab: Vocabulary) -> bytes:
@@ -154,9 +187,10 @@ class Coder:
         split = {c: self.vocab.word.findall(c) for c in chunks if c not in self.chunks}
         new = [w for w in dict.fromkeys(w for ws in split.values() for w in ws) if w not in self.words]
         self.words.update(zip(new, merge_words([w.encode() for w in new], self.vocab), strict=True))
+        known = self.words
         for c, ws in split.items():
-            ids = [i for w in ws for i in self.words[w]]
-            self.chunks[c] = (b"".join([i.to_bytes(4, "little") for i in ids]), decode(ids, self.vocab))
+            ids = known[ws[0]] if len(ws) == 1 else [i for w in ws for i in known[w]]
+            self.chunks[c] = (struct.pack(f"<{len(ids)}I", *ids), decode(ids, self.vocab))
 
     def code(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
         """Ids (little-endian unsigned 32-bit) and decoded text of each text."""
@@ -167,7 +201,7 @@ class Coder:
                 cut.append((True, [(c, p in self.vocab.special) for p in parts for c in ([p] if p in self.vocab.special else self.normalise(p))]))
             else:
                 cut.append((False, self.normalise(text)))
-        self.learn({c for marked, cs in cut if not marked for c in cs} | {c for marked, cs in cut if marked for c, s in cs if not s})
+        self.learn(set().union(*(cs if not marked else [c for c, s in cs if not s] for marked, cs in cut)))
         ids, decoded = [], []
         for marked, cs in cut:
             if marked:
@@ -183,7 +217,7 @@ def _code(path: str):
     def run(batches):
         coder = Coder(path)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=BLOCK_BYTES):
                 ids, decoded = coder.code([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())],
                                                  names=["doc_id", "ids", "decoded"])
