@@ -17,8 +17,6 @@ learned.  A null doc_id is not held out.  Repeated rows are judged alike; only d
 
 from __future__ import annotations
 
-from array import array
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -44,12 +42,16 @@ def training_texts(docs: DataFrame, chars: int = TRAIN_CHARS, sample: int = TRAI
     """Bounded training texts by language."""
     rows = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("h"))
-    sizes = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n"))
+    sizes = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
+    if not sizes:
+        return {}
+    # a row for each language learned, whose automaton every task holds anyway
+    known = F.broadcast(docs.sparkSession.createDataFrame([(r.lang, r.n) for r in sizes], "lang string, n long"))
     part = F.col("h") / F.lit(2.0**64) + 0.5
-    few = rows.join(sizes, "lang").filter(part * F.col("n") <= sample).dropDuplicates(["lang", "h"])
+    few = rows.join(known, "lang").filter(part * F.col("n") <= sample).dropDuplicates(["lang", "h"])
     upto = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1))
     chosen = few.withColumn("before", F.coalesce(upto, F.lit(0))).filter(F.col("before") < chars)
-    out = {r.lang: [] for r in sizes.select("lang").collect()}
+    out = {r.lang: [] for r in sizes}
     for r in chosen.orderBy("lang", "h").select("lang", "text").toLocalIterator():
         out[r.lang].append(r.text)
     for lang in [x for x, texts in out.items() if not texts]:  # a language so small that the sample missed it
@@ -58,6 +60,18 @@ def training_texts(docs: DataFrame, chars: int = TRAIN_CHARS, sample: int = TRAI
     return out
 
 
+class Words:
+    """Words as one array of code points, in order of length, the longest first."""
+
+    def __init__(self, words: list[str]):
+        size = np.array([len(w) for w in words], np.int64)
+        self.order = np.argsort(-size, kind="stable")
+        self.size = size[self.order]
+        self.begin = (np.cumsum(size) - size)[self.order]
+        self.codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        self.longer = np.searchsorted(-self.size, -np.arange(int(size.max(initial=0))), "left")
+
+
 class Automaton:
     """The suffix automaton of a text over a small alphabet, as one transition table."""
 
@@ -89,28 +103,27 @@ class Automaton:
                     links[q] = links[here] = copy
             last = here
         self.width = max(len(self.letters), 1)
-        table = np.full(len(moves) * self.width, -1, np.int32)
+        self.table = np.full(len(moves) * self.width, -1, np.int32)
         for state, out in enumerate(moves):
             for c, to in out.items():
-                table[state * self.width + c] = to
-        self.table = array("i", table.tobytes())
-
-    def phrases(self, word: str) -> int:
-        """Longest matches that a greedy parse of the word takes; an unknown letter is one."""
-        table, width, letters = self.table, self.width, self.letters
-        n, state = 0, -1
-        for c in word:
-            k = letters.get(c, -1)
-            if k < 0:
-                n += 1
-                state = -1
-                continue
-            to = table[state * width + k] if state >= 0 else -1
-            if to < 0:
-                n += 1
-                to = table[k]
-            state = to
-        return n
+                self.table[state * self.width + c] = to
+
+    def phrases(self, words: Words) -> np.ndarray:
+        """Longest matches that a greedy parse of each word takes; an unknown letter is one.  All words step at once."""
+        number = np.full(0x110000, -1, np.int16)
+        number[[ord(c) for c in self.letters]] = list(self.letters.values())
+        letter = number[words.codes]
+        n, state = np.zeros(len(words.size), np.int64), np.full(len(words.size), -1, np.int64)
+        for j in range(int(words.size.max(initial=0))):
+            m = words.longer[j]  # words are in order of length, the longest first
+            k = letter[words.begin[:m] + j].astype(np.int64)
+            to = np.where((state[:m] >= 0) & (k >= 0), self.table[state[:m] * self.width + k], -1)
+            ended = to < 0
+            n[:m] += ended
+            state[:m] = np.where(ended & (k >= 0), self.table[k], to)
+        out = np.empty_like(n)
+        out[words.order] = n
+        return out
 
 
 def words_of(text: str) -> list[str]:
@@ -132,21 +145,27 @@ class Predictor:
         self.number: dict[str, int] = {}
         self.counts = np.zeros((0, len(self.langs) + 1), np.int64)  # phrases by language, letters
 
-    def learn(self, chunks: set[str]) -> None:
-        rows = []
-        for c in chunks:
-            words = [f" {w} " for w in words_of(c)]
-            self.number[c] = len(self.number)
-            rows.append((*(sum([a.phrases(w) for w in words]) for a in self.automata), sum(map(len, words)) - 2 * len(words)))
-        if rows:
-            self.counts = np.concatenate([self.counts, np.array(rows, np.int64)])
+    def learn(self, chunks: list[str]) -> None:
+        words, owner, letters = [], [], []
+        for i, c in enumerate(chunks):
+            own = words_of(c)
+            words += [f" {w} " for w in own]
+            owner += [i] * len(own)
+            letters.append(sum(map(len, own)))
+        several = Words(words)
+        rows = np.zeros((len(chunks), len(self.langs) + 1), np.int64)
+        for k, a in enumerate(self.automata):
+            np.add.at(rows[:, k], owner, a.phrases(several))
+        rows[:, -1] = letters
+        self.number.update(zip(chunks, range(len(self.number), len(self.number) + len(chunks)), strict=True))
+        self.counts = np.concatenate([self.counts, rows])
 
     def predict(self, texts: list) -> tuple[list[str], np.ndarray, np.ndarray]:
         """(language, score, phrases a letter) of each text."""
         if len(self.number) > REMEMBER:
             self.forget()
         chunks = [(t or "").split() for t in texts]
-        self.learn({c for cs in chunks for c in cs if c not in self.number})
+        self.learn(list(set().union(*chunks).difference(self.number)))
         total = np.zeros((len(chunks), len(self.langs) + 1), np.int64)
         for i, cs in enumerate(chunks):
             if cs:

@@ -231,14 +231,18 @@ def test_automaton_phrases():
     for _ in range(50):
         text = "".join(rng.choice("abc") for _ in range(60))
         a = language.Automaton(text)
-        word = "".join(rng.choice("abcd") for _ in range(30))
-        n, i = 0, 0
-        while i < len(word):
-            k = 1
-            while i + k < len(word) and word[i: i + k + 1] in text:
-                k += 1
-            n, i = n + 1, i + k
-        assert a.phrases(word) == n
+        words = ["".join(rng.choice("abcd") for _ in range(rng.randrange(30))) for _ in range(20)]
+        expected = []
+        for word in words:
+            n, i = 0, 0
+            while i < len(word):
+                k = 1
+                while i + k < len(word) and word[i: i + k + 1] in text:
+                    k += 1
+                n, i = n + 1, i + k
+            expected.append(n)
+        assert a.phrases(language.Words(words)).tolist() == expected
+    assert a.phrases(language.Words([])).tolist() == []
 
 
 def test_held_out_accuracy_on_the_test_data(spark):
