@@ -2,18 +2,22 @@
 
 A document's set holds its distinct 5-word shingles (A-Z lower-cased; fewer words: the whole sequence
 as one shingle).  Two documents link when 100 * intersection >= percent * union.  Documents with
-equal sets form a class, and classes are compared by a prefix filter that loses no link:
-
-* Tokens (shingles) have one global order (by fingerprint).  A set of n tokens indexes its first
-  n - ceil(t n) + l tokens; two linked sets share at least l tokens of their indexed prefixes.  Sets
-  sharing fewer than l prefix tokens with all others together are settled at once.
-* A shared token that few sets index (a rare token) is a key by itself.  Frequent tokens are dealt to
+equal sets form a class; classes are compared by prefix filters that lose no link:
+
+* Two linked sets of n tokens (shingles) or fewer share at least ceil(t n) of them.  If all sets are put in one order and
+  index their first n - ceil(t n) + l tokens, linked sets share at least l indexed tokens.
+* First all sets are indexed in fingerprint order, which needs no counts.  Sets that share fewer than l
+  indexed tokens with all others together are settled; only the others (the live ones) go on.
+* The live sets' whole tokens are counted.  A set must share ceil(t n) tokens with other live sets; the
+  counts and this test are repeated, as sets drop out.  The rest is indexed in order of frequency, rarest first.
+* A token that few sets hold (a rare token) is a key by itself.  Frequent tokens are dealt to
   m = l - 1 classes by fingerprint; l shared ones put two into some class, so the 2-token
   combinations within classes are keys.  m depends on the size band only, and a set joins its own band
-  and the next, since linked sizes differ by less than one band.
-* Sets with a common key are compared: first every member with the key's first and last member
-  (stars, linear in the group), then only members that are still in different components, so a group
-  of copies never becomes all its pairs.  Whole shingle sets are compared, never sketches.
+  and the next, since linked sizes differ by less than one band.  Keys with equal members count once.
+* Each key's members are compared with its most central member (its leader, whose tokens are the most frequent), which
+  is linear in the group; keys with one leader are one group.  Then members in other components than that one are compared with the
+  others, except where sizes, numbers of shared tokens, and of tokens shared with that member forbid a link.  A group of copies
+  never becomes all its pairs.  Whole shingle sets are compared, never sketches.
 
 A token occurs once in a set, so even a group holding a third of all rows gives any one token only a
 small share of the index.  Null or empty texts have an empty set, link with nothing and are their own
@@ -25,7 +29,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ordermart.llm.components import components
@@ -97,35 +101,55 @@ def _index(percent: int):
     return run
 
 
-def _combinations(batches):
-    """Keys of the 2-token combinations within each class, for the set's band and the next."""
+def _tokens(batches):
     for batch in batches:
-        toks = batch.column("toks")
-        size = np.diff(toks.offsets.to_numpy())
-        row = np.repeat(np.arange(len(size)), size)
-        tok = toks.flatten().to_numpy().view(np.uint64)
-        n = batch.column("n").to_numpy().astype(np.int64)
-        out_key, out_row = [], []
-        for ahead in (0, 1):
-            m = classes_of(n, ahead)[row]
-            band = (bands(n) + ahead)[row].astype(np.uint64)
-            single = m == 0
-            out_key.append(mix(tok[single] ^ mix(band[single] + np.uint64(1))))
-            out_row.append(row[single])
-            t, r, b, g = tok[~single], row[~single], band[~single], mix(tok[~single]) % np.maximum(m[~single], 1).astype(np.uint64)
-            order = np.lexsort((t, g, r))
-            t, r, b, g = t[order], r[order], b[order], g[order]
-            step = 1
-            while step < len(t):
-                same = np.flatnonzero((r[step:] == r[:-step]) & (g[step:] == g[:-step]))
-                if not len(same):
-                    break
-                out_key.append(mix(mix(t[same] + b[same] * np.uint64(0x9E3779B97F4A7C15)) + t[same + step] * np.uint64(0xD1342543DE82EF95)))
-                out_row.append(r[same])
-                step += 1
-        take = pa.array(np.concatenate(out_row))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_key).view(np.int64)), batch.column("fp").take(take), batch.column("n").take(take)],
-                                         names=["key", "fp", "n"])
+        for part in pieces(batch):
+            tokens, first = shingle_sets(part)
+            take = pa.array(np.repeat(np.arange(part.num_rows), np.diff(first)))
+            yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), part.column("fp").take(take), part.column("n").take(take)], names=["tok", "fp", "n"])
+
+
+def _keys(percent: int):
+    """Keys of each live set: its rare indexed tokens, and the 2-token combinations of the frequent ones within
+    each class, for the set's band and the next.  Tokens that no other set holds come first in the
+    order, so of the shared ones live - ceil(t n) + l are indexed."""
+    def run(batches):
+        for batch in batches:
+            toks = batch.column("toks")
+            size = np.diff(toks.offsets.to_numpy())
+            row = np.repeat(np.arange(len(size)), size)
+            c = toks.flatten().field("c").to_numpy()
+            tok = toks.flatten().field("tok").to_numpy().view(np.uint64)
+            n = batch.column("n").to_numpy().astype(np.int64)
+            order = np.lexsort((tok, c, row))
+            place = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+            indexed = place < (size + (-percent * n) // 100 + 1 + classes_of(n, 1))[row]
+            c, tok, row = c[order][indexed], tok[order][indexed], row[indexed]
+            rare = c <= RARE
+            out_key, out_row = [tok[rare]], [row[rare]]
+            tok, row = tok[~rare], row[~rare]
+            for ahead in (0, 1):
+                m = classes_of(n, ahead)[row]
+                band = (bands(n) + ahead)[row].astype(np.uint64)
+                single = m == 0
+                out_key.append(mix(tok[single] ^ mix(band[single] + np.uint64(1))))
+                out_row.append(row[single])
+                t, r, b, g = tok[~single], row[~single], band[~single], mix(tok[~single]) % np.maximum(m[~single], 1).astype(np.uint64)
+                order = np.lexsort((t, g, r))
+                t, r, b, g = t[order], r[order], b[order], g[order]
+                step = 1
+                while step < len(t):
+                    same = np.flatnonzero((r[step:] == r[:-step]) & (g[step:] == g[:-step]))
+                    if not len(same):
+                        break
+                    out_key.append(mix(mix(t[same] + b[same] * np.uint64(0x9E3779B97F4A7C15)) + t[same + step] * np.uint64(0xD1342543DE82EF95)))
+                    out_row.append(r[same])
+                    step += 1
+            take = pa.array(np.concatenate(out_row))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(out_key).view(np.int64)), *(batch.column(x).take(take) for x in ("fp", "n", "live", "central"))],
+                names=["key", "fp", "n", "live", "central"])
+    return run
 
 
 def _compare(percent: int):
@@ -141,67 +165,95 @@ def _compare(percent: int):
                     mine = tokens[first[i]: first[i + 1]]
                     if role[i] == 0:
                         leader, own = a[i], mine
-                    elif leader == a[i]:
+                    else:
+                        assert leader == a[i]
                         both = len(np.intersect1d(own, mine, assume_unique=True))
-                        if 100 * both >= percent * (len(own) + len(mine) - both):
-                            out.append(i)
-                yield pa.RecordBatch.from_arrays([pa.array(a[out]), pa.array(fp[out])], names=["a", "b"])
+                        out.append((a[i], fp[i], both, 100 * both >= percent * (len(own) + len(mine) - both)))
+                columns = list(zip(*out, strict=True)) or [()] * 4
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.bool_()), strict=True)],
+                                                 names=["a", "b", "both", "linked"])
     return run
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link.  Each member's text travels once a leader."""
+def _compared(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) with the number of tokens in both whole sets, and whether they link.  Each
+    member's text travels once a leader."""
     salt = F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.count("*").over(Window.partitionBy("a")) / MEMBERS)))
     salted = pairs.select("a", "b", salt.cast("int").alias("salt"))
     rows = salted.select("a", "salt", F.lit(1).alias("role"), F.col("b").alias("fp")).unionByName(
         salted.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("fp")).distinct())
     dealt = rows.join(texts, "fp").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-    return dealt.select("a", "role", "fp", "text").mapInArrow(_compare(percent), "a long, b long")
+    return dealt.select("a", "role", "fp", "text").mapInArrow(_compare(percent), "a long, b long, both long, linked boolean")
 
 
-def _near_sizes(percent: int):
-    return F.expr(f"100 * least(an, bn) >= {percent} * greatest(an, bn)")
+def _possible(percent: int) -> Column:
+    """Whether sets a and b (sizes an, bn; tokens shared with any other set: al, bl) can link."""
+    return F.expr(f"100 * least(an, bn) >= {percent} * greatest(an, bn) and {100 + percent} * least(al, bl) >= {percent} * (an + bn)")
 
 
-def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """(info, edges): a row per document row (_id, _th, doc_id, n, fp: its set's class), and verified
-    links between classes that span every component."""
+def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(info, edges, labels): a row per document row (_id, _th, doc_id, n, fp: its set's class), verified
+    links between classes that span every component, and the component (node, component) of linked classes."""
     rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
     info = cut_lineage(rows.mapInArrow(_info, "_id long, _th long, doc_id long, n long, fp long"), "ngram-sets", compression="zstd")
+    counted = lambda df: df.withColumn("c", F.count("*").over(Window.partitionBy("tok"))).filter("c > 1")
+
+    def enough(df, need):
+        own = df.groupBy("fp", *need).agg(F.count("*").alias("x")).filter(f"x >= {need[-1]}" if need[-1] == "need" else f"100 * x >= {percent} * n")
+        return df.join(own.select("fp"), "fp", "left_semi")
+
+    # fingerprint order
     index = rows.select("text").mapInArrow(_index(percent), "tok long, fp long, n int, need int").repartition("tok") \
-        .groupBy("tok", "fp").agg(F.first("n").alias("n"), F.first("need").alias("need"))
-    shared = lambda df: df.withColumn("c", F.count("*").over(Window.partitionBy("tok"))).filter("c > 1")
-    live = cut_lineage(shared(index), "ngram-index", compression="zstd")
-    enough = lambda df: df.drop("c").join(df.groupBy("fp", "need").agg(F.count("*").alias("x")).filter("x >= need").select("fp"), "fp", "left_semi")
-    live = cut_lineage(shared(enough(live)), "ngram-live", compression="zstd")
-    live = cut_lineage(shared(enough(live)), "ngram-kept", compression="zstd")
-    frequent = live.filter(F.col("c") > RARE).groupBy("fp", "n").agg(F.collect_list("tok").alias("toks")).mapInArrow(_combinations, "key long, fp long, n int")
-    keys = live.filter(F.col("c") <= RARE).select(F.col("tok").alias("key"), "fp", "n").unionByName(frequent).distinct()
-    w = Window.partitionBy("key")
-    ends = [F.min(F.struct("fp", "n")).over(w).alias("lo"), F.max(F.struct("fp", "n")).over(w).alias("hi")]
-    groups = cut_lineage(keys.select("key", "fp", "n", *ends).filter("lo.fp <> hi.fp"), "ngram-keys", compression="zstd")
-    wanted = groups.select("fp").distinct().join(info.groupBy("fp").agg(F.min(F.struct("_id", "_th")).alias("one")), "fp").select("fp", "one.*")
-    texts = cut_lineage(rows.drop("doc_id").join(wanted, ["_id", "_th"]).select("fp", "text").dropDuplicates(["fp"]), "ngram-texts", compression="zstd")
-    star = lambda side: groups.filter(F.col(f"{side}.fp") != F.col("fp")).select(
-        F.col(f"{side}.fp").alias("a"), F.col("fp").alias("b"), F.col(f"{side}.n").alias("an"), F.col("n").alias("bn"))
-    pairs = cut_lineage(star("lo").unionByName(star("hi")).filter(_near_sizes(percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs")
-    edges = cut_lineage(_linked(pairs, texts, percent), "ngram-links")
-    # members of one key that no link joins so far
+        .groupBy("tok", "fp").agg(F.first("need").alias("need"))
+    first = cut_lineage(counted(index), "ngram-index", compression="zstd")
+    first = cut_lineage(counted(enough(first.drop("c"), ["need"])), "ngram-live", compression="zstd")
+    live = enough(first, ["need"]).select("fp").distinct()
+    one = live.join(info.groupBy("fp").agg(F.min(F.struct("_id", "_th")).alias("one"), F.first("n").cast("int").alias("n")), "fp").select("fp", "n", "one.*")
+    texts = cut_lineage(rows.drop("doc_id").join(one, ["_id", "_th"]).select("fp", "n", "text").dropDuplicates(["fp"]), "ngram-texts", compression="zstd")
+    # frequency order
+    kept = cut_lineage(enough(counted(texts.mapInArrow(_tokens, "tok long, fp long, n int")), ["n"]), "ngram-tokens", compression="zstd")
+    kept = cut_lineage(enough(counted(kept.drop("c")), ["n"]), "ngram-kept", compression="zstd")
+    sets = kept.groupBy("fp", "n").agg(F.collect_list(F.struct("c", "tok")).alias("toks"), F.count("*").alias("live"), (F.sum("c") / F.col("n")).alias("central"))
+    keys = cut_lineage(sets.mapInArrow(_keys(percent), "key long, fp long, n int, live long, central double").distinct(), "ngram-keys", compression="zstd")
+    groups = keys.groupBy("key").agg(F.count("*").alias("members"), F.expr("bit_xor(xxhash64(fp))").alias("x"), F.expr("bit_xor(xxhash64(fp, 1))").alias("y"),
+                                     F.max(F.struct("central", "fp", "n", "live")).alias("leader")).filter("members > 1")
+    groups = groups.groupBy("members", "x", "y").agg(F.min(F.struct("key", "leader")).alias("g")).select("g.*")
+    # keys with one leader are one group
+    members = cut_lineage(keys.join(groups, "key").select("leader", "fp", "n", "live").distinct(), "ngram-groups", compression="zstd")
+    pairs = cut_lineage(members.select(F.col("leader.fp").alias("a"), F.col("leader.n").alias("an"), F.col("leader.live").alias("al"),
+                                       F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("live").alias("bl"))
+                        .filter("a <> b").filter(_possible(percent)).select("a", "b").distinct(), "ngram-pairs")
+    stars = cut_lineage(_compared(pairs, texts, percent), "ngram-stars")
+    edges = stars.filter("linked").select("a", "b")
+    # members that no link joins with their leader so far; one that shares too few tokens for the group's least set is done
     label = components(edges)
-    named = groups.join(label, F.col("fp") == label["node"], "left").select("key", "fp", "n", F.coalesce("component", "fp").alias("part"))
-    split = cut_lineage(named.withColumn("p", F.min("part").over(w)).withColumn("q", F.max("part").over(w)).filter("p <> q").drop("p", "q"), "ngram-split")
-    left, right = (split.select("key", F.col("fp").alias(x), F.col("n").alias(f"{x}n"), F.col("part").alias(f"{x}p")) for x in "ab")
-    rest = left.join(right, "key").filter("a < b and ap <> bp").filter(_near_sizes(percent)).select("a", "b").distinct()
-    rest = cut_lineage(rest.join(pairs, ["a", "b"], "left_anti"), "ngram-rest")
-    more = cut_lineage(_linked(rest, texts, percent), "ngram-more")
-    return info, edges.unionByName(more)
+    led = members.select(F.col("leader.fp").alias("lead"), "fp", "n", "live")
+    named = led.join(label, F.col("fp") == label["node"], "left").select("lead", "fp", "n", "live", F.coalesce("component", "fp").alias("part")).join(
+        stars.select(F.col("a").alias("lead"), F.col("b").alias("fp"), "both"), ["lead", "fp"], "left")
+    # of a member's shared tokens, so many are the leader's (at most) and so many are not
+    named = named.select("lead", "fp", "n", "live", "part", F.coalesce("both", F.col("live")).alias("with"),
+                         F.when(F.col("both").isNull(), F.col("live")).otherwise(F.col("live") - F.col("both")).alias("without"))
+    main = led.groupBy("lead").agg(F.min("n").alias("least")).join(label, F.col("lead") == label["node"], "left").select(
+        "lead", "least", F.coalesce("component", "lead").alias("main"))
+    named = cut_lineage(named.join(main, "lead"), "ngram-parts")
+    apart = named.filter("part <> main").filter(f"{100 + percent} * live >= {percent} * (n + least)")
+    side = lambda df, x: df.select("lead", *[F.col(c).alias(f"{x}{y}") for c, y in (
+        ("fp", ""), ("n", "n"), ("live", "l"), ("part", "p"), ("with", "w"), ("without", "o"))], *(["main"] if x == "b" else []))
+    shared_most = f"{100 + percent} * (least(aw, bw) + least(ao, bo)) >= {percent} * (an + bn)"
+    rest = side(apart, "a").join(side(named, "b"), "lead").filter("ap <> bp and (bp = main or a < b)").filter(_possible(percent)).filter(
+        shared_most).select("a", "b").distinct()
+    done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = cut_lineage(rest.join(done, ["a", "b"], "left_anti"), "ngram-rest")
+    more = cut_lineage(_compared(rest, texts, percent), "ngram-more").filter("linked").select("a", "b")
+    if more.isEmpty():
+        return info, edges, label
+    edges = edges.unionByName(more)
+    return info, edges, components(edges)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """One row per document row: _id, _th, doc_id, n_shingles, component_id and component (null for an empty set)."""
-    info, edges = links(docs, percent)
-    label = components(edges)
+    info, _, label = links(docs, percent)
     named = info.join(label, info["fp"] == label["node"], "left").select(
         "_id", "_th", "doc_id", "n", "fp", F.coalesce("component", "fp").alias("component"))
     least = named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
