@@ -48,39 +48,59 @@ class Folder:
     def array(self, dtype, n: int) -> np.ndarray:
         return np.memmap(self.name(), dtype, "w+", shape=(n,)) if n else np.zeros(0, dtype)
 
+    @staticmethod
+    def drop(*arrays: np.ndarray) -> None:
+        """Delete the files of arrays that are read no more."""
+        for x in arrays:
+            if isinstance(x, np.memmap):
+                os.unlink(x.filename)
+
+
+def places_of(n: int):
+    """The type that holds places of a text of n symbols."""
+    return np.int32 if n < 2**31 else np.int64
+
 
 class Tuples:
     """Successive (position, common prefix) tuples: a tail in memory, the rest in a file."""
 
-    def __init__(self, folder: Folder):
+    def __init__(self, folder: Folder, place):
         self.folder, self.file, self.tail, self.on_file, self.size = folder, None, [], 0, 0
+        self.kind = np.dtype([("at", place), ("lcp", np.uint16)])
 
     def add(self, at: np.ndarray, lcp: np.ndarray) -> None:
-        self.tail.append(np.stack([at, lcp], axis=1))
+        rows = np.empty(len(at), self.kind)
+        rows["at"], rows["lcp"] = at, lcp
+        self.tail.append(rows)
         self.size += len(at)
         if self.size - self.on_file > TAIL:
             self.file = self.file or self.folder.name()
             with open(self.file, "ab") as f:
-                f.write(np.concatenate(self.tail).astype(np.int64).tobytes())
+                f.write(np.concatenate(self.tail).tobytes())
             self.tail, self.on_file = [], self.size
 
     def read(self, begin: int, end: int) -> np.ndarray:
         parts = []
         if begin < self.on_file:
-            parts.append(np.fromfile(self.file, np.int64, 2 * (min(end, self.on_file) - begin), offset=16 * begin).reshape(-1, 2))
+            parts.append(np.fromfile(self.file, self.kind, min(end, self.on_file) - begin, offset=self.kind.itemsize * begin))
         if end > self.on_file:
             if len(self.tail) > 1:
                 self.tail = [np.concatenate(self.tail)]
             parts.append(self.tail[0][max(begin - self.on_file, 0): end - self.on_file])
         return np.concatenate(parts) if len(parts) > 1 else parts[0]
 
+    def drop(self) -> None:
+        if self.file:
+            os.unlink(self.file)
+        self.tail = []
+
     def upward(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Chunks in order; tuples added meanwhile come too."""
         done = 0
         while done < self.size:
             rows = self.read(done, min(done + CHUNK, self.size))
             done += len(rows)
-            yield rows[:, 0], rows[:, 1]
+            yield rows["at"].astype(np.int64), rows["lcp"].astype(np.int64)
 
     def downward(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Chunks from the end, each tuple with its common prefix with the one handed out before it."""
@@ -88,16 +108,17 @@ class Tuples:
         while end > 0:
             rows = self.read(max(0, end - CHUNK), end)[::-1]
             end -= len(rows)
-            yield rows[:, 0], np.concatenate([[before], rows[:-1, 1]])
-            before = int(rows[-1, 1])
+            lcp = rows["lcp"].astype(np.int64)
+            yield rows["at"].astype(np.int64), np.concatenate([[before], lcp[:-1]])
+            before = int(lcp[-1])
 
 
 class PriorityQueue:
     """Tuples by symbol, least (or greatest) symbol first.  With a cap, symbols are below 2**16 and common
     prefixes are kept; without, they are all 0."""
 
-    def __init__(self, folder: Folder, cap: int, descending: bool = False):
-        self.folder, self.cap, self.sign = folder, cap, -1 if descending else 1
+    def __init__(self, folder: Folder, place, cap: int, descending: bool = False):
+        self.folder, self.place, self.cap, self.sign = folder, place, cap, -1 if descending else 1
         self.of: dict[int, Tuples] = {}
         self.heap: list[int] = []
         self.least = np.full(1 << 16 if cap else 0, cap, np.int64)  # handed out since a symbol's last tuple
@@ -118,7 +139,7 @@ class PriorityQueue:
         for c, a, b in zip(s[heads].tolist(), heads.tolist(), np.append(heads, len(s))[1:].tolist(), strict=True):
             new = c not in self.of
             if new:
-                self.of[c] = Tuples(self.folder)
+                self.of[c] = Tuples(self.folder, self.place)
                 if c != current:
                     heapq.heappush(self.heap, self.sign * c)
             lcp = np.zeros(b - a, np.int64)
@@ -159,9 +180,9 @@ def star_places(text: np.ndarray, types: np.ndarray, folder: Folder) -> np.ndarr
     with open(name, "wb") as f:
         for begin in range(0, len(text), CHUNK):
             s = np.asarray(types[begin: begin + CHUNK])
-            f.write((begin + np.flatnonzero(s & ~np.concatenate([[before], s[:-1]]))).astype(np.int64).tobytes())
+            f.write((begin + np.flatnonzero(s & ~np.concatenate([[before], s[:-1]]))).astype(places_of(len(text))).tobytes())
             before = bool(s[-1])
-    return np.memmap(name, np.int64, "r") if os.path.getsize(name) else np.zeros(0, np.int64)
+    return np.memmap(name, places_of(len(text)), "r") if os.path.getsize(name) else np.zeros(0, np.int64)
 
 
 def star_names(text: np.ndarray, types: np.ndarray, stars: np.ndarray, largest: int, memory: int, folder: Folder) -> np.ndarray:
@@ -178,11 +199,11 @@ def star_names(text: np.ndarray, types: np.ndarray, stars: np.ndarray, largest:
         return out
 
     n = len(stars)
-    last = lambda i: np.asarray(stars[np.minimum(i + 1, n - 1)])
-    names, firsts, taken = folder.array(np.int64, n + 1), folder.array(np.int64, n), 0
+    last = lambda i: np.asarray(stars[np.minimum(i + 1, n - 1)]).astype(np.int64)
+    names, firsts, taken = folder.array(places_of(len(text)), n + 1), folder.array(np.int64, n), 0
     for begin in range(0, n, CHUNK):
         i = np.arange(begin, min(begin + CHUNK, n))
-        at = np.asarray(stars[i])
+        at = np.asarray(stars[i]).astype(np.int64)
         end = text[at] == 0
         names[i[end]] = taken + 1 + np.arange(end.sum())
         taken += int(end.sum())
@@ -215,6 +236,7 @@ def star_names(text: np.ndarray, types: np.ndarray, stars: np.ndarray, largest:
         names[own[order]] = taken + np.cumsum(new)
         taken += int(new.sum())
     names[n] = 0
+    folder.drop(firsts)
     return names
 
 
@@ -238,7 +260,8 @@ def common_prefix(text: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarr
 def induce(text, types, stars: np.ndarray, star_lcp, ends, cap: int, folder: Folder) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All suffixes that begin with no end, greatest first, in chunks of (position, common prefix with the one
     before), from the S* places in order."""
-    up = PriorityQueue(folder, cap)
+    place = places_of(len(text))
+    up = PriorityQueue(folder, place, cap)
 
     def hand_out(queue, at, lcp, c, want):
         before = np.maximum(at - 1, 0)
@@ -261,9 +284,9 @@ def induce(text, types, stars: np.ndarray, star_lcp, ends, cap: int, folder: Fol
         else:
             c = star
         while done < n and text[stars[done]] == c:
-            at = np.asarray(stars[done: done + CHUNK])
+            at = np.asarray(stars[done: done + CHUNK]).astype(np.int64)
             at = at[: int(np.argmax(np.append(text[at] != c, True)))]
-            lcp = np.array(star_lcp[done: done + len(at)]) if cap else np.zeros(len(at), np.int64)
+            lcp = np.array(star_lcp[done: done + len(at)]).astype(np.int64) if cap else np.zeros(len(at), np.int64)
             if last is not None:
                 lcp[0] = meeting(last, int(at[0]))
                 last = None
@@ -271,25 +294,29 @@ def induce(text, types, stars: np.ndarray, star_lcp, ends, cap: int, folder: Fol
                 lcp[0] = 0
             hand_out(up, at, lcp, c, False)
             done += len(at)
-    down = PriorityQueue(folder, cap, descending=True)
+    down = PriorityQueue(folder, place, cap, descending=True)
     upper = sorted(up.of)
     while upper or down.heap:
         c = down.next_symbol()
         last = None
         if c is not None and (not upper or c >= upper[-1]):
-            for at, lcp in down.pop().upward():
+            own = down.pop()
+            for at, lcp in own.upward():
                 last = int(at[-1])
                 hand_out(down, at, lcp, c, True)
                 yield at, lcp
+            own.drop()
         else:
             c = upper[-1]
         if upper and upper[-1] == c:
-            for at, lcp in up.of[upper.pop()].downward():
+            own = up.of[upper.pop()]
+            for at, lcp in own.downward():
                 if last is not None:
                     lcp[0] = meeting(last, int(at[0]))
                     last = None
                 hand_out(down, at, lcp, c, True)
                 yield at, lcp
+            own.drop()
 
 
 def sort_stars(text, types, largest: int, memory: int, folder: Folder) -> np.ndarray:
@@ -297,23 +324,25 @@ def sort_stars(text, types, largest: int, memory: int, folder: Folder) -> np.nda
     stars = star_places(text, types, folder)
     names = star_names(text, types, stars, largest, memory, folder)
     if len(names) <= memory:
-        order = suffix_order(np.asarray(names), 1)[1:]
+        order = suffix_order(np.asarray(names).astype(np.int64), 1)[1:]
     else:
         order = sort_suffixes(names, int(names.max()), memory, folder)
-    out = folder.array(np.int64, len(order))
+    out = folder.array(places_of(len(text)), len(order))
     for begin in range(0, len(order), CHUNK):
         out[begin: begin + CHUNK] = stars[order[begin: begin + CHUNK]]
+    folder.drop(names, stars, order)
     return out
 
 
 def sort_suffixes(text: np.ndarray, largest: int, memory: int, folder: Folder) -> np.ndarray:
     """Suffix order of a text with one end, its last symbol, without that."""
     types = suffix_types(text, folder)
-    out = folder.array(np.int64, len(text) - 1)
+    out = folder.array(places_of(len(text)), len(text) - 1)
     end = len(out)
     for at, _ in induce(text, types, sort_stars(text, types, largest, memory, folder), None, None, 0, folder):
         out[end - len(at): end] = at[::-1]
         end -= len(at)
+    folder.drop(types)
     return out
 
 
@@ -328,9 +357,9 @@ def sorted_suffixes(text: np.ndarray, cap: int, folder: Folder, memory: int = ME
             f.write((begin + np.flatnonzero(np.asarray(text[begin: begin + CHUNK]) == 0)).astype(np.int64).tobytes())
     ends = np.memmap(name, np.int64, "r")
     stars = sort_stars(text, types, 256, memory, folder)
-    lcp = folder.array(np.int64, len(stars))
+    lcp = folder.array(np.uint16, len(stars))
     for begin in range(0, len(stars), CHUNK):
-        b = np.asarray(stars[begin: begin + CHUNK])
+        b = np.asarray(stars[begin: begin + CHUNK]).astype(np.int64)
         a = np.concatenate([[stars[max(begin - 1, 0)]], b[:-1]])
         lcp[begin: begin + CHUNK] = common_prefix(text, ends, a, b, cap)
     if len(lcp):

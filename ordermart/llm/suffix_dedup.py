@@ -4,7 +4,7 @@ A text is its UTF-8 bytes; every byte covered by a 200-byte string that also sta
 document included, is removed; strings are judged on the input and don't cross documents.
 
 1. Which strings can repeat: each window of 200 bytes picks an anchor, a content-defined symbol in it (tokens end
-   where the four bytes before say so; the symbols are runs and pairs of tokens, see
+   where the bytes before say so; the symbols are runs and pairs of tokens, see
    ``substring_dedup``), so equal windows pick equal keys at equal offsets.  Windows with one pick form a row.
    Rows whose key occurs once are settled: their windows don't repeat.
 2. Rows with equal bytes are one string that repeats as a whole.  Where a key has different strings, one copy
@@ -29,87 +29,117 @@ from pyspark.sql import functions as F
 
 from ordermart.llm import induced_sort
 from ordermart.llm.substring_dedup import choose, recompress
-from ordermart.llm.text import Ranges, flat, lists, mix, pieces, row_key
+from ordermart.llm.text import IS_WORD, Ranges, flat, lists, mix, pieces, row_key
 from ordermart.session import cut_lineage
 
 WINDOW = 200
 ROUNDS = 1
-TOKEN = 10  # bytes of a token, on average
-CONTEXT = 4  # bytes that decide whether a token ends after them
+TOKEN = 64  # bytes between ends by fingerprint, on average
+CONTEXT = 4  # bytes that decide whether a token ends after them, at most
 _U = np.uint64
 _BYTES = mix(np.arange(5, 261, dtype=_U) * _U(0x9E3779B97F4A7C15))
 
 
 def tokens(data: np.ndarray, off: np.ndarray):
-    """(begins, ends, first tokens) of the documents' tokens."""
+    """(begins, ends, first tokens) of the documents' tokens: one ends after the first space that follows a
+    word, or where the four bytes before have a rare fingerprint, for texts with few spaces; and whether each
+    document's end is such a place too."""
     n = len(data)
     cut = np.zeros(n + 1, bool)
     if n >= CONTEXT:
+        word = IS_WORD[data]
+        cut[2:] = word[:-1] & ~word[1:]
         four = np.lib.stride_tricks.as_strided(data, (n - CONTEXT + 1, CONTEXT), (1, 1)).copy().view(np.uint32)[:, 0]
         h = four * np.uint32(0x9E3779B1)
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA77)
-        cut[CONTEXT:] = (h >> np.uint32(8)) < np.uint32((1 << 24) // TOKEN)
-    for k in range(1, CONTEXT):  # the four bytes lie within one document
+        cut[CONTEXT:] |= (h >> np.uint32(8)) < np.uint32((1 << 24) // TOKEN)
+    for k in range(1, CONTEXT):  # what decides lies within one document
         cut[np.minimum(off[:-1] + k, off[1:])] = False
+    closed = cut[off[1:]] & (off[1:] - off[:-1] >= CONTEXT)
     cut[off] = True
     edges = np.flatnonzero(cut)
-    return edges[:-1], edges[1:], np.searchsorted(edges, off)
+    return edges[:-1], edges[1:], np.searchsorted(edges, off), closed
+
+
+def picked(a: np.ndarray, b: np.ndarray, keys: np.ndarray, low: np.ndarray, high: np.ndarray, window: int):
+    """Window intervals [a, b), each of one document, cut where the symbols within a window change.
+
+    Returns the runs of windows with one pick (begin, end, picked symbol) and the intervals without any."""
+    s = np.sort(np.concatenate([a, low + 1, high - window]), kind="stable")
+    s = s[np.concatenate([[True], s[1:] != s[:-1]])] if len(s) else s
+    of = np.searchsorted(a, s, "right") - 1
+    valid = (of >= 0) & (s < b[np.maximum(of, 0)]) if len(a) else np.zeros(len(s), bool)
+    s, of = s[valid], of[valid]
+    if not len(s):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, none
+    e = np.minimum(np.append(s[1:], b[-1]), b[of])
+    lo, hi = np.searchsorted(low, s, "left"), np.searchsorted(high, s + window, "right") - 1
+    some = hi >= lo
+    pick = choose(keys, lo[some], hi[some]) if some.any() else np.zeros(0, np.int64)
+    without = s[~some], e[~some]
+    s, e, of = s[some], e[some], of[some]
+    start = np.ones(len(s), bool)
+    start[1:] = (pick[1:] != pick[:-1]) | (s[1:] != e[:-1]) | (of[1:] != of[:-1])
+    at = np.flatnonzero(start)
+    last = np.append(at[1:], len(s)) - 1
+    return s[at], e[last], pick[at], *without
 
 
 def anchors(data: np.ndarray, off: np.ndarray, window: int = WINDOW):
-    """Rows (first window, number of windows, key, fingerprint) as in ``substring_dedup.anchors``, in bytes."""
+    """Rows (first window, number of windows, key, fingerprint) as in ``substring_dedup.anchors``, in bytes, and
+    runs (first window, number of windows) that repeat within their document for sure.
+
+    A window that holds no high symbol, because it lies in two long runs, picks among the places where unequal
+    tokens meet; one without these (in periodic text, or among very long tokens) is its own key, and
+    of equal ones in a document two rows stand for all."""
     content = Ranges(_BYTES[data])
-    begins, ends, first = tokens(data, off)
+    begins, ends, first, closed = tokens(data, off)
     sizes = np.diff(first)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     low, high = begins - CONTEXT, ends.copy()
     filled = sizes > 0
     low[first[:-1][filled]] = off[:-1][filled] - 1  # a document's begin and end aren't marked in a window
-    high[first[1:][filled] - 1] = off[1:][filled] + 1
-    name, low, high = recompress(content(begins, ends), low, high, doc, off[:-1] - 1, off[1:] + 1, ROUNDS)
-    inside = (low >= 0) & (high <= len(data))
-    keys = mix(name + content(np.where(inside, low, 0), np.where(inside, high, 0)))
-    # windows between two places where the symbols inside change have the same pick
-    stop = np.maximum(off[1:] - window + 1, off[:-1])  # windows of a document: off <= s < stop
-    s = np.unique(np.concatenate([low + 1, high - window, off[:-1]]))
-    s = s[(s >= 0) & (s < len(data))]
-    owner = np.searchsorted(off, s, "right") - 1
-    valid = s < stop[owner] if len(s) else np.zeros(0, bool)
-    s, owner = s[valid], owner[valid]
-    empty = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.uint64, np.uint64))
-    if not len(s):
-        return empty
-    e = np.minimum(np.append(s[1:], len(data)), stop[owner])
-    lo = np.searchsorted(low, s, "left")
-    hi = np.searchsorted(high, s + window, "right") - 1
-    some = hi >= lo
-    pick = np.full(len(s), -1)
-    if some.any():
-        pick[some] = choose(keys, lo[some], hi[some])
-    # windows without a symbol: one by one, equal ones in a row (a run of one byte) in two rows
-    bare = np.flatnonzero(~some)
-    count = (e - s)[bare]
-    single = np.repeat(s[bare] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+    high[first[1:][filled] - 1] += ~closed[filled]
+    token = content(begins, ends)
+    name, high_low, high_high = recompress(token, low, high, doc, off[:-1] - 1, off[1:] + 1, ROUNDS)
+    meet = np.flatnonzero((doc[1:] == doc[:-1]) & (token[1:] != token[:-1]))
+
+    def keyed(name, low, high):
+        inside = (low >= 0) & (high <= len(data))
+        return mix(name + content(np.where(inside, low, 0), np.where(inside, high, 0))), low, high
+
+    stop = np.maximum(off[1:] - window + 1, off[:-1])
+    some = stop > off[:-1]
+    levels = (keyed(name, high_low, high_high), keyed(mix(token[meet] + _U(7)), low[meet], high[meet + 1]))
+    a, b, rows = off[:-1][some], stop[some], []
+    for keys, below, above in levels:
+        s, e, pick, a, b = picked(a, b, keys, below, above, window)
+        rows.append((s, e - s, keys[pick], content(s, e + window - 1)))
+    # windows one by one
+    count = b - a
+    single = np.repeat(a - (np.cumsum(count) - count), count) + np.arange(count.sum())
     own = content(single, single + window)
-    again = np.zeros(len(single), bool)
-    again[1:] = (single[1:] == single[:-1] + 1) & (own[1:] == own[:-1])
-    head = np.ones(len(single), bool)
-    head[1:] = ~(again[1:] & again[:-1])
-    at = np.flatnonzero(head)
-    bare_rows = (single[at], np.diff(np.append(at, len(single))), mix(own[at] ^ _U(0x8EBC6AF09C88C6E3)), own[at])
-    s, e, pick = s[some], e[some], pick[some]
-    start = np.ones(len(s), bool)
-    start[1:] = (pick[1:] != pick[:-1]) | (s[1:] != e[:-1])
-    at = np.flatnonzero(start)
-    begin, end = s[at], np.append(e, 0)[np.append(at[1:], len(s)) - 1] if len(s) else s
-    rows = (begin, end - begin, keys[pick[at]], content(begin, end + window - 1))
-    out = [np.concatenate([x, y]) for x, y in zip(rows, bare_rows, strict=True)]
+    doc = np.searchsorted(off, single, "right") - 1
+    order = np.lexsort((single, own, doc))
+    first_of = np.ones(len(order), bool)
+    first_of[1:] = (own[order][1:] != own[order][:-1]) | (doc[order][1:] != doc[order][:-1])
+    place = np.arange(len(order)) - np.maximum.accumulate(np.where(first_of, np.arange(len(order)), 0))
+    twice = place > 0
+    twice[:-1] |= place[1:] > 0
+    kept = order[place < 2]
+    rows.append((single[kept], np.ones(len(kept), np.int64), mix(own[kept] ^ _U(0x8EBC6AF09C88C6E3)), own[kept]))
+    sure, whose = single[np.sort(order[twice])], doc[np.sort(order[twice])]
+    new = np.ones(len(sure), bool)
+    new[1:] = (sure[1:] != sure[:-1] + 1) | (whose[1:] != whose[:-1])
+    runs = np.flatnonzero(new)
+    out = [np.concatenate(x) for x in zip(*rows, strict=True)]
     order = np.argsort(out[0], kind="stable")
-    return tuple(x[order] for x in out)
+    return tuple(x[order] for x in out), (sure[runs], np.diff(np.append(runs, len(sure))))
 
 
-PARSED = "_id long, _th long, doc_id long, n_bytes long, sha string, anchors array<struct<at:int,n:int,key:long,body:long>>"
+PARSED = "_id long, _th long, doc_id long, n_bytes long, sha string, anchors array<struct<at:int,n:int,key:long,body:long>>, sure array<struct<at:int,n:int>>"
 
 
 def _parse(window: int):
@@ -117,7 +147,8 @@ def _parse(window: int):
         for batch in batches:
             for part in pieces(batch):
                 data, off = flat(part.column("text"))
-                at, n, key, body = anchors(data, off, window)
+                (at, n, key, body), (sure, many) = anchors(data, off, window)
+                whose = np.searchsorted(off, sure, "right") - 1
                 owner = np.searchsorted(off, at, "right") - 1
                 raw = data.tobytes()
                 rows = pa.StructArray.from_arrays(
@@ -126,8 +157,10 @@ def _parse(window: int):
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id"), part.column("_th"), part.column("doc_id"), pa.array(np.diff(off)),
                      pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)], pa.string()),
-                     lists(rows, np.searchsorted(owner, np.arange(len(off)), "left"))],
-                    names=["_id", "_th", "doc_id", "n_bytes", "sha", "anchors"])
+                     lists(rows, np.searchsorted(owner, np.arange(len(off)), "left")),
+                     lists(pa.StructArray.from_arrays([pa.array((sure - off[whose]).astype(np.int32)), pa.array(many.astype(np.int32))], names=["at", "n"]),
+                           np.searchsorted(whose, np.arange(len(off)), "left"))],
+                    names=["_id", "_th", "doc_id", "n_bytes", "sha", "anchors", "sure"])
     return run
 
 
@@ -248,8 +281,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     asked = ask.groupBy("_id", "_th").agg(F.collect_list(F.struct("key", "at", "n", "single")).alias("ask"))
     strings = texts.join(asked, ["_id", "_th"]).mapInArrow(_strings(window), "key long, _id long, _th long, at int, single boolean, bytes binary")
     part = strings.repartition("key").select("_id", "_th", "at", "single", "bytes").mapInArrow(_sort_shard(window), "_id long, _th long, at int, n int")
-    hits = whole.unionByName(part).groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    sure = parsed.filter("size(sure) > 0").dropDuplicates(["_id", "_th"]).select("_id", "_th", F.inline("sure"))
+    hits = whole.unionByName(part).unionByName(sure).groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
     removed = texts.join(hits, ["_id", "_th"]).mapInArrow(
         _remove(window), "_id long, _th long, n_removed long, kept string, spans array<struct<begin:int,end:int>>, kept_bytes binary")
-    return parsed.drop("anchors").join(removed, ["_id", "_th"], "left").select(
+    return parsed.drop("anchors", "sure").join(removed, ["_id", "_th"], "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce("kept", "sha").alias("kept_sha256"), "spans", "kept_bytes")
