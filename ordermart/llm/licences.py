@@ -85,7 +85,8 @@ def matches(units: DataFrame, idf: dict[str, float], other: float) -> DataFrame:
     keys = [c for c in units.columns if c != "terms"]
     vocabulary = spark.createDataFrame([(w, x, *(own.get(w, 0.0) * x for _, own in vectors)) for w, x in idf.items()],
                                        "term string, idf double, " + ", ".join(f"t{i} double" for i in range(len(vectors))))
-    candidates = units.filter(F.arrays_overlap("terms", F.array(*[F.lit(w) for w in sorted(needed)])))
+    # copies of a unit (repeated rows) are one unit: their terms may not be summed together
+    candidates = units.filter(F.arrays_overlap("terms", F.array(*[F.lit(w) for w in sorted(needed)]))).dropDuplicates(keys)
     known = candidates.withColumn("size", F.size("terms")).select(*keys, "size", F.explode("terms").alias("term"))
     # the vocabulary has a row for each term of the fixed templates, so its size is known
     joined = known.join(F.broadcast(vocabulary), "term").groupBy(*keys, "size").agg(
@@ -109,7 +110,7 @@ def scan(files: DataFrame, id: str, path: Column, text: str = "text") -> DataFra
     file that declares it) of every file."""
     rows = files.select(F.col(id).alias("id"), path.alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("th"))
     idf, other = weights(rows)
-    lines = rows.select("id", "path", "th", F.explode(F.split("text", "\n")).alias("line"))
+    lines = rows.select("id", "path", "th", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
     keys = ["id", "path", "th"]
     by_line = matches(lines.select(*keys, F.xxhash64("line").alias("unit"), terms(F.col("line")).alias("terms")), idf, other)
     best = F.min(F.struct((-F.col("cosine")).alias("x"), "licence"))

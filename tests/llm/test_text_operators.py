@@ -113,6 +113,18 @@ def test_licences(spark, nothing):
     assert licences.scan(nothing, "doc_id", F.col("source")).count() == 0
 
 
+def test_licences_of_equal_lines_and_repeated_rows(spark):
+    """A line or a row that occurs k times is judged as one is, and few licence terms, however often, are no licence."""
+    mit, few = "Released under the MIT License.", "the mit engineers released many of their very own tools"
+    others = [(100 + i, f"o/{i}/x", f"some other words {i}\n{few}") for i in range(20)]
+    once = [(1, "a/LICENSE", mit), (2, "b/x", f"text\n{mit}\nmore"), (3, "c/x", few), (4, None, mit), *others]
+    rows = [(1, "a/LICENSE", mit)] * 3 + [(2, "b/x", f"text\n{mit}\nmore\n{mit}\n{mit}"), (3, "c/x", "\n".join([few] * 50))] + [(4, None, mit)] * 2 + others * 2
+    schema = "id long, path string, text string"
+    got, want = ({(r.id, r.licence, r.origin, r.licence_path, None if r.cosine is None else round(r.cosine, 6))
+                  for r in licences.scan(spark.createDataFrame(x, schema), "id", licences.F.col("path")).collect()} for x in (rows, once))
+    assert got == want and {x[:3] for x in got} >= {(1, "MIT", "own"), (2, "MIT", "own"), (3, None, None), (4, "MIT", "own")}
+
+
 def test_licence_cosine_of_all_units(docs, corpus):
     """The filter by heaviest terms loses no unit."""
     texts = [t or "" for _, t in corpus] + [x for _, x in licences.TEMPLATES] + ["this work is licensed under the public license version 3", "rights reserved all all"]
