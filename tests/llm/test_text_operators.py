@@ -125,6 +125,30 @@ def test_licences_of_equal_lines_and_repeated_rows(spark):
     assert got == want and {x[:3] for x in got} >= {(1, "MIT", "own"), (2, "MIT", "own"), (3, None, None), (4, "MIT", "own")}
 
 
+def test_licence_texts_and_headers(spark):
+    """Full texts make licence files; headers count wrapped, in comments and by SPDX tag."""
+    rng = random.Random(13)
+    texts = dict((name, (licences.resources.files("ordermart.llm") / "licence_texts" / f"{name}.txt").read_text()) for name in licences.TEXTS)
+    rows = [(f"{n}/LICENSE", (t.replace("Copyright (c)", "Copyright (c) 2020 Jane Doe") if n in ("MIT", "BSD-2-Clause", "BSD-3-Clause") else t).replace("\n", "\r\n" if n == "MIT" else "\n"), n, "own")
+            for n, t in texts.items()]
+    rows += [(f"{n}/src/x", prose(rng, 40), n, "inherited") for n in texts]
+    for k, (name, *paragraphs) in enumerate(licences.HEADERS):
+        words, lines = "\n\n".join(paragraphs).replace("\n\n", " \n ").split(" "), [""]
+        for w in words:
+            if w == "\n" or len(lines[-1]) > 60:
+                lines += ["", ""] if w == "\n" else [""]
+            lines[-1] += w.strip("\n") + " "
+        for mark in ("", "# ", " * ", "// ", "-- "):
+            code = "\n".join(prose(rng, 12) for _ in range(30))
+            rows.append((f"h/{k}/{mark.strip().replace('/', 's')}", "\n".join((mark + x).rstrip(" ") for x in ["Copyright 2020 Jane Doe", "", *lines]) + ("\n" if mark else "\n\n") + code, name, "own"))
+    code = "\n".join(prose(rng, 12) for _ in range(30))
+    rows += [("s/a", "# SPDX-License-Identifier: MIT\n" + code, "MIT", "own"), ("s/b", "/* SPDX-License-Identifier: GPL-2.0-only */\n" + code, "GPL-2.0", "own"),
+             ("s/c", "-- SPDX-License-Identifier: Zlib\n" + code, None, None), ("s/d", "Copyright 2020 The Authors. All rights reserved.\n" + code, "All-Rights-Reserved", "own")]
+    files = spark.createDataFrame([(i, p, t) for i, (p, t, _, _) in enumerate(rows)], "id long, path string, text string")
+    got = licences.scan(files, "id", licences.F.col("path")).select("path", "licence", "origin").collect()
+    assert {tuple(r) for r in got} ^ {(p, n, o) for p, _, n, o in rows} == set() and len(got) == len(rows)
+
+
 def test_licence_cosine_of_all_units(docs, corpus):
     """The filter by heaviest terms loses no unit."""
     texts = [t or "" for _, t in corpus] + [x for _, x in licences.TEMPLATES] + ["this work is licensed under the public license version 3", "rights reserved all all"]
