@@ -54,9 +54,9 @@ def tokens(data: np.ndarray, off: np.ndarray):
         h ^= h >> np.uint32(15)
         h *= np.uint32(0x85EBCA77)
         cut[CONTEXT:] |= (h >> np.uint32(8)) < np.uint32((1 << 24) // TOKEN)
+    closed = cut[off[1:]] & (off[1:] - off[:-1] >= CONTEXT)  # before an empty document clears the end of the one before
     for k in range(1, CONTEXT):  # what decides lies within one document
         cut[np.minimum(off[:-1] + k, off[1:])] = False
-    closed = cut[off[1:]] & (off[1:] - off[:-1] >= CONTEXT)
     cut[off] = True
     edges = np.flatnonzero(cut)
     return edges[:-1], edges[1:], np.searchsorted(edges, off), closed

@@ -71,6 +71,23 @@ def test_suffix_dedup(docs, corpus):
     same([(r.doc_id, r.n_bytes, r.n_removed, len(r.spans or []), r.kept_sha256) for r in rows], expected)
 
 
+def test_suffix_dedup_of_copies_before_empty_texts(spark):
+    """An empty text after a copy doesn't change whether the copy's end is a token's end."""
+    for text in (b"word.\n", b"some words "):
+        data = np.frombuffer(text + b"other text", np.uint8)
+        off = np.array([0, len(text), len(text), len(text), len(data)])
+        assert suffix_dedup.tokens(data, off)[3].tolist()[:3] == [True, False, False]
+    rng = random.Random(11)
+    rows = []
+    for i in range(0, 240, 6):
+        tail = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(60))[:rng.randrange(194, 230)] + rng.choice(["ab.\n", "ab ", "ab.\n\n"])
+        rows += [(i, f"{i} " + tail), (i + 1, ""), (i + 2, None), (i + 3, f"{i * 7} and " + tail), (i + 4, "other"), (i + 5, tail)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    data = [(t or "").encode() for _, t in rows]
+    expected = [(i, sum(hit)) for (i, _), hit in zip(rows, covered(data, 200), strict=True)]
+    same([(r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect()], expected)
+
+
 def plain_order(text, cap):
     ends = [i for i, x in enumerate(text) if x == 0]
     end = lambda i: next(e for e in ends if e >= i)
