@@ -260,7 +260,8 @@ def _scan(block):
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document row: _id, _th, doc_id, n_words, spans (merged hits: word and byte ranges)
-    and items (ids of the items that occur, as strings, each once)."""
+    and items (ids of the items that occur, as strings, each once however many benchmark rows have it; a
+    benchmark row without an id has spans but no name)."""
     spark = docs.sparkSession
     rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
@@ -276,6 +277,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         more = more.filter("size(spans) > 0").dropDuplicates(["_id", "_th"]).select("_id", "_th", F.col("spans").alias("s"), F.col("items").alias("i"))
         out = out.join(more, ["_id", "_th"], "left").withColumn("spans", F.expr("concat(spans, coalesce(s, array()))")) \
             .withColumn("items", F.expr("array_union(items, coalesce(i, array()))")).drop("s", "i")
+    out = out.withColumn("items", F.array_distinct(F.array_compact("items")))
     return out.withColumn("spans", merged("spans")) if blocks > 1 else out
 
 

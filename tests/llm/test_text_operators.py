@@ -239,6 +239,18 @@ def test_benchmark_in_blocks(docs, spark, monkeypatch, corpus):
     same(decontaminate.report(decontaminate.find_leaks(docs, bench)).collect(), [tuple(r) for r in whole])
 
 
+def test_repeated_benchmark_rows(spark, monkeypatch):
+    """An id counts once a document, whether its rows are equal or not and however many blocks hold them."""
+    docs = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "alpha beta"), (3, "epsilon")], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "alpha beta"), (7, "alpha beta"), (7, "gamma delta"), (8, "beta gamma"), (None, "epsilon"), (None, "alpha")], "item_id long, text string")
+    names = {1: ["7", "8"], 2: ["7"], 3: []}
+    expected = [(i, len(x), hashlib.sha256(",".join(x).encode()).hexdigest(), True) for i, x in names.items()]
+    for words in (decontaminate.BLOCK_WORDS, 10):
+        monkeypatch.setattr(decontaminate, "BLOCK_WORDS", words)
+        got = decontaminate.report(decontaminate.find_leaks(docs, bench)).collect()
+        same([(r.doc_id, r.n_items, r.items_sha256, r.contaminated) for r in got], expected)
+
+
 def test_language(spark, docs, nothing):
     rng = random.Random(6)
     parts = {"aa": ["th", "er", "on", "ing", "and"], "bb": ["sch", "ein", "ung", "über", "zz"], "cc": ["ção", "os", "que", "ñ", "el"]}
