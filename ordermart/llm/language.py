@@ -7,9 +7,10 @@ count is looked up once and remembered.  The language that needs the fewest phra
 of equals, the first by name.  The score is the margin to the runner-up, 1 - fewest / second (1 if one
 language is learned).
 
-Training takes labelled documents that are not held out, whole texts in the order of their
-fingerprints, of each language about ``TRAIN_CHARS`` characters (a documented bound; distinct texts
-only, so copies don't crowd it).  The prediction reads nothing but the text, all of it.
+Training takes labelled documents that are not held out: of each language about ``TRAIN_DOCS`` distinct texts
+by fingerprint (copies don't crowd it), which give ``TRAIN_CHARS`` characters together at most.  Short texts
+are taken whole, longer ones give their first characters in equal parts, so no text is learned from alone while
+there are others.  This bounds the training only: the prediction reads nothing but the text, all of it.
 
 Null texts and texts without a letter are ``und`` with score 0, as is everything when nothing can be
 learned.  A null doc_id is not held out.  Repeated rows are judged alike; only doc_id, text and lang are read.
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.text import pieces
 
-TRAIN_CHARS = 100_000  # of training text a language
+TRAIN_CHARS = 100_000  # of training text a language, at most
 TRAIN_DOCS = 400  # distinct documents that training draws from a language, about
 REMEMBER = 200_000
 UNKNOWN = "und"
@@ -38,25 +39,39 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
+def shares(sizes: list[int], chars: int) -> list[int]:
+    """Characters that texts of these sizes give, ``chars`` together at most: all of the short ones, equal parts of the others."""
+    out, left = [0] * len(sizes), chars
+    for done, i in enumerate(sorted(range(len(sizes)), key=sizes.__getitem__)):
+        out[i] = min(sizes[i], left // (len(sizes) - done))
+        left -= out[i]
+    return out
+
+
 def training_texts(docs: DataFrame, chars: int = TRAIN_CHARS, sample: int = TRAIN_DOCS) -> dict[str, list[str]]:
     """Bounded training texts by language."""
+    spark = docs.sparkSession
     rows = docs.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
         F.col("lang").cast("string").alias("lang"), "text", F.xxhash64("text").alias("h"))
-    sizes = rows.select("lang", "h").distinct().groupBy("lang").agg(F.count("*").alias("n")).collect()
-    if not sizes:
+    distinct = rows.select("lang", "h", F.length("text").alias("size")).distinct()
+    counts = {r.lang: r.n for r in distinct.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return {}
     # a row for each language learned, whose automaton every task holds anyway
-    known = F.broadcast(docs.sparkSession.createDataFrame([(r.lang, r.n) for r in sizes], "lang string, n long"))
+    known = F.broadcast(spark.createDataFrame(list(counts.items()), "lang string, n long"))
     part = F.col("h") / F.lit(2.0**64) + 0.5
-    few = rows.join(known, "lang").filter(part * F.col("n") <= sample).dropDuplicates(["lang", "h"])
-    upto = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("h").rowsBetween(Window.unboundedPreceding, -1))
-    chosen = few.withColumn("before", F.coalesce(upto, F.lit(0))).filter(F.col("before") < chars)
-    out = {r.lang: [] for r in sizes}
-    for r in chosen.orderBy("lang", "h").select("lang", "text").toLocalIterator():
+    drawn = {lang: [] for lang in counts}
+    for r in distinct.join(known, "lang").filter(part * F.col("n") <= sample).toLocalIterator():
+        drawn[r.lang].append((r.h, r["size"]))
+    for lang in [x for x, few in drawn.items() if not few]:  # a language so small that the sample missed it
+        drawn[lang] = [(r.h, r["size"]) for r in distinct.filter(F.col("lang") == lang).orderBy("h").limit(sample).collect()]
+    given = [(lang, h, n) for lang, few in drawn.items() for (h, _), n in zip(few, shares([size for _, size in few], chars), strict=True)]
+    # about ``sample`` rows a language
+    asked = F.broadcast(spark.createDataFrame(given, "lang string, h long, given int"))
+    chosen = rows.join(asked, ["lang", "h"]).select("lang", "h", F.expr("substring(text, 1, given)").alias("text")).dropDuplicates(["lang", "h"])
+    out = {lang: [] for lang in counts}
+    for r in chosen.orderBy("lang", "h").toLocalIterator():
         out[r.lang].append(r.text)
-    for lang in [x for x, texts in out.items() if not texts]:  # a language so small that the sample missed it
-        one = rows.filter(F.col("lang") == lang).orderBy("h").limit(sample).select("text")
-        out[lang] = [r.text for r in one.toLocalIterator()]
     return out
 
 
@@ -73,7 +88,7 @@ class Words:
 
 
 class Automaton:
-    """The suffix automaton of a text over a small alphabet, as one transition table."""
+    """The suffix automaton of a text, its moves as one sorted array (three for each character at most)."""
 
     def __init__(self, text: str):
         self.letters = {c: i for i, c in enumerate(sorted(set(text)))}
@@ -103,24 +118,37 @@ class Automaton:
                     links[q] = links[here] = copy
             last = here
         self.width = max(len(self.letters), 1)
-        self.table = np.full(len(moves) * self.width, -1, np.int32)
-        for state, out in enumerate(moves):
-            for c, to in out.items():
-                self.table[state * self.width + c] = to
+        n = sum(map(len, moves))
+        self.moves = np.fromiter((state * self.width + c for state, out in enumerate(moves) for c in sorted(out)), np.int64, n)
+        self.to = np.fromiter((out[c] for out in moves for c in sorted(out)), np.int32, n)
+        self.root = self.to[:len(moves[0])].astype(np.int64)  # each letter leaves the first state
+
+    def step(self, state: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The states after a letter, -1 where there is none."""
+        out = np.full(len(state), -1, np.int64)
+        live = np.flatnonzero((state >= 0) & (letter >= 0))
+        move = state[live] * self.width + letter[live]
+        at = np.searchsorted(self.moves, move)
+        at[at == len(self.moves)] = 0
+        found = self.moves[at] == move if len(self.moves) else np.zeros(0, bool)
+        out[live[found]] = self.to[at[found]]
+        return out
 
     def phrases(self, words: Words) -> np.ndarray:
         """Longest matches that a greedy parse of each word takes; an unknown letter is one.  All words step at once."""
-        number = np.full(0x110000, -1, np.int16)
+        number = np.full(0x110000, -1, np.int32)
         number[[ord(c) for c in self.letters]] = list(self.letters.values())
         letter = number[words.codes]
         n, state = np.zeros(len(words.size), np.int64), np.full(len(words.size), -1, np.int64)
         for j in range(int(words.size.max(initial=0))):
             m = words.longer[j]  # words are in order of length, the longest first
             k = letter[words.begin[:m] + j].astype(np.int64)
-            to = np.where((state[:m] >= 0) & (k >= 0), self.table[state[:m] * self.width + k], -1)
+            to = self.step(state[:m], k)
             ended = to < 0
             n[:m] += ended
-            state[:m] = np.where(ended & (k >= 0), self.table[k], to)
+            begun = np.flatnonzero(ended & (k >= 0))
+            to[begun] = self.root[k[begun]]
+            state[:m] = to
         out = np.empty_like(n)
         out[words.order] = n
         return out

@@ -274,6 +274,29 @@ def test_language(spark, docs, nothing):
     assert {r.lang_pred for r in language.identify(unlabelled).collect()} == {"und"}
 
 
+def test_training_is_bounded(spark):
+    """Long labelled texts give parts, short ones all; the bound holds for the sum."""
+    rng = random.Random(12)
+    rows = [(4 * i, "".join(rng.choice("abc ") for _ in range(size)), lang)
+            for i, (lang, size) in enumerate([("aa", 50_000)] * 8 + [("aa", 30)] * 8 + [("bb", 70_000)] * 3 + [("cc", 100)] * 3)]
+    df = spark.createDataFrame([*rows, *rows[:5]], "doc_id long, text string, lang string").filter(~language.held_out())
+    own = {lang: {r.text for r in df.filter(licences.F.col("lang") == lang).collect()} for lang in ("aa", "bb", "cc")}
+    got = language.training_texts(df, 1000)
+    for lang, texts in got.items():
+        assert len(texts) == len(own[lang]) and sum(map(len, texts)) <= 1000
+        assert all(any(t.startswith(x) for t in own[lang]) for x in texts)
+        assert {t for t in own[lang] if len(t) <= 30} <= set(texts)
+    assert sum(map(len, got["aa"])) > 980 and max(map(len, got["aa"])) < 300 and set(got["cc"]) == own["cc"]
+    assert language.shares([5, 100, 1, 100], 50) == [5, 22, 1, 22] and language.shares([9, 9, 9], 2) == [0, 1, 1]
+
+
+def test_automaton_of_many_letters():
+    letters = [chr(0x4E00 + k) for k in range(20_000)]
+    a = language.Automaton("".join(letters))
+    assert sum(x.nbytes for x in vars(a).values() if hasattr(x, "nbytes")) < 2_000_000
+    assert a.phrases(language.Words(["".join(letters[7:30]), letters[5] + letters[3], "é"])).tolist() == [1, 2, 1]
+
+
 def test_automaton_phrases():
     rng = random.Random(9)
     for _ in range(50):
