@@ -4,7 +4,7 @@ import json
 import os
 import tempfile
 
-from conftest import SF_SMALL
+from mart_paths import SF_SMALL
 from ordermart import config as C
 from ordermart.__main__ import main
 from ordermart.pipeline import TEST_CONFIG

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import NullType
 
-from conftest import SF_SMALL
+from mart_paths import SF_SMALL
 from ordermart import config as C
 from ordermart.pipeline import TEST_CONFIG, test_sources
 from ordermart.plans import mart as M

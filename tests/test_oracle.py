@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from mart_paths import SF_SMALL
 
 TABLES = ["customer", "part", "orders", "lineitem"]
 

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from mart_paths import SF_SMALL
 from ordermart.functions import rules as R
 from ordermart.pipeline import TEST_CONFIG, test_sources
 from ordermart.plans import mart as M

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from mart_paths import SF_SMALL
 from ordermart import config as C
 from ordermart.functions import rules as R
 from ordermart.functions.dates import iso_weekday

@@ -24,7 +24,7 @@ def test_spine_on_test_data_is_dense_and_unique(spark):
     from pyspark.sql import functions as F
 
     import __spark_entry__ as E
-    from conftest import SF_SMALL
+    from mart_paths import SF_SMALL
 
     grid = E.queries()["month_spine"](spark, SF_SMALL)
     assert grid.count() == grid.distinct().count()
