@@ -104,21 +104,36 @@ def cut_lineage(df, name: str = "rows", **options):
     df.write.options(**options).parquet(path)
     # nothing reads the shuffles above any more; Spark deletes their files once the driver has collected its garbage
     spark._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def drop_cut(*tables) -> None:
+    """Delete tables made by ``cut_lineage`` as soon as nothing reads them any more: once the table made
+    from them stands, they only hold disk."""
+    for df in tables:
+        path = df._scratch_path
+        for entry in [e for e in _written if e[1] == path]:
+            _delete(entry)
+
+
+def _delete(entry: tuple[SparkSession, str]) -> None:
+    owner, path = entry
+    try:
+        jvm, conf = owner._jvm, owner._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    except Exception:  # the session is gone: its folder is the cluster's to clean
+        pass
+    _written.remove(entry)
 
 
 def drop_scratch(spark: SparkSession | None = None) -> None:
     """Delete the scratch tables written so far (of ``spark``, or of every session).  Call it once
     the results that read them are stored; it also runs when the program ends."""
     for entry in [e for e in _written if spark is None or e[0] is spark]:
-        owner, path = entry
-        try:
-            jvm, conf = owner._jvm, owner._jsc.hadoopConfiguration()
-            folder = jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(conf).delete(folder, True)
-        except Exception:  # the session is gone: its folder is the cluster's to clean
-            pass
-        _written.remove(entry)
+        _delete(entry)
 
 
 atexit.register(drop_scratch)

@@ -41,3 +41,12 @@ def test_cluster_without_shared_folder_is_refused(spark, monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.shared_dir(Session())
+
+
+def test_one_scratch_table_is_deleted(spark):
+    first, second = session.cut_lineage(spark.range(10), "probe"), session.cut_lineage(spark.range(5), "probe")
+    paths = [p.removeprefix("file://") for _, p in session._written[-2:]]
+    session.drop_cut(first)
+    assert not os.path.isdir(paths[0]) and second.count() == 5
+    session.drop_cut(second)
+    assert not os.path.isdir(paths[1])
