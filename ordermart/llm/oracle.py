@@ -88,5 +88,32 @@ m AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
 SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes, {_LETTERS} AS payload_digest,
   if(page_id = first, 'response', 'revisit') AS record_type, if(page_id = first, NULL, first) AS refers_to FROM m"""
 
+# The first four groups of eight hexadecimal digits as numbers
+_DRAWS = ", ".join(f"CAST('0x' || substr(hex, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+OP11 = f"""WITH d AS (SELECT doc_id, text, length(text) AS n, {_DRAWS}
+           FROM (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents)),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+        CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+             WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+o AS (SELECT *, CASE form WHEN 'plain' THEN text
+        WHEN 'psm' THEN '<P>' || substring(text, 1, a) || '<S>' || substring(text, b + 1) || '<M>' || substring(text, a + 1, b - a)
+        ELSE '<S>' || substring(text, b + 1) || '<P>' || substring(text, 1, a) || '<M>' || substring(text, a + 1, b - a) END AS output FROM c),
+p AS (SELECT *, string_split_regex(output, '<[PSM]>') AS part FROM o)
+SELECT doc_id, n, form, if(form = 'plain', NULL, a) AS prefix_chars, if(form = 'plain', NULL, b - a) AS middle_chars, sha256(output) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN output WHEN 'psm' THEN part[2] || part[4] || part[3] ELSE part[3] || part[4] || part[2] END) AS restored_sha256
+FROM p"""
+
+_SPACES = " || ".join(f"chr({c})" for c in (32, 9, 10, 11, 12, 13))
+OP13 = f"""WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(doc_id, -9223372036854775808) AS id,
+             string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT row, doc_id, id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line FROM d),
+k AS (SELECT *, {lower(f"trim(line, {_SPACES})")} AS key FROM l),
+common AS (SELECT key, max(id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT id) >= 3),
+m AS (SELECT k.*, coalesce(keeper <> id, false) AS gone FROM k LEFT JOIN common ON common.key = k.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY row"""
+
 # Operator 8 in SQL takes a window for every byte (a minute on a hundredth of the data), so its query is tested by brute force.
-ORACLE = {"op2_substring_dedup": OP2, "op4_warc_revisits": OP4, "op6_quality_rules": OP6, "op7_ngram_join": OP7, "op9_decontaminate": OP9}
+ORACLE = {"op2_substring_dedup": OP2, "op4_warc_revisits": OP4, "op6_quality_rules": OP6, "op7_ngram_join": OP7, "op9_decontaminate": OP9, "op11_fill_middle": OP11,
+          "op13_line_dedup": OP13}

@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from ordermart.llm import bpe, decontaminate, language, licences, ngram_join, quality, substring_dedup, suffix_dedup, token_files, warc
+from ordermart.llm import (
+    bpe, decontaminate, fill_middle, language, licences, line_dedup, ngram_join, quality, substring_dedup, suffix_dedup, token_files, warc)
 from ordermart.llm.oracle import ORACLE  # noqa: F401
 from ordermart.llm.text import table
 
@@ -57,5 +58,14 @@ def op10_language_id(spark, sf_dir):
     return language.identify(table(spark, sf_dir, "documents")).drop("phrases_a_letter")
 
 
+def op11_fill_middle(spark, sf_dir):
+    return fill_middle.report(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+
+
+def op13_line_dedup(spark, sf_dir):
+    return line_dedup.report(line_dedup.drop_common_lines(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op8_suffix_dedup, op9_decontaminate, op10_language_id)}
+    op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op8_suffix_dedup, op9_decontaminate, op10_language_id,
+    op11_fill_middle, op13_line_dedup)}
