@@ -92,16 +92,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def cut_lineage(df, name: str = "rows", **options):
+def cut_lineage(df, name: str = "rows", partition_by: str | None = None, **options):
     """Materialise ``df`` as a Parquet table in the shared folder and read it back.
 
     Later branches then read the written rows instead of re-running the joins above, and a
     lost executor costs a re-read, not a recomputation of the upstream plan.  Parquet (not
     an RDD checkpoint) because most readers need a few of the columns: they get column
-    pruning and compressed input."""
+    pruning and compressed input.  ``partition_by``, the last column, puts its values into folders of their own."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
+    (df.write.options(**options).partitionBy(partition_by) if partition_by else df.write.options(**options)).parquet(path)
     # nothing reads the shuffles above any more; Spark deletes their files once the driver has collected its garbage
     spark._jvm.System.gc()
     out = spark.read.schema(df.schema).parquet(path)
