@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from ordermart.llm import (
-    bpe, decontaminate, fill_middle, language, licences, line_dedup, ngram_join, quality, substring_dedup, suffix_dedup, token_files, warc)
+    bpe, decontaminate, fill_middle, language, lexical_search, licences, line_dedup, ngram_join, quality, substring_dedup, suffix_dedup, token_files, warc)
 from ordermart.llm.oracle import ORACLE  # noqa: F401
 from ordermart.llm.text import table
 
@@ -62,10 +62,14 @@ def op11_fill_middle(spark, sf_dir):
     return fill_middle.report(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
 
 
+def op12_lexical_search(spark, sf_dir):
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_line_dedup(spark, sf_dir):
     return line_dedup.report(line_dedup.drop_common_lines(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_substring_dedup, op3_bpe, op4_warc_revisits, op5_licences, op6_quality_rules, op7_ngram_join, op8_suffix_dedup, op9_decontaminate, op10_language_id,
-    op11_fill_middle, op13_line_dedup)}
+    op11_fill_middle, op12_lexical_search, op13_line_dedup)}
