@@ -7,9 +7,9 @@ largest doc_id that holds them; the other lines stay in their order.
 
 The lines with a long enough key are exploded with their positions and a 128-bit fingerprint of the key, and
 written once: no text travels for them.  Documents are counted by a distinct count, so a line that a third of
-the corpus holds spreads by (key, document) first and meets as partial counts.  The join of all lines with the keys
-over the threshold is an equi-join of two exchanged sides, which adaptive execution splits where a key is
-hot.  Each document row then gets the sorted positions that it loses, and its text is put together from
+the corpus holds spreads by (key, document) first and meets as partial counts.  The keys over the threshold are written too, so the join
+of all lines with them is one of two scans: a broadcast if they are small by measure, else an equi-join of two
+exchanged sides, which adaptive execution splits where a key is hot.  Each document row then gets the sorted positions that it loses, and its text is put together from
 the slices between them, in a time linear in its lines.
 
 Rows without a doc_id are one document, less than all others.  Rows with one doc_id are one document: they
@@ -67,7 +67,7 @@ def drop_common_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int
     """One row per document row: doc_id, n_lines, dropped (positions of the dropped lines, ascending) and
     kept (the text of the other lines)."""
     lines = cut_lineage(long_lines(docs, min_chars), "lines")
-    common = common_keys(lines, min_docs).select("k1", "k2", "keeper")
+    common = cut_lineage(common_keys(lines, min_docs).select("k1", "k2", "keeper"), "common_lines")
     dropped = (lines.join(common, ["k1", "k2"]).filter(F.col("_id") != F.col("keeper"))
                .groupBy("_id", "_th").agg(F.sort_array(F.collect_set("position")).alias("dropped")))
     texts = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
