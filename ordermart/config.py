@@ -22,6 +22,10 @@ class RunConfig:
     discount_incentive_threshold: float = 0.25
     # minute buckets that split a hot customer's rows before ranking them (operators.windows)
     rank_segment: str = "minute"
+    # groups of more rows than this are split by sampled bounds of their order (operators.slices)
+    slice_rows: int = 1_000_000
+    # bits of the filter of the period's order keys that undated sources are probed with (operators.keyfilter); 0: none
+    key_filter_bits: int = 1 << 23
 
     @property
     def period_start(self) -> dt.date:
@@ -175,3 +179,12 @@ OUTPUT_COLUMNS = (
 )
 
 assert len(OUTPUT_COLUMNS) == 174 and len(set(OUTPUT_COLUMNS)) == 174
+
+# C16 adds these to C15's rows, which have four flags of their own besides the other published columns
+FINAL_COLUMNS = ("flag_inaccuracy", "inaccuracy_late", "wsd_week_and_day", "dh_shopping_mission", "timings_actual_dt_interval",
+                 "timings_potential_dt_interval", "dh_shopping_mission_user", "dh_shopping_mission_user_v2", "order_source_level_two",
+                 "order_source_level_three")
+MISSION_FLAGS = ("has_stock_up_mission", "has_fill_in_mission", "user_has_stock_up_v2", "user_has_fill_in_v2")
+ENRICHED_COLUMNS = (*(c for c in OUTPUT_COLUMNS if c not in FINAL_COLUMNS), *MISSION_FLAGS)
+
+assert len(ENRICHED_COLUMNS) == 168

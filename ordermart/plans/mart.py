@@ -19,6 +19,8 @@ that key value, so their joins are unchanged.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from ordermart.functions import rules as R
 from ordermart.functions.dates import hour_of, iso_weekday, week_monday, week_of_year_sunday, year_start
 from ordermart.functions.numeric import flag, net_of_tax
 from ordermart.operators.joins import JoinSpec, enrich
+from ordermart.operators.slices import SLICE, sliced
 from ordermart.operators.windows import group_aggregate, null_safe_key, time_segment
 from ordermart.plans import orders as O
 from ordermart.plans import users as U
@@ -155,9 +158,16 @@ def customer_joins(src: dict[str, DataFrame]) -> list[JoinSpec]:
     ]
 
 
-def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame | None = None, cut=cut_lineage) -> DataFrame:
+# what the customer stage reads of the order rows, whatever its caller does
+STAGE_READS = ["k_cust", "join_order_id", "join_order_month", "week_of_year", "order_date", *FIRST_ORDER, *FANOUT_ORDER, *ROW_ORDER,
+               "coupon_used_amount", "plus_order", "plus_item_level", "crm_vertical", "d_acq_since", "d_acq_until", "is_ild",
+               "coupon_campaign", "coupon_funnel", "mission_type", "_mission"]
+
+
+def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame | None = None, cut=cut_lineage,
+                  columns: list[str] | None = None) -> DataFrame:
     """The period's orders with every enrichment and customer-level window value.  ``cut`` writes
-    a table and reads it back."""
+    a table and reads it back.  ``columns``: the caller reads only these, so no others are written."""
     skus = O.prep_skus_pim(_known(src["skus_pim_dmart"], "join_sku"), src["pim_level_0_bis"])
     s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold)
     s = s.withColumns({
@@ -171,8 +181,10 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
     # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
     df = enrich(s, order_joins(src))
     df = user_month_values(df, users)
+    if columns is not None:
+        df = df.select(*[c for c in df.columns if c in columns or c in STAGE_READS])
     # the customer stage reads these rows twice
-    return customer_stage(cut(df, "orders"), src, cfg, cut)
+    return customer_stage(cut(df, "orders"), src, cfg, cut, columns)
 
 
 def user_month_values(rows: DataFrame, users: DataFrame) -> DataFrame:
@@ -198,26 +210,27 @@ def user_month_values(rows: DataFrame, users: DataFrame) -> DataFrame:
     return out.withColumns({c: F.col("_e").getField(c) for c in cols}).drop("_um", "_e")
 
 
-def _struct_of(cols: list[str]):
-    return F.struct(*[F.col(c) for c in cols])
-
-
-def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage) -> DataFrame:
+def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage, columns: list[str] | None = None) -> DataFrame:
     """Everything keyed by the customer.
 
     One key can hold a third of all rows here, so the wide rows are never gathered by customer:
 
-    1. one aggregate of the rows to ``fine``, narrow rows (customer, month, week, minute): counts and the
-       pieces of W14-W18.  It is written once; a customer has at most as many of them as the clock has minutes;
-    2. the customer-month sources (L12 L18 L19 L22) are joined to the distinct (customer, month) keys and the
+    1. a (customer, minute) group of more than ``cfg.slice_rows`` rows is cut into slices by sampled bounds of
+       (timestamp, order id), so its rows go to several tasks;
+    2. one aggregate of the rows to ``fine``, narrow rows (customer, month, week, minute, slice): counts and the
+       pieces of W14-W18.  It is written once; a customer has at most as many of them as the clock has minutes,
+       and a slice more for each ``slice_rows`` rows;
+    3. the customer-month sources (L12 L18 L19 L22) are joined to the distinct (customer, month) keys and the
        customer sources (L10, L11 with W11) to the distinct customers, and packed per
        (customer, month): exactly the matches each order row gets, fan-out included;
-    3. ``fine`` meets the packed matches on (customer, month) and is hashed on the customer once; first values,
-       week minimum, flags and the offsets of the running numbers are windows on that partitioning;
-    4. the rows are hashed on (customer, minute), meet their ``fine`` row, explode the matches, and are
-       numbered inside their (customer, minute) groups on top of the offsets."""
+    4. ``fine`` takes the number of matches and is hashed on the customer once; first values, week minimum, flags
+       and the offsets of the running numbers are windows on that partitioning, and the matches are attached after
+       them, so they aren't sorted with the rows;
+    5. the rows are hashed on (customer, minute, slice), meet their ``fine`` row, explode the matches, and are
+       numbered inside their groups on top of the offsets, the prefix sums of the groups before."""
     K, M_, WK, SEG = "k_cust", "join_order_month", "week_of_year", "_seg"
     d = df.withColumn(SEG, time_segment("order_timestamp", cfg.rank_segment))
+    d = sliced(d, [K, SEG], FIRST_ORDER, cfg.slice_rows, cut)
     act = R.month_activation_expressions("coupon_used_amount", "plus_order", "plus_item_level", "crm_vertical")
     first = R.first_order_expressions("order_date", "d_acq_since", "d_acq_until", "is_ild", "coupon_used_amount",
                                       "plus_order", "plus_item_level", "coupon_campaign", "coupon_funnel",
@@ -225,7 +238,7 @@ def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut
     flags = {"has_stock_up_mission": F.col("mission_type") == "Stock Up", "has_fill_in_mission": F.col("mission_type") == "Fill In",
              "user_has_stock_up_v2": F.col("_mission") == "Stock Up", "user_has_fill_in_v2": F.col("_mission") == "Fill In"}
     order_key = [F.col(c) for c in FIRST_ORDER]
-    fine = cut(d.groupBy(K, M_, WK, SEG).agg(
+    fine = cut(d.groupBy(K, M_, WK, SEG, SLICE).agg(
         F.count(F.lit(1)).alias("_n"),
         F.min(F.struct(*order_key, *[e.alias(n) for n, e in act.items()])).alias("_first_m"),
         F.min(F.struct(*order_key, *[e.alias(n) for n, e in first.items()])).alias("_first_c"),
@@ -233,38 +246,46 @@ def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut
         *[F.max(flag(e)).alias(n) for n, e in flags.items()]), "fine")
 
     cm_specs, cu_specs = customer_month_joins(src, cfg.period_start), customer_joins(src)
+    for spec in [*cm_specs, *cu_specs] if columns is not None else ():  # the joins stay: they can fan out
+        spec.select = {n: c for n, c in spec.select.items() if n in columns}
     matched = [c for j in [*cm_specs, *cu_specs] for c in j.select]
     months = enrich(fine.select(K, M_).distinct(), cm_specs)
     customers = enrich(fine.select(K).distinct(), cu_specs)
-    matches = months.join(customers, K).groupBy(K, M_).agg(F.array_sort(F.collect_list(_struct_of(matched))).alias("_matches"))
+    pack = F.struct(*[F.col(c) for c in matched]) if matched else F.struct(F.lit(0).alias("_none"))
+    matches = cut(months.join(customers, K).groupBy(K, M_).agg(F.array_sort(F.collect_list(pack)).alias("_matches")), "matches")
 
     by = lambda *keys: Window.partitionBy(K, *keys)
-    upto = lambda w: F.coalesce(F.sum("_rows").over(w.orderBy(SEG).rangeBetween(Window.unboundedPreceding, Window.currentRow))
-                                - F.sum("_rows").over(w.orderBy(SEG).rangeBetween(Window.currentRow, Window.currentRow)), F.lit(0))
-    values = fine.join(matches, [K, M_]).withColumn("_rows", F.col("_n") * F.size("_matches")).repartition(K).withColumns({
+    upto = lambda w: F.coalesce(F.sum("_rows").over(w.orderBy(SEG, SLICE).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+                                - F.sum("_rows").over(w.orderBy(SEG, SLICE).rangeBetween(Window.currentRow, Window.currentRow)), F.lit(0))
+    counted = matches.select(K, M_, F.size("_matches").alias("_times"))
+    values = fine.join(counted, [K, M_]).withColumn("_rows", F.col("_n") * F.col("_times")).repartition(K).withColumns({
         "_off_all": upto(by()), "_off_month": upto(by(M_)),
         "_c": F.min("_first_c").over(by()), "_m": F.min("_first_m").over(by(M_)),
         "wsd_start_day": F.min("_wmin").over(by(WK)),
         **{n: F.max(n).over(by(M_)) for n in flags},
-    }).select(K, M_, WK, SEG, "_off_all", "_off_month", "wsd_start_day", *flags, "_matches",
+    }).select(K, M_, WK, SEG, SLICE, "_off_all", "_off_month", "wsd_start_day", *flags,
               *[F.col("_m")[n].alias(n) for n in act], *[F.col("_c")[n].alias(n) for n in first])
-
-    # the month and week are compared as ranges: the join's own keys stay the partitioning's
-    mine = [F.col(f"r.{K}") == F.col(f"v.{K}"), F.col(f"r.{SEG}") == F.col(f"v.{SEG}"), F.col(f"r.{M_}").between(F.col(f"v.{M_}"), F.col(f"v.{M_}")),
-            F.col(f"r.{WK}").between(F.col(f"v.{WK}"), F.col(f"v.{WK}"))]
-    given = [c for c in values.columns if c not in (K, M_, WK, SEG, "_matches")]
-    rows = d.repartition(K, SEG).alias("r").join(values.alias("v"), mine).select("r.*", *given, F.posexplode("_matches").alias("_pos", "_e"))
+    # Months and weeks are compared as ranges, which are no join keys: the rows stay where the join's own keys have put
+    # them.  The planner's estimate of these joins ignores such a condition, but their sides are
+    # measured by adaptive execution, and a customer has few months.
+    same = lambda a, b, c: F.col(f"{a}.{c}").between(F.col(f"{b}.{c}"), F.col(f"{b}.{c}"))
+    values = values.alias("v").join(matches.repartition(K).alias("m"), [F.col(f"v.{K}") == F.col(f"m.{K}"), same("v", "m", M_)]) \
+        .select("v.*", "m._matches")
+    place = [K, SEG, SLICE]
+    mine = [F.col(f"r.{c}") == F.col(f"v.{c}") for c in place] + [same("r", "v", M_), same("r", "v", WK)]
+    given = [c for c in values.columns if c not in (*place, M_, WK, "_matches")]
+    rows = d.repartition(*place).alias("r").join(values.alias("v"), mine).select("r.*", *given, F.posexplode("_matches").alias("_pos", "_e"))
     order = [F.col(c) for c in [*FIRST_ORDER, *FANOUT_ORDER, *ROW_ORDER, "_pos"]]
     rows = rows.withColumns({
-        "order_number": (F.row_number().over(Window.partitionBy(K, SEG).orderBy(*order)) + F.col("_off_all")).cast("bigint"),
-        "order_num_month": (F.row_number().over(Window.partitionBy(K, M_, SEG).orderBy(*order)) + F.col("_off_month")).cast("bigint"),
+        "order_number": (F.row_number().over(Window.partitionBy(*place).orderBy(*order)) + F.col("_off_all")).cast("bigint"),
+        "order_num_month": (F.row_number().over(Window.partitionBy(M_, *place).orderBy(*order)) + F.col("_off_month")).cast("bigint"),
         **{c: F.col("_e")[c] for c in matched},
     })
-    return rows.drop(SEG, "_e", "_pos", "_off_all", "_off_month")
+    return rows.drop(SEG, SLICE, "_e", "_pos", "_off_all", "_off_month")
 
 
-def final_projection(k: DataFrame) -> DataFrame:
-    """The 174 published columns, in order, with R13-R33."""
+def order_columns(k: DataFrame) -> DataFrame:
+    """C15's computed columns (R13-R25) beside those of its joins and windows."""
     col = F.col
     amt = "coupon_used_amount"
     src_cols = {
@@ -299,7 +320,12 @@ def final_projection(k: DataFrame) -> DataFrame:
         "order_sub_nature": R.order_sub_nature(amt, "delivery_fee_revenue"),
     }
     k = k.withColumns({n: c for n, c in src_cols.items() if n != "customer_id"})
-    k = k.withColumn("customer_id", src_cols["customer_id"])
+    return k.withColumn("customer_id", src_cols["customer_id"])
+
+
+def final_projection(k: DataFrame) -> DataFrame:
+    """The 174 published columns, in order, with R26-R33."""
+    k = order_columns(k)
     late = "late_order"
     k = k.withColumns({
         **R.inaccuracy_flags("comp_ccr1", late),
@@ -327,7 +353,7 @@ def order_mart(src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage) -> Da
 
 def mart_schema(src: dict[str, DataFrame], cfg: RunConfig):
     """The mart's schema; plans only, no data is read."""
-    return order_mart(src, cfg, cut=lambda df, *_: df).schema
+    return order_mart(src, replace(cfg, slice_rows=0, key_filter_bits=0), cut=lambda df, *_: df).schema
 
 
 def check_target(spark, target: str, schema, mode: str = "append") -> None:
