@@ -9,10 +9,12 @@ reuse one partitioning of the left side, so ``enrich`` groups them by key.  No j
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -29,6 +31,46 @@ class JoinSpec:
     spread_nulls_by: str | None = None
 
 
+class FanOutReport:
+    """How many rows of each named right side repeat a key, counted while the joins run.
+
+    A right side's rows are numbered within their key; a sort-merge join needs that exchange and sort in any case, so
+    the numbers cost one pass over rows that are there.  The counts are metrics of the plan that
+    carries them (``Observation``): no job is added, no row changes.  Rows with a NULL key meet nothing and aren't counted."""
+
+    def __init__(self) -> None:
+        self._seen: list[tuple[str, Observation]] = []
+
+    def watch(self, name: str, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+        known = F.lit(True)
+        for k in keys:
+            known = known & F.col(k).isNotNull()
+        again = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys)) > 1
+        seen = Observation()
+        self._seen.append((name, seen))
+        counted = right.withColumn("__again", F.when(known, again))
+        return counted.observe(seen, F.count("__again").alias("right_rows"), F.coalesce(F.sum(F.col("__again").cast("int")), F.lit(0)).alias("repeated_rows")) \
+            .drop("__again")
+
+    def rows(self) -> list[tuple[str, int, int]]:
+        """(join, rows of the right side, rows that repeat a key), once the plans that hold the joins have run."""
+        return [(name, seen.get["right_rows"], seen.get["repeated_rows"]) for name, seen in self._seen]
+
+
+_report: ContextVar[FanOutReport | None] = ContextVar("fan_out_report", default=None)
+
+
+@contextmanager
+def fan_out_report() -> Iterator[FanOutReport]:
+    """Joins that are planned inside count what their named right sides repeat."""
+    report = FanOutReport()
+    token = _report.set(report)
+    try:
+        yield report
+    finally:
+        _report.reset(token)
+
+
 NULL_SPREAD_PREFIX = "\u0001"
 
 
@@ -43,6 +85,8 @@ def join_one(left: DataFrame, spec: JoinSpec) -> DataFrame:
     sel = [F.col(r).alias(k) for r, k in zip(spec.right_on, rkeys)]
     sel += [(F.col(v) if isinstance(v, str) else v).alias(n) for n, v in spec.select.items()]
     right = spec.right.select(*sel)
+    if spec.name and _report.get() is not None:
+        right = _report.get().watch(spec.name, right, rkeys)
     lkeys = [F.col(k) for k in spec.left_on]
     drop = list(rkeys)
     if spec.spread_nulls_by is not None and spec.how == "left":

@@ -31,6 +31,7 @@ from ordermart.functions import rules as R
 from ordermart.functions.dates import hour_of, iso_weekday, week_monday, week_of_year_sunday, year_start
 from ordermart.functions.numeric import flag, net_of_tax
 from ordermart.operators.joins import JoinSpec, enrich
+from ordermart.operators.keyfilter import key_filter, prune
 from ordermart.operators.slices import SLICE, sliced
 from ordermart.operators.windows import group_aggregate, null_safe_key, time_segment
 from ordermart.plans import orders as O
@@ -58,6 +59,19 @@ def _same(*names: str) -> dict[str, str]:
     return {n: n for n in names}
 
 
+# sources of order rows without a date that the period could filter
+UNDATED = ("fact_talon_coupons", "dim_coupon_crm_attributes", "df090_dma_discounts_bines")
+
+
+def of_the_period(src: dict[str, DataFrame], cfg: RunConfig) -> dict[str, DataFrame]:
+    """The undated order-keyed sources (L9, L14, L17) without rows that no order of the period can meet: a filter of the
+    period's order keys is probed in their scans, so the rest of their history isn't shuffled."""
+    if not cfg.key_filter_bits:
+        return src
+    words = key_filter(src["customer_orders_sku_level"], "join_order_id", cfg.key_filter_bits)
+    return {**src, **{n: prune(src[n], "join_order_id", words, cfg.key_filter_bits) for n in UNDATED}}
+
+
 def order_joins(src: dict[str, DataFrame]) -> list[JoinSpec]:
     """L8, L9, L13, L14, L15, L17, L20, L21, L23 — all on the order key."""
     return [
@@ -114,9 +128,9 @@ def user_month_join(users: DataFrame) -> JoinSpec:
         spread_nulls_by="join_order_id")
 
 
-def customer_month_joins(src: dict[str, DataFrame], floor=None) -> list[JoinSpec]:
+def customer_month_joins(src: dict[str, DataFrame], floor=None, limits: dict[str, int] = {}) -> list[JoinSpec]:
     """L12, L18, L19, L22, all on (customer, month).  ``floor``: the first order month; earlier months of
-    the two sources that no look-back reads can't match."""
+    the two sources that no look-back reads can't match.  ``limits``: by source, split users of more rows."""
     recent = lambda df: df if floor is None else df.where(F.col("join_month") >= F.lit(floor))
     gt_cols = ("bop_level_0", "bop_level_1", "bop_level_2", "benefit_segment", "platform_current_frequency",
                "month_dechurned", "sundays_boolean", "sundays_boolean_last_month", "activated_by",
@@ -124,10 +138,10 @@ def customer_month_joins(src: dict[str, DataFrame], floor=None) -> list[JoinSpec
                "dmart_lifetime_stage", "plus_dmarts_lifecycle", "user_range_retention_tag")
     return [
         JoinSpec(recent(src["peru_clusters"]), CUST_MONTH, USER_MONTH, {"crm_pe_cluster": "n_cluster"}, name="L12 clusters"),
-        JoinSpec(O.prep_purchase_missions(_known(src["dmart_purchase_missions"], "join_user_id")), CUST_MONTH, USER_MONTH, {
+        JoinSpec(O.prep_purchase_missions(_known(src["dmart_purchase_missions"], "join_user_id"), limits.get("dmart_purchase_missions", 0)), CUST_MONTH, USER_MONTH, {
             "dmart_shopping_mission": "category",
             "dmart_pm_shopping_mission_prior_month": "dmart_pm_shopping_mission_prior_month"}, name="L18 missions"),
-        JoinSpec(O.prep_behavioural_clustering(_known(src["dmart_behavioural_clustering"], "join_user_id")), CUST_MONTH, USER_MONTH, {
+        JoinSpec(O.prep_behavioural_clustering(_known(src["dmart_behavioural_clustering"], "join_user_id"), limits.get("dmart_behavioural_clustering", 0)), CUST_MONTH, USER_MONTH, {
             "crm_pe_dm_cluster": "final_dm_cluster", "crm_pe_dmart_cluster": "dmart_cluster",
             "crm_pe_dmart_cluster_prior_month": "dmart_cluster_prior_month"}, name="L19 clustering"),
         JoinSpec(recent(src["dmart_growth_tracker"]), CUST_MONTH, USER_MONTH, _same(*gt_cols), name="L22 growth tracker"),
@@ -175,16 +189,17 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
         "week_of_year": week_of_year_sunday(week_monday("order_date")),
         "_mission": R.shopping_mission("fulfilled", "categories"),
     })
+    large = U.large_users(src, cfg)
     if users is None:
         period_users = _known(src["fact_orders"].select("join_user_id"), "join_user_id").distinct()
-        users = U.user_months(U.known_users(src), cfg, U.spine_floor(cfg), only_users=period_users)
+        users = U.user_months(U.known_users(src), cfg, U.spine_floor(cfg), period_users, large, cut)
     # joins whose keys are not the customer: order key (9), then (user of the order fact, month)
-    df = enrich(s, order_joins(src))
+    df = enrich(s, order_joins(of_the_period(src, cfg)))
     df = user_month_values(df, users)
     if columns is not None:
         df = df.select(*[c for c in df.columns if c in columns or c in STAGE_READS])
     # the customer stage reads these rows twice
-    return customer_stage(cut(df, "orders"), src, cfg, cut, columns)
+    return customer_stage(cut(df, "orders"), src, cfg, cut, columns, large)
 
 
 def user_month_values(rows: DataFrame, users: DataFrame) -> DataFrame:
@@ -210,7 +225,8 @@ def user_month_values(rows: DataFrame, users: DataFrame) -> DataFrame:
     return out.withColumns({c: F.col("_e").getField(c) for c in cols}).drop("_um", "_e")
 
 
-def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage, columns: list[str] | None = None) -> DataFrame:
+def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut=cut_lineage, columns: list[str] | None = None,
+                   large: set[str] = frozenset()) -> DataFrame:
     """Everything keyed by the customer.
 
     One key can hold a third of all rows here, so the wide rows are never gathered by customer:
@@ -245,7 +261,7 @@ def customer_stage(df: DataFrame, src: dict[str, DataFrame], cfg: RunConfig, cut
         F.min(iso_weekday("order_date")).alias("_wmin"),
         *[F.max(flag(e)).alias(n) for n, e in flags.items()]), "fine")
 
-    cm_specs, cu_specs = customer_month_joins(src, cfg.period_start), customer_joins(src)
+    cm_specs, cu_specs = customer_month_joins(src, cfg.period_start, {n: cfg.slice_rows for n in large}), customer_joins(src)
     for spec in [*cm_specs, *cu_specs] if columns is not None else ():  # the joins stay: they can fan out
         spec.select = {n: c for n, c in spec.select.items() if n in columns}
     matched = [c for j in [*cm_specs, *cu_specs] for c in j.select]
@@ -398,6 +414,63 @@ def publish(df: DataFrame, target: str, mode: str = "append") -> None:
         spark.conf.set(key, before)
 
 
+def publish_once(df: DataFrame, target: str, run: str) -> bool:
+    """K1 for a run that may be started again: append ``df`` to ``target`` by position unless ``run`` has been appended already.
+
+    The run's ledger is a folder beside the table's files, ``_runs/<run>``, which readers of the table skip:
+
+    1. the rows are written there (``stage``); a stage without its success marker was cut off and is written anew;
+    2. each staged file is moved into the table under a name that holds the run.  A move either happens or not, so a
+       job that was killed moves the files that are left when it is started again, and never one twice;
+    3. a commit marker is written.  A run with a marker does nothing.
+
+    Returns whether this call did the append.  ``publish(mode="append")`` stays the plain insert."""
+    spark = df.sparkSession
+    if not run or "/" in run or run.startswith("."):
+        raise ValueError(f"{run!r} can't name a run")
+    df = df.select(*C.OUTPUT_COLUMNS)
+    check_target(spark, target, df.schema)
+    parts = [c.name for c in spark.catalog.listColumns(target) if c.isPartition]
+    detail = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {target}").collect()}
+    if (detail.get("Provider") or "").lower() != "parquet":
+        raise ValueError(f"{target} is no Parquet table: its files can't be added one by one")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    table = path(detail["Location"])
+    fs = table.getFileSystem(spark._jsc.hadoopConfiguration())
+    ledger = path(table, f"_runs/{run}")
+    stage, commit = path(ledger, "stage"), path(ledger, "_COMMITTED")
+    if fs.exists(commit):
+        return False
+    if not fs.exists(path(stage, "_SUCCESS")):
+        fs.delete(stage, True)
+        names = spark.table(target).columns
+        writer = df.select(*[F.col(c).alias(n) for c, n in zip(positioned(df.columns, parts), names, strict=True)]).write
+        (writer.partitionBy(*parts) if parts else writer).parquet(stage.toString())
+    for source, folder in _staged_files(fs, path, stage):
+        home = path(table, folder) if folder else table
+        fs.mkdirs(home)
+        if not fs.rename(source, path(home, f"{run}-{source.getName()}")):
+            raise OSError(f"{source.toString()} could not be moved")
+    fs.create(commit, True).close()
+    fs.delete(stage, True)
+    if parts:
+        spark.catalog.recoverPartitions(target)
+    spark.catalog.refreshTable(target)
+    return True
+
+
+def _staged_files(fs, path, stage) -> list[tuple]:
+    """Data files of a stage with their partition folder: a file per task, named on the driver, never read there."""
+    found, files = [], fs.listFiles(stage, True)
+    prefix = fs.makeQualified(stage).toString() + "/"
+    while files.hasNext():
+        file = files.next().getPath()
+        folder, _, name = fs.makeQualified(file).toString().removeprefix(prefix).rpartition("/")
+        if not name.startswith(("_", ".")):
+            found.append((file, folder))
+    return found
+
+
 def create_target(schema, target: str, spark, path: str | None = None) -> None:
     """Create an empty month-partitioned Parquet target for the mart."""
     w = spark.createDataFrame([], schema).select(*C.OUTPUT_COLUMNS).write.format("parquet").partitionBy("month")

@@ -9,7 +9,8 @@ from ordermart import config as C
 from ordermart.functions import rules as R
 from ordermart.functions.numeric import any_flag, safe_ratio
 from ordermart.operators.joins import JoinSpec, enrich
-from ordermart.operators.windows import latest_per_key, prior_value
+from ordermart.operators.slices import scan
+from ordermart.operators.windows import latest_per_key
 
 ORDER_KEYS = ["store_name", "vendor_id", "order_date", "join_order_month", "order_timestamp",
               "customer_id", "join_customer_id", "order_id", "join_order_id"]
@@ -17,7 +18,7 @@ ORDER_KEYS = ["store_name", "vendor_id", "order_date", "join_order_month", "orde
 
 def prep_skus_pim(s4: DataFrame, s5: DataFrame) -> DataFrame:
     """Catalogue ⟕ level-0 lookup (L1), best barcode per SKU."""
-    cat = enrich(s4, [JoinSpec(s5, ["level_1"], ["level_1"], {"level_0": "level_0"})])
+    cat = enrich(s4, [JoinSpec(s5, ["level_1"], ["level_1"], {"level_0": "level_0"}, name="L1 level 0")])
     payload = ["piece_barcode", "level_0", "level_1", "level_2", "level_3", "level_4", "country_code"]
     return latest_per_key(cat, ["join_sku"], ["piece_barcode"], payload)
 
@@ -37,16 +38,14 @@ def prep_payments(s6: DataFrame, s7: DataFrame | None = None) -> DataFrame:
                           ["bank", "operation_type", "payment_name"])
 
 
-def prep_purchase_missions(s16: DataFrame) -> DataFrame:
-    """Previous month's purchase mission."""
-    return prior_value(s16, ["join_user_id"], ["join_month", "category"],
-                       {"dmart_pm_shopping_mission_prior_month": "category"})
+def prep_purchase_missions(s16: DataFrame, limit: int = 0) -> DataFrame:
+    """Previous month's purchase mission (W3).  Users of more than ``limit`` rows, such as no user, are split."""
+    return scan(s16, ["join_user_id"], ["join_month", "category"], {"dmart_pm_shopping_mission_prior_month": "category"}, limit=limit)
 
 
-def prep_behavioural_clustering(s17: DataFrame) -> DataFrame:
+def prep_behavioural_clustering(s17: DataFrame, limit: int = 0) -> DataFrame:
     """Previous month's behavioural cluster."""
-    return prior_value(s17, ["join_user_id"], ["join_month", "dmart_cluster", "final_dm_cluster"],
-                       {"dmart_cluster_prior_month": "dmart_cluster"})
+    return scan(s17, ["join_user_id"], ["join_month", "dmart_cluster", "final_dm_cluster"], {"dmart_cluster_prior_month": "dmart_cluster"}, limit=limit)
 
 
 def complaint_rollup(s18: DataFrame) -> DataFrame:
@@ -64,7 +63,7 @@ def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25)
     The lines are hashed on the order key once: that partitioning serves the nine-key grouping, the
     distinct categories and every order-keyed join after it.  Sums keep the type that the lines' money has."""
     cat = skus.select("join_sku", "level_0", "level_2")
-    df = enrich(lines, [JoinSpec(cat, ["join_sku_id"], ["join_sku"], {"level_0": "level_0", "level_2": "level_2"})])
+    df = enrich(lines, [JoinSpec(cat, ["join_sku_id"], ["join_sku"], {"level_0": "level_0", "level_2": "level_2"}, name="L7 catalogue")])
     df = df.repartition("join_order_id")
     qty = F.col("fulfilled_quantity")
     disc = F.col("pcm_discount_amount_net_lc")

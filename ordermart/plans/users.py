@@ -1,8 +1,10 @@
 """User branch: C1-C4, C10-C13 (user x month lifecycle spine and its metrics).
 
-Every window here is partitioned by user and ordered by month over a spine that has at
-most one row per (user, month) (plus the fan-out of its left joins): partitions are
-bounded by the number of months, so plain windows are safe.  Window orders end in the payload
+A user's spine is a run of months, kept as its two ends.  Only months in which a source has a row of the user
+are joined and shuffled; the idle months between them are generated after the rows have met on the user.
+Every window is partitioned by user and ordered by month.  A user has a row per month, times the fan-out of the left
+joins; if one has more active rows than ``cfg.slice_rows``, the windows become scans over slices of the
+order (``operators.slices``).  Window orders end in the payload
 columns, so rows that repeat a (user, month) give the same values in any input order.  The tables
 keep rows with a NULL user; the mart drops them before it comes here (``known_users``), as
 ``NULL = x`` is never true.
@@ -11,6 +13,7 @@ keep rows with a NULL user; the mart drops them before it comes here (``known_us
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +22,10 @@ from ordermart.config import RunConfig
 from ordermart.functions import rules as R
 from ordermart.functions.numeric import safe_ratio
 from ordermart.operators.joins import JoinSpec, enrich
-from ordermart.operators.spine import month_spine
+from ordermart.operators.slices import scan
+from ordermart.operators.spine import expand, fill_idle, month_intervals
 from ordermart.operators.windows import last_active_before, partition_total, prior_value
+from ordermart.session import cut_lineage
 
 USER_MONTH = ["join_user_id", "join_month"]
 
@@ -45,9 +50,14 @@ def user_global_dates(s1: DataFrame) -> DataFrame:
             .distinct())
 
 
+def user_intervals(ugd: DataFrame, cfg: RunConfig, floor: dt.date | None = None) -> DataFrame:
+    """A user's spine as its first and last month."""
+    return month_intervals(ugd, "join_user_id", "adoption_since", cfg.spine_last_month, floor)
+
+
 def date_grid(ugd: DataFrame, cfg: RunConfig, floor: dt.date | None = None) -> DataFrame:
     """Dense (user, month) spine from the adoption month to the spine's last month."""
-    return month_spine(ugd, "join_user_id", "adoption_since", cfg.spine_last_month, floor=floor)
+    return expand(user_intervals(ugd, cfg, floor), "join_user_id")
 
 
 def user_monthly_status(s1: DataFrame, floor: dt.date | None = None) -> DataFrame:
@@ -69,25 +79,33 @@ def user_monthly_orders(lines: DataFrame) -> DataFrame:
                  safe_ratio(F.sum("total_amount_net_with_discount_lc"), n_orders).alias("afv")))
 
 
-def dmart_data(grid: DataFrame, ugd: DataFrame, ums: DataFrame, umo: DataFrame,
-               more: list[JoinSpec] = ()) -> DataFrame:
-    """Spine ⟕ monthly status ⟕ monthly orders (L4, L5) [⟕ ``more`` user-month joins]
-    ⟕ user dates (L3).  The (user, month) joins share one partitioning; the user join
-    comes last so that the per-user windows after it need no further shuffle."""
-    df = enrich(grid, [
-        JoinSpec(ums, USER_MONTH, USER_MONTH, {"type": "type", "mes_en_curso": "mes_en_curso"}),
-        JoinSpec(umo, USER_MONTH, USER_MONTH,
-                 {c: c for c in ("dm_current_frequency", "basket_size", "categories", "afv")}),
-        *more,
-        JoinSpec(ugd, ["join_user_id"], ["join_user_id"],
-                 {c: c for c in ("adoption_since", "acquisition_since", "adoption_until", "acquisition_until")}),
-    ])
-    extra = [c for j in more for c in j.select]
+DATES = ("adoption_since", "acquisition_since", "adoption_until", "acquisition_until")
+
+
+def active_months(ums: DataFrame, umo: DataFrame, more: list[JoinSpec] = ()) -> DataFrame:
+    """The user months that a source has rows of, with all their rows (L4, L5 [, ``more``]); no user, no match."""
+    specs = [JoinSpec(ums, USER_MONTH, USER_MONTH, {"type": "type", "mes_en_curso": "mes_en_curso"}, name="L4 monthly status"),
+             JoinSpec(umo, USER_MONTH, USER_MONTH, {c: c for c in ("dm_current_frequency", "basket_size", "categories", "afv")}, name="L5 monthly orders"),
+             *more]
+    keys = None
+    for s in specs:
+        own = s.right.select(*[F.col(c).alias(n) for c, n in zip(s.right_on, USER_MONTH)])
+        keys = own if keys is None else keys.unionByName(own)
+    return enrich(keys.where("join_user_id IS NOT NULL AND join_month IS NOT NULL").distinct(), specs)
+
+
+def dmart_data(intervals: DataFrame, ugd: DataFrame, active: DataFrame) -> DataFrame:
+    """Spine ⟕ monthly status ⟕ monthly orders (L4, L5) [⟕ further user-month joins] ⟕ user dates (L3).
+    ``active``: the rows of ``active_months``.  Idle months have no row of any source: they are the months of
+    the user's interval without an active one, generated where the user's rows are."""
+    df = fill_idle(intervals, active, "join_user_id")
+    df = enrich(df, [JoinSpec(ugd, ["join_user_id"], ["join_user_id"], {c: c for c in DATES}, name="L3 user dates")])
+    own = ("type", "mes_en_curso", "dm_current_frequency", "basket_size", "categories", "afv")
+    extra = [c for c in active.columns if c not in (*USER_MONTH, *own)]
     return df.select(
         "join_user_id",
         R.growth_status("type").alias("dmart_growth_status"),
-        "type", "mes_en_curso", "adoption_since", "acquisition_since", "adoption_until",
-        "acquisition_until", "join_month",
+        "type", "mes_en_curso", *DATES, "join_month",
         F.coalesce(F.col("dm_current_frequency"), F.lit(0)).alias("dm_current_frequency"),
         "basket_size", "categories", "afv", *extra,
     )
@@ -100,7 +118,7 @@ MONTHLY_INFO = ["present_month_status_user", "past_month_status_user", "dm_past_
 
 def monthly_info_join(s3: DataFrame) -> JoinSpec:
     """Platform info per (user, month), columns prefixed ``m_``."""
-    return JoinSpec(s3, USER_MONTH, USER_MONTH, {f"m_{c}": c for c in MONTHLY_INFO})
+    return JoinSpec(s3, USER_MONTH, USER_MONTH, {f"m_{c}": c for c in MONTHLY_INFO}, name="L6 monthly info")
 
 
 # rows that repeat a (user, month) are told apart by what the windows read
@@ -108,20 +126,26 @@ USER_MONTH_ORDER = ["join_month", "type", "mes_en_curso", "adoption_since", "acq
                     "acquisition_until", "dm_current_frequency", "afv", "platform_status", "platform_prior_status"]
 
 
-def user_data(dd: DataFrame, s3: DataFrame | None = None) -> DataFrame:
-    """C11: platform info (L6), prior-month values (W5-W7), R7/R8, month totals (W9), last
-    active month (W10).  Pass ``s3`` to join L6 here; without it ``dd`` must already carry
-    the ``m_`` columns (``user_months`` joins L6 together with L4/L5)."""
+TWO_BEFORE = "_status_two_before"
+
+
+def user_data(dd: DataFrame, limit: int = 0, cut=cut_lineage) -> DataFrame:
+    """C11 over C10 with the ``m_`` columns of L6: prior-month values (W5-W7), R7/R8, month totals (W9), last
+    active month (W10).  ``limit``: split users of more rows.  Carries the status of two months before
+    for W8 (``prep_united_users`` drops it)."""
     m = MONTHLY_INFO
-    df = dd if s3 is None else enrich(dd, [monthly_info_join(s3)])
-    df = df.withColumns({"platform_status": F.col("m_present_month_status_user"),
+    df = dd.withColumns({"platform_status": F.col("m_present_month_status_user"),
                          "platform_prior_status": F.col("m_past_month_status_user")})
-    df = prior_value(df, ["join_user_id"], USER_MONTH_ORDER, {
-        "dmart_growth_status_past_month": "dmart_growth_status",
-        "previous_mes_en_curso": "mes_en_curso",
-        "_prev_freq": "dm_current_frequency",
-        "_prev_afv": "afv",
-    })
+    prior = {"dmart_growth_status_past_month": "dmart_growth_status", "previous_mes_en_curso": "mes_en_curso",
+             "_prev_freq": "dm_current_frequency", "_prev_afv": "afv"}
+    bought = F.col("dm_current_frequency") > 0
+    if limit:
+        df = scan(df, ["join_user_id"], USER_MONTH_ORDER, prior, {"last_month_active": ("join_month", bought)}, limit, cut)
+        df = scan(df, ["join_user_id"], USER_MONTH_ORDER, {TWO_BEFORE: "dmart_growth_status_past_month"}, limit=limit, cut=cut)
+    else:
+        df = prior_value(df, ["join_user_id"], USER_MONTH_ORDER, prior)
+        df = prior_value(df, ["join_user_id"], USER_MONTH_ORDER, {TWO_BEFORE: "dmart_growth_status"}, offset=2)
+        df = last_active_before(df, ["join_user_id"], USER_MONTH_ORDER, "join_month", bought, "last_month_active")
     df = df.withColumns({
         "dmart_afv_performance": R.afv_performance("dmart_growth_status", "dm_current_frequency", "_prev_freq",
                                                    "afv", "_prev_afv"),
@@ -137,8 +161,6 @@ def user_data(dd: DataFrame, s3: DataFrame | None = None) -> DataFrame:
         "ls_current_frequency": F.sum(z("ls_present_month_orders") + z("c_present_month_orders")),
         "ls_prior_frequency": F.sum(z("ls_past_month_orders") + z("c_past_month_orders")),
     })
-    df = last_active_before(df, ["join_user_id"], USER_MONTH_ORDER, "join_month",
-                            F.col("dm_current_frequency") > 0, "last_month_active")
     return df.drop("_prev_freq", "_prev_afv", *[f"m_{c}" for c in m])
 
 
@@ -154,8 +176,10 @@ def united_users(ud: DataFrame) -> DataFrame:
 
 
 def prep_united_users(uu: DataFrame) -> DataFrame:
-    """Prior month's churn type."""
-    return prior_value(uu, ["join_user_id"], [*USER_MONTH_ORDER, "dmart_churn_type"], {"dmart_churn_type_prior_month": "dmart_churn_type"})
+    """Prior month's churn type (W8): R10 over the statuses of one and two months before.  Only a user's first
+    row has no status before."""
+    past = "dmart_growth_status_past_month"
+    return uu.withColumn("dmart_churn_type_prior_month", F.when(F.col(past).isNotNull(), R.churn_type(past, TWO_BEFORE))).drop(TWO_BEFORE)
 
 
 def known_users(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
@@ -164,22 +188,56 @@ def known_users(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: src[name].where(F.col(key).isNotNull()) for name, key in keys.items()}
 
 
-def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None,
-                only_users: DataFrame | None = None) -> DataFrame:
-    """C1-C4, C10-C13 end to end.
+def large_users(src: dict[str, DataFrame], cfg: RunConfig) -> set[str]:
+    """The sources in which a user (or no user) has so many rows that windows over a user must be split: more than
+    ``cfg.slice_rows`` in the two that are windowed as they are, more than its root in the two whose rows of a month
+    multiply in C10.  One narrow aggregate over all of them."""
+    keys = {"first_dmart_order_date_users": "join_id", "monthly_user_info": "join_user_id",
+            "dmart_purchase_missions": "join_user_id", "dmart_behavioural_clustering": "join_user_id"}
+    if not cfg.slice_rows:
+        return set()
+    rows = None
+    for name, key in keys.items():
+        if name in src:
+            own = src[name].select(F.lit(name).alias("source"), F.col(key).alias("user"),
+                                   F.lit(cfg.slice_rows if name.startswith("dmart_") else math.isqrt(cfg.slice_rows)).alias("most"))
+            rows = own if rows is None else rows.unionByName(own)
+    counted = rows.groupBy("source", "user", "most").count().where("count > most")
+    return {r.source for r in counted.select("source").distinct().collect()}
 
-    ``only_users`` (a ``join_user_id`` column) restricts every input to those users before the spine
-    is generated: every window here is per user, so dropping whole users changes nothing
-    for the others, and the mart reads the spine only for users of its orders."""
+
+SPINE_SOURCES = {"first_dmart_order_date_users", "monthly_user_info"}
+
+
+def spine_rows(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None, info: bool = True,
+               only_users: DataFrame | None = None) -> DataFrame:
+    """C1-C4 and C10, with L6 if ``info``."""
     mine = lambda df, key="join_user_id": df if only_users is None else df.join(
         only_users.select(F.col("join_user_id").alias("__only")), F.col(key) == F.col("__only"), "left_semi")
     s1 = mine(src["first_dmart_order_date_users"], "join_id")
     ugd = user_global_dates(s1)
-    grid = date_grid(ugd, cfg, floor)
-    ums = user_monthly_status(s1, floor)
+    more = []
+    if info:
+        s3 = mine(src["monthly_user_info"])
+        more = [monthly_info_join(s3 if floor is None else s3.where(F.col("join_month") >= F.lit(floor)))]
     umo = user_monthly_orders(mine(src["customer_orders_sku_level"], "join_customer_id"))
-    s3 = mine(src["monthly_user_info"])
-    if floor is not None:
-        s3 = s3.where(F.col("join_month") >= F.lit(floor))
-    dd = dmart_data(grid, ugd, ums, umo, more=[monthly_info_join(s3)])
-    return prep_united_users(united_users(user_data(dd)))
+    return dmart_data(user_intervals(ugd, cfg, floor), ugd, active_months(user_monthly_status(s1, floor), umo, more))
+
+
+def user_metrics(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None, only_users: DataFrame | None = None,
+                 large: set[str] | None = None, cut=cut_lineage) -> DataFrame:
+    """C11 end to end.  ``large``: what ``large_users`` found, if the caller has asked already."""
+    rows = spine_rows(src, cfg, floor, True, only_users)
+    if SPINE_SOURCES & (large_users({n: src[n] for n in SPINE_SOURCES}, cfg) if large is None else large):
+        return user_data(cut(rows, "spine"), cfg.slice_rows, cut)
+    return user_data(rows)
+
+
+def user_months(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None = None,
+                only_users: DataFrame | None = None, large: set[str] | None = None, cut=cut_lineage) -> DataFrame:
+    """C1-C4, C10-C13 end to end.
+
+    ``only_users`` (a ``join_user_id`` column) restricts every input to those users before the spine
+    is generated: every window here is per user, so dropping whole users changes nothing
+    for the others, and the mart reads the spine only for users of its orders."""
+    return prep_united_users(united_users(user_metrics(src, cfg, floor, only_users, large, cut)))

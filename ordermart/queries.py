@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,7 @@ from ordermart.config import RunConfig
 from ordermart.functions import dates as D
 from ordermart.functions import rules as R
 from ordermart.functions.numeric import net_of_tax, safe_ratio
-from ordermart.operators.joins import JoinSpec, enrich
+from ordermart.operators.joins import JoinSpec, enrich, fan_out_report
 from ordermart.pipeline import TEST_CONFIG, test_sources
 from ordermart.plans import mart as M
 from ordermart.plans import orders as O
@@ -210,7 +211,7 @@ def q_latest_vendor(spark, sf_dir):
 @register("lag_prior_month", """SELECT join_user_id, join_month, category, dmart_pm_shopping_mission_prior_month
 FROM c_pm""")
 def q_lag_prior_month(spark, sf_dir):
-    pm = O.prep_purchase_missions(_src(spark, sf_dir, "dmart_purchase_missions")["dmart_purchase_missions"])
+    pm = O.prep_purchase_missions(_src(spark, sf_dir, "dmart_purchase_missions")["dmart_purchase_missions"], TEST_CONFIG.slice_rows)
     return pm.select("join_user_id", "join_month", "category", "dmart_pm_shopping_mission_prior_month")
 
 
@@ -218,7 +219,7 @@ def q_lag_prior_month(spark, sf_dir):
   dmart_cluster_prior_month FROM c_be""")
 def q_lag_prior_cluster(spark, sf_dir):
     be = O.prep_behavioural_clustering(
-        _src(spark, sf_dir, "dmart_behavioural_clustering")["dmart_behavioural_clustering"])
+        _src(spark, sf_dir, "dmart_behavioural_clustering")["dmart_behavioural_clustering"], TEST_CONFIG.slice_rows)
     return be.select("join_user_id", "join_month", "dmart_cluster", "final_dm_cluster", "dmart_cluster_prior_month")
 
 
@@ -251,22 +252,14 @@ def q_user_month_orders(spark, sf_dir):
     return U.user_monthly_orders(_src(spark, sf_dir, "customer_orders_sku_level")["customer_orders_sku_level"])
 
 
-def _dd(src, cfg, floor=None):
-    s1 = src["first_dmart_order_date_users"]
-    ugd = U.user_global_dates(s1)
-    return U.dmart_data(U.date_grid(ugd, cfg, floor), ugd, U.user_monthly_status(s1, floor),
-                        U.user_monthly_orders(src["customer_orders_sku_level"]))
-
-
 @register("user_month_spine", "SELECT * FROM c_dd")
 def q_user_month_spine(spark, sf_dir):
-    return _dd(_users(spark, sf_dir), TEST_CONFIG)
+    return U.spine_rows(_users(spark, sf_dir), TEST_CONFIG, info=False)
 
 
 @register("user_month_metrics", "SELECT * FROM c_ud")
 def q_user_month_metrics(spark, sf_dir):
-    src = _users(spark, sf_dir)
-    return U.user_data(_dd(src, TEST_CONFIG), src["monthly_user_info"])
+    return U.user_metrics(_users(spark, sf_dir), TEST_CONFIG).drop(U.TWO_BEFORE)
 
 
 @register("churn_type", "SELECT * FROM c_puu")
@@ -279,7 +272,7 @@ def q_churn_type(spark, sf_dir):
   dmart_afv_performance, dmart_frec_performance FROM c_ud""", period=FULL_PERIOD)
 def q_user_performance(spark, sf_dir):
     src = _users(spark, sf_dir, FULL_HISTORY)
-    ud = U.user_data(_dd(src, FULL_HISTORY), src["monthly_user_info"])
+    ud = U.user_metrics(src, FULL_HISTORY)
     return ud.select("join_user_id", "join_month", "dmart_growth_status", "dm_current_frequency", "afv",
                      "dmart_afv_performance", "dmart_frec_performance")
 
@@ -288,7 +281,7 @@ def q_user_performance(spark, sf_dir):
   activation_period FROM c_uu""", period=FULL_PERIOD)
 def q_last_active(spark, sf_dir):
     src = _users(spark, sf_dir, FULL_HISTORY)
-    uu = U.united_users(U.user_data(_dd(src, FULL_HISTORY), src["monthly_user_info"]))
+    uu = U.united_users(U.user_metrics(src, FULL_HISTORY))
     return uu.select("join_user_id", "join_month", "dm_current_frequency", "last_month_active", "activation_period")
 
 
@@ -296,7 +289,7 @@ def q_last_active(spark, sf_dir):
   platform_prior_frequency, platform_performance FROM c_uu""")
 def q_platform_performance(spark, sf_dir):
     src = _users(spark, sf_dir)
-    uu = U.united_users(U.user_data(_dd(src, TEST_CONFIG), src["monthly_user_info"]))
+    uu = U.united_users(U.user_metrics(src, TEST_CONFIG))
     return uu.select("join_user_id", "join_month", "platform_status", "platform_current_frequency",
                      "platform_prior_frequency", "platform_performance")
 
@@ -441,6 +434,38 @@ _from_mart("publish_columns", [*_KEY, "wine_user", "rmo_high_mov", "rmo_qc_dmart
                                "customer_adverted_id", "sku_level_customer_id"])
 
 
+# what each right side of the mart holds, as the mart reads it: users of the period's orders, from two months before it
+_OF_USERS = "join_user_id IN (SELECT join_user_id FROM s8)"
+_RIGHT_SIDES = {
+    "L1 level 0": ("s5", "level_1"), "L7 catalogue": ("c_skus", "join_sku"),
+    "L3 user dates": (f"(FROM c_ugd WHERE {_OF_USERS})", "join_user_id"),
+    "L4 monthly status": (f"(FROM c_ums WHERE {_OF_USERS} AND join_month >= DATE '1998-04-01')", "join_user_id, join_month"),
+    "L5 monthly orders": (f"(FROM c_umo WHERE {_OF_USERS})", "join_user_id, join_month"),
+    "L6 monthly info": (f"(FROM s3 WHERE {_OF_USERS} AND join_month >= DATE '1998-04-01')", "join_user_id, join_month"),
+    "L16 user months": (f"(FROM c_dd LEFT JOIN (FROM s3 SELECT join_user_id, join_month, 1 AS more) USING (join_user_id, join_month)"
+                        f" WHERE {_OF_USERS} AND join_month >= DATE '1998-04-01')", "join_user_id, join_month"),
+    **{n: (t, "join_order_id") for n, t in {
+        "L8 fact_orders": "s8", "L9 coupons": "s9", "L13 payments": "c_pay", "L14 coupon crm": "s13", "L15 dps": "s14", "L17 bines": "s15",
+        "L20 complaints (fans out)": "c_comp", "L21 orders_pe": "s19", "L23 shopping missions": "s21"}.items()},
+    **{n: (t, "join_user_id, join_month") for n, t in {
+        "L12 clusters": "(FROM s12 WHERE join_month >= DATE '1998-06-01')", "L18 missions": "c_pm", "L19 clustering": "c_be",
+        "L22 growth tracker": "(FROM s20 WHERE join_month >= DATE '1998-06-01')"}.items()},
+    "L10 lifecycle": ("s10", "join_user_id"), "L11 income + W11": ("s11", "join_user_id"),
+}
+
+
+@register("fan_out_report", " UNION ALL ".join(
+    f"SELECT '{name}' AS join_name, CAST(coalesce(sum(n), 0) AS BIGINT) AS right_rows, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS repeated_rows "
+    f"FROM (FROM {table} SELECT count(*) AS n WHERE {' AND '.join(f'{k} IS NOT NULL' for k in keys.split(', '))} GROUP BY {keys})"
+    for name, (table, keys) in _RIGHT_SIDES.items()))
+def q_fan_out_report(spark, sf_dir):
+    """Rows that repeat a key, per right side of the mart, observed while it is built."""
+    cfg = replace(TEST_CONFIG, key_filter_bits=0)  # the filter's false positives would count, too
+    with fan_out_report() as report:
+        M.order_mart(test_sources(spark, sf_dir, cfg), cfg)
+    return spark.createDataFrame(report.rows(), "join_name string, right_rows long, repeated_rows long")
+
+
 @register("publish_append", "SELECT * FROM c_mart")
 def q_publish_append(spark, sf_dir):
     """K1: the mart appended by position to an empty target whose columns have names of their own, read back."""
