@@ -8,8 +8,9 @@ every eighth word and every document's first.  All windows are searched backward
 the tree's ranks, occurrences are located by stepping to a kept position, and the hits of
 a document are merged into removal spans.
 
-The benchmark is the stated query set: it reaches the tasks in blocks of a bounded number of words, so
-a larger benchmark takes more passes, never a larger broadcast.  Null texts and texts without words
+The benchmark is the stated query set: it reaches the tasks in blocks of a bounded number of words, one after
+another: a block's hits are written and its broadcast is dropped before the next is read.  A larger benchmark takes more
+passes, never a larger broadcast.  Null texts and texts without words
 have no hits, items without words no windows; repeated rows are treated alike.  Of the documents
 only doc_id and text are read, of the items item_id and text.
 """
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.text import LOWER, Ranges, flat, lists, pieces, row_key, spans, word_ids
+from ordermart.session import cut_lineage
 
 WINDOW = 10
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 2 << 20
 KEPT_EVERY = 8
 BLOCK_WORDS = 1_000_000
 IS_WORD = np.zeros(256, bool)
@@ -267,18 +269,20 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("text is not null")
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, math.ceil(size / 2 / BLOCK_WORDS))  # a word takes two characters at least, its separator included
-    parts = []
+    out = None
     for b in range(blocks):
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
         block = spark.sparkContext.broadcast(Windows([r.item_id for r in own], [r.text for r in own]))
-        parts.append(rows.mapInArrow(_scan(block), HITS))
-    out = parts[0]
-    for more in parts[1:]:  # repeated rows have equal hits: one of them stands for all
-        more = more.filter("size(spans) > 0").dropDuplicates(["_id", "_th"]).select("_id", "_th", F.col("spans").alias("s"), F.col("items").alias("i"))
+        hits = cut_lineage(rows.mapInArrow(_scan(block), HITS), "hits")
+        block.destroy()  # the next block's pass finds no other one in memory
+        if out is None:
+            out = hits
+            continue
+        # repeated rows have equal hits: one of them stands for all
+        more = hits.filter("size(spans) > 0").dropDuplicates(["_id", "_th"]).select("_id", "_th", F.col("spans").alias("s"), F.col("items").alias("i"))
         out = out.join(more, ["_id", "_th"], "left").withColumn("spans", F.expr("concat(spans, coalesce(s, array()))")) \
             .withColumn("items", F.expr("array_union(items, coalesce(i, array()))")).drop("s", "i")
-    out = out.withColumn("items", F.array_distinct(F.array_compact("items")))
-    return out.withColumn("spans", merged("spans")) if blocks > 1 else out
+    return out.withColumn("items", F.array_distinct(F.array_compact("items"))).withColumn("spans", merged("spans"))
 
 
 def merged(column: str):

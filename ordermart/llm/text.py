@@ -41,7 +41,7 @@ def powers(n: int, family: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of a family's base and of its inverse modulo 2**64."""
     have = _powers.get(family)
     if have is None or len(have[0]) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = max(n, 2 * len(have[0]) if have else 1 << 16)  # grown as pieces need them
         base = int(_BASE[family])
         p = np.full(size, _BASE[family], dtype=np.uint64)
         q = np.full(size, _U(pow(base, -1, 2**64)), dtype=np.uint64)
