@@ -12,7 +12,7 @@ from the nearest directory above it that has a licence file (of several, the fir
 
 Units that hold none of a template's heaviest terms can't reach ``LEAST`` (what is left of the
 template is shorter than that), nor can units of which less than about half the terms are a template's, so they are left
-out before their terms are counted.  Inheritance is
+out before their terms are counted; a file that holds none is not cut into units at all.  Inheritance is
 settled once for each directory, by joining its ancestors' paths, and files then meet their directory.
 
 Null or empty texts have no licence of their own but may inherit; a null path inherits nothing.  Repeated rows
@@ -126,27 +126,44 @@ def weights(files: DataFrame, text: str = "text") -> tuple[dict[str, float], flo
     return {w: math.log(1 + (total + 1) / (frequency.get(w, 0) + 1)) for w in vocabulary}, math.log(1 + (total + 1) / 2)
 
 
-def matches(units: DataFrame, idf: dict[str, float], other: float) -> DataFrame:
-    """Units (key columns, ``terms``) with their licence and cosine; units without one are left out."""
-    vectors, needed = [], set()
+def template_vectors(idf: dict[str, float]) -> list[tuple[str, dict[str, float]]]:
+    """(name, terms by weight) of each template, of length 1."""
+    out = []
     for name, text in TEMPLATES:
         own = {w: idf[w] for w in plain_terms(text)}
         size = math.sqrt(sum(x * x for x in own.values()))
-        own = {w: x / size for w, x in own.items()}
-        vectors.append((name, own))
+        out.append((name, {w: x / size for w, x in own.items()}))
+    return out
+
+
+def heaviest(vectors: list[tuple[str, dict[str, float]]]) -> list[str]:
+    """The terms of which a unit must hold one to reach ``LEAST`` with any template."""
+    needed = set()
+    for _, own in vectors:
         rest = 1.0
         for w, x in sorted(own.items(), key=lambda wx: (-wx[1], wx[0])):
             if math.sqrt(max(rest, 0)) < LEAST:
                 break
             needed.add(w)
             rest -= x * x
+    return sorted(needed)
+
+
+def holds(found: Column, needed: list[str]) -> Column:
+    return F.arrays_overlap(found, F.split(F.lit(" ".join(needed)), " "))
+
+
+def matches(units: DataFrame, idf: dict[str, float], other: float) -> DataFrame:
+    """Units (key columns, ``terms``) with their licence and cosine; units without one are left out."""
+    vectors = template_vectors(idf)
+    needed = heaviest(vectors)
     spark = units.sparkSession
     keys = [c for c in units.columns if c != "terms"]
     vocabulary = spark.createDataFrame([(w, x, *(own.get(w, 0.0) * x for _, own in vectors)) for w, x in idf.items()],
                                        "term string, idf double, " + ", ".join(f"t{i} double" for i in range(len(vectors))))
     # of a unit that reaches LEAST the templates' terms make up LEAST ** 2 at least, as no other term of a file weighs less than they do
     candidates = units.select(*keys, F.size("terms").alias("size"), F.filter("terms", lambda w: w.isin(*idf)).alias("known")).filter(
-        F.size("known") >= F.col("size") * F.lit(LEAST * LEAST - 0.01)).filter(F.arrays_overlap("known", F.split(F.lit(" ".join(sorted(needed))), " ")))
+        F.size("known") >= F.col("size") * F.lit(LEAST * LEAST - 0.01)).filter(holds(F.col("known"), needed))
     # copies of a unit (repeated rows) are one unit: their terms may not be summed together
     known = candidates.dropDuplicates(keys).select(*keys, "size", F.explode("known").alias("term"))
     # the vocabulary has a row for each term of the fixed templates, so its size is known
@@ -173,7 +190,9 @@ def scan(files: DataFrame, id: str, path: Column, text: str = "text") -> DataFra
     idf, other = weights(rows)
     keys = ["id", "path", "th"]
     part = lambda size, texts: F.transform(texts, lambda t: F.struct(F.lit(size).alias("part"), t.alias("t")))
-    units = rows.select(*keys, F.explode(F.concat(part(WHOLE, F.array("text")), part(BLOCK, F.array_distinct(blocks(F.col("text")))),
+    # a file's units hold no other terms than the file: most files need no look at their blocks and lines
+    near = rows.filter(holds(terms(F.col("text")), heaviest(template_vectors(idf))))
+    units = near.select(*keys, F.explode(F.concat(part(WHOLE, F.array("text")), part(BLOCK, F.array_distinct(blocks(F.col("text")))),
                                                   part(LINE, F.array_distinct(F.split("text", "\n"))))).alias("u"))
     units = units.select(*keys, "u.part", F.xxhash64("u.t").alias("unit"), terms(F.col("u.t")).alias("terms"))
     found = cut_lineage(matches(units, idf, other), "licence-units")  # the few units that have a licence
