@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ordermart.llm.text import IS_WORD, Ranges, flat, lists, mix, pieces, row_key, spans, word_ids
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, drop_cut
 
 ROUNDS = 3
 _U = np.uint64
@@ -225,21 +225,27 @@ def remove_repeats(docs: DataFrame, window: int = 35) -> DataFrame:
     rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     parsed = cut_lineage(rows.mapInArrow(_parse(window), PARSED), "repeats-parsed", compression="zstd")
     flat_rows = parsed.select("_id", "_th", F.inline("anchors"))
-    shared = flat_rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    found = cut_lineage(flat_rows.join(shared, "key", "left_semi"), "repeats-anchors", compression="zstd")
-    bodies = found.groupBy("key", "body").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th", "at", "n")).alias("one"))
-    several = found.groupBy("key").agg(F.min("body").alias("x"), F.max("body").alias("y")).filter("x <> y").select("key")
-    whole = found.join(bodies.filter("c > 1").select("key", "body"), ["key", "body"], "left_semi").select("_id", "_th", "at", "n")
-    ask = bodies.join(several, "key", "left_semi").select("one.*", (F.col("c") == 1).alias("single"))
+    # Equal strings are counted on the map side before anything is shuffled by key, so a key that a third of the
+    # rows have is as many rows as it has different strings.
+    bodies = cut_lineage(flat_rows.groupBy("key", "body").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th", "at", "n")).alias("one")),
+                         "repeats-bodies", compression="zstd")
+    several = bodies.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    whole = flat_rows.join(cut_lineage(bodies.filter("c > 1").select("key", "body"), "repeats-whole", compression="zstd"), ["key", "body"], "left_semi") \
+        .select("_id", "_th", "at", "n")
+    ask = cut_lineage(bodies.join(several, "key", "left_semi").select("one.*", (F.col("c") == 1).alias("single")), "repeats-asked", compression="zstd")
+    drop_cut(bodies)
+    whole = cut_lineage(whole, "repeats-known", compression="zstd")
+    met = whole.select("_id", "_th").unionByName(ask.select("_id", "_th")).distinct()
     texts = cut_lineage(
-        rows.drop("doc_id").join(found.select("_id", "_th").distinct(), ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]),
+        rows.drop("doc_id").join(met, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]),
         "repeats-texts", compression="zstd")
     asked = ask.groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n", "single")).alias("ask"))
     windows = cut_lineage(texts.join(asked, ["_id", "_th"]).mapInArrow(
         _windows(window), "_id long, _th long, h1 long, h2 long, at int, single boolean"), "repeats-windows", compression="zstd")
     twice = windows.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.max("single").alias("any")).filter("c > 1 and any").select("h1", "h2")
     part = windows.filter("single").join(twice, ["h1", "h2"], "left_semi").select("_id", "_th", "at", F.lit(1).alias("n"))
-    hits = whole.unionByName(part).groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    hits = cut_lineage(whole.unionByName(part).groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("hits")), "repeats-hits", compression="zstd")
+    drop_cut(whole, ask, windows)
     removed = texts.join(hits, ["_id", "_th"]).mapInArrow(
         _remove(window), "_id long, _th long, n_removed long, sha string, kept_text string, spans array<struct<begin:int,end:int>>")
     return parsed.drop("anchors").join(removed, ["_id", "_th"], "left").select(
