@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.components import components
 from ordermart.llm.text import IS_WORD, LOWER, Ranges, flat, mix, pieces, row_key, spans, word_ids
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, drop_cut
 
 SHINGLE, PERCENT = 5, 80
 RARE = 8  # sets that index a rare token, at most
@@ -191,9 +191,11 @@ def _possible(percent: int) -> Column:
     return F.expr(f"100 * least(an, bn) >= {percent} * greatest(an, bn) and {100 + percent} * least(al, bl) >= {percent} * (an + bn)")
 
 
-def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame, DataFrame]:
+def links(docs: DataFrame, percent: int = PERCENT, made: list | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(info, edges, labels): a row per document row (_id, _th, doc_id, n, fp: its set's class), verified
-    links between classes that span every component, and the component (node, component) of linked classes."""
+    links between classes that span every component, and the component (node, component) of linked classes.
+    Tables that only a step reads are deleted after it; the others are added to ``made``."""
+    made = [] if made is None else made
     rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), "text")
     info = cut_lineage(rows.mapInArrow(_info, "_id long, _th long, doc_id long, n long, fp long"), "ngram-sets", compression="zstd")
     counted = lambda df: df.withColumn("c", F.count("*").over(Window.partitionBy("tok"))).filter("c > 1")
@@ -205,21 +207,26 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
     # fingerprint order
     index = rows.select("text").mapInArrow(_index(percent), "tok long, fp long, n int, need int").repartition("tok") \
         .groupBy("tok", "fp").agg(F.first("need").alias("need"))
-    first = cut_lineage(counted(index), "ngram-index", compression="zstd")
-    first = cut_lineage(counted(enough(first.drop("c"), ["need"])), "ngram-live", compression="zstd")
+    whole = cut_lineage(counted(index), "ngram-index", compression="zstd")
+    first = cut_lineage(counted(enough(whole.drop("c"), ["need"])), "ngram-live", compression="zstd")
+    drop_cut(whole)
     live = enough(first, ["need"]).select("fp").distinct()
     one = live.join(info.groupBy("fp").agg(F.min(F.struct("_id", "_th")).alias("one"), F.first("n").cast("int").alias("n")), "fp").select("fp", "n", "one.*")
     texts = cut_lineage(rows.drop("doc_id").join(one, ["_id", "_th"]).select("fp", "n", "text").dropDuplicates(["fp"]), "ngram-texts", compression="zstd")
+    drop_cut(first)
     # frequency order
-    kept = cut_lineage(enough(counted(texts.mapInArrow(_tokens, "tok long, fp long, n int")), ["n"]), "ngram-tokens", compression="zstd")
-    kept = cut_lineage(enough(counted(kept.drop("c")), ["n"]), "ngram-kept", compression="zstd")
+    every = cut_lineage(enough(counted(texts.mapInArrow(_tokens, "tok long, fp long, n int")), ["n"]), "ngram-tokens", compression="zstd")
+    kept = cut_lineage(enough(counted(every.drop("c")), ["n"]), "ngram-kept", compression="zstd")
+    drop_cut(every)
     sets = kept.groupBy("fp", "n").agg(F.collect_list(F.struct("c", "tok")).alias("toks"), F.count("*").alias("live"), (F.sum("c") / F.col("n")).alias("central"))
     keys = cut_lineage(sets.mapInArrow(_keys(percent), "key long, fp long, n int, live long, central double").distinct(), "ngram-keys", compression="zstd")
+    drop_cut(kept)
     groups = keys.groupBy("key").agg(F.count("*").alias("members"), F.expr("bit_xor(xxhash64(fp))").alias("x"), F.expr("bit_xor(xxhash64(fp, 1))").alias("y"),
                                      F.max(F.struct("central", "fp", "n", "live")).alias("leader")).filter("members > 1")
     groups = groups.groupBy("members", "x", "y").agg(F.min(F.struct("key", "leader")).alias("g")).select("g.*")
     # keys with one leader are one group
     members = cut_lineage(keys.join(groups, "key").select("leader", "fp", "n", "live").distinct(), "ngram-groups", compression="zstd")
+    drop_cut(keys)
     pairs = cut_lineage(members.select(F.col("leader.fp").alias("a"), F.col("leader.n").alias("an"), F.col("leader.live").alias("al"),
                                        F.col("fp").alias("b"), F.col("n").alias("bn"), F.col("live").alias("bl"))
                         .filter("a <> b").filter(_possible(percent)).select("a", "b").distinct(), "ngram-pairs")
@@ -244,16 +251,20 @@ def links(docs: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame
         shared_most).select("a", "b").distinct()
     done = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = cut_lineage(rest.join(done, ["a", "b"], "left_anti"), "ngram-rest")
-    more = cut_lineage(_compared(rest, texts, percent), "ngram-more").filter("linked").select("a", "b")
+    more = cut_lineage(_compared(rest, texts, percent), "ngram-more")
+    drop_cut(texts, members, named, rest)
+    made += [info, pairs, stars, more]
+    more = more.filter("linked").select("a", "b")
     if more.isEmpty():
         return info, edges, label
     edges = edges.unionByName(more)
     return info, edges, components(edges)
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document row: _id, _th, doc_id, n_shingles, component_id and component (null for an empty set)."""
-    info, _, label = links(docs, percent)
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, made: list | None = None) -> DataFrame:
+    """One row per document row: _id, _th, doc_id, n_shingles, component_id and component (null for an empty set).
+    ``made``: gets the tables that the result reads."""
+    info, _, label = links(docs, percent, made)
     named = info.join(label, info["fp"] == label["node"], "left").select(
         "_id", "_th", "doc_id", "n", "fp", F.coalesce("component", "fp").alias("component"))
     least = named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -265,9 +276,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The documents, of each component only one: that with the least doc_id (of equal ids, the least
     text fingerprint).  Documents without words all stay.  All columns are kept."""
-    found = near_duplicates(docs, percent)
-    keep = found.filter("component is not null").groupBy("component").agg(F.min(F.struct("_id", "_th")).alias("one")).select("one.*")
-    keyed = docs.select(F.struct("*").alias("row"), *row_key())
-    wordless = ~F.coalesce(F.col("row.text"), F.lit("")).rlike("[^ \\t-\\r]")
-    one = keyed.filter(~wordless).join(keep, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"])
-    return one.unionByName(keyed.filter(wordless)).select("row.*")
+    made = []
+    found = near_duplicates(docs, percent, made)
+    linked = found.filter("component is not null")
+    least = linked.groupBy("component").agg(F.min(F.struct("_id", "_th")).alias("one"), F.count("*").alias("rows"))
+    # a component of one row is kept as it is; of others only the least row's key is, and its repeated rows are one
+    groups = cut_lineage(linked.select("_id", "_th", "component").join(least.filter("rows > 1"), "component")
+                         .select("_id", "_th", (F.struct("_id", "_th") == F.col("one")).alias("first")).distinct(), "ngram-rows")
+    drop_cut(*made)
+    keyed = docs.select(F.struct("*").alias("row"), *row_key()).join(groups, ["_id", "_th"], "left")
+    alone = keyed.filter("first is null").select("row.*")
+    return alone.unionByName(keyed.filter("first").dropDuplicates(["_id", "_th"]).select("row.*"))
