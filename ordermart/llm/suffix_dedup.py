@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 from ordermart.llm import induced_sort
 from ordermart.llm.substring_dedup import choose, recompress
 from ordermart.llm.text import IS_WORD, Ranges, flat, lists, mix, pieces, row_key
-from ordermart.session import cut_lineage
+from ordermart.session import cut_lineage, drop_cut
 
 WINDOW = 200
 ROUNDS = 1
+SHARD_BYTES = 1 << 20  # strings sorted by one task, up to so many tasks; beyond, shards grow
+MOST_SHARDS = 10_000
 TOKEN = 64  # bytes between ends by fingerprint, on average
 CONTEXT = 4  # bytes that decide whether a token ends after them, at most
 _U = np.uint64
@@ -79,6 +81,8 @@ def picked(a: np.ndarray, b: np.ndarray, keys: np.ndarray, low: np.ndarray, high
     some = hi >= lo
     pick = choose(keys, lo[some], hi[some]) if some.any() else np.zeros(0, np.int64)
     without = s[~some], e[~some]
+    if not some.any():  # one long run, such as of spaces or of unspaced characters: no symbol of this level
+        return s[:0], s[:0], s[:0], *without
     s, e, of = s[some], e[some], of[some]
     start = np.ones(len(s), bool)
     start[1:] = (pick[1:] != pick[:-1]) | (s[1:] != e[:-1]) | (of[1:] != of[:-1])
@@ -269,20 +273,29 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     parsed = cut_lineage(rows.mapInArrow(_parse(window), PARSED), "suffix-parsed", compression="zstd")
     flat_rows = parsed.select("_id", "_th", F.inline("anchors"))
-    shared = flat_rows.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
-    found = cut_lineage(flat_rows.join(shared, "key", "left_semi"), "suffix-anchors", compression="zstd")
-    bodies = found.groupBy("key", "body").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th", "at", "n")).alias("one"))
-    several = found.groupBy("key").agg(F.min("body").alias("x"), F.max("body").alias("y")).filter("x <> y").select("key")
-    whole = found.join(bodies.filter("c > 1").select("key", "body"), ["key", "body"], "left_semi").select("_id", "_th", "at", "n")
-    ask = bodies.join(several, "key", "left_semi").select("key", "one.*", (F.col("c") == 1).alias("single"))
-    texts = cut_lineage(
-        rows.drop("doc_id").join(found.select("_id", "_th").distinct(), ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]),
-        "suffix-texts", compression="zstd")
+    # Equal strings are counted on the map side before anything is shuffled by key, so a key that a third of the
+    # rows have is as many rows as it has different strings.
+    bodies = cut_lineage(flat_rows.groupBy("key", "body").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th", "at", "n")).alias("one")),
+                         "suffix-bodies", compression="zstd")
+    several = bodies.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
+    ask = cut_lineage(bodies.join(several, "key", "left_semi").select("key", "one.*", (F.col("c") == 1).alias("single")), "suffix-asked", compression="zstd")
+    known = cut_lineage(bodies.filter("c > 1").select("key", "body"), "suffix-known", compression="zstd")
+    drop_cut(bodies)
+    whole = cut_lineage(flat_rows.join(known, ["key", "body"], "left_semi").select("_id", "_th", "at", "n"), "suffix-whole", compression="zstd")
+    met = whole.select("_id", "_th").unionByName(ask.select("_id", "_th")).distinct()
+    texts = cut_lineage(rows.drop("doc_id").join(met, ["_id", "_th"], "left_semi").dropDuplicates(["_id", "_th"]), "suffix-texts", compression="zstd")
     asked = ask.groupBy("_id", "_th").agg(F.collect_list(F.struct("key", "at", "n", "single")).alias("ask"))
     strings = texts.join(asked, ["_id", "_th"]).mapInArrow(_strings(window), "key long, _id long, _th long, at int, single boolean, bytes binary")
-    part = strings.repartition("key").select("_id", "_th", "at", "single", "bytes").mapInArrow(_sort_shard(window), "_id long, _th long, at int, n int")
+    # A task's scratch files are some 15 times its shard; each step is written before the next, so that its shuffles can go.
+    spark = docs.sparkSession
+    size = ask.agg(F.sum(F.col("n") + F.lit(window - 1))).first()[0] or 0
+    shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(MOST_SHARDS, -(-size // SHARD_BYTES)))
+    part = cut_lineage(strings.repartition(shards, "key").select("_id", "_th", "at", "single", "bytes")
+                       .mapInArrow(_sort_shard(window), "_id long, _th long, at int, n int"), "suffix-runs", compression="zstd")
     sure = parsed.filter("size(sure) > 0").dropDuplicates(["_id", "_th"]).select("_id", "_th", F.inline("sure"))
-    hits = whole.unionByName(part).unionByName(sure).groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("hits"))
+    hits = cut_lineage(whole.unionByName(part).unionByName(sure).groupBy("_id", "_th").agg(F.collect_list(F.struct("at", "n")).alias("hits")),
+                       "suffix-hits", compression="zstd")
+    drop_cut(whole, ask, known, part)
     removed = texts.join(hits, ["_id", "_th"]).mapInArrow(
         _remove(window), "_id long, _th long, n_removed long, kept string, spans array<struct<begin:int,end:int>>, kept_bytes binary")
     return parsed.drop("anchors", "sure").join(removed, ["_id", "_th"], "left").select(

@@ -88,6 +88,19 @@ def test_suffix_dedup_of_copies_before_empty_texts(spark):
     same([(r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(docs).collect()], expected)
 
 
+@pytest.mark.parametrize("alone", [True, False])
+def test_suffix_dedup_of_long_runs(spark, alone):
+    """Texts without a symbol of some level: runs of a character or of spaces, short periods, unspaced CJK."""
+    rng = random.Random(6)
+    odd = ["0" * 1_000, " " * 2_000, "x" * 5_000, "数据处理" * 120, "数" * 300, "abc " * 63, "ab" * 130, "\n" * 250, "é" * 200]
+    company = [] if alone else [" ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(200)) for _ in range(5)]
+    for rows in [[(1, t)] for t in odd[:4]] if alone else [[*enumerate([*company, *odd])], [*enumerate([*company, odd[0]])]]:
+        data = [t.encode() for _, t in rows]
+        expected = [(i, sum(hit)) for (i, _), hit in zip(rows, covered(data, 200), strict=True)]
+        got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+        same([(r.doc_id, r.n_removed) for r in got.collect()], expected)
+
+
 def plain_order(text, cap):
     ends = [i for i, x in enumerate(text) if x == 0]
     end = lambda i: next(e for e in ends if e >= i)
