@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 
 from ordermart.llm.text import pieces
 
-REMEMBER = 200_000  # distinct words kept in a task's memory
-BLOCK_BYTES = 12 << 20  # text whose new words are merged together
+REMEMBER = 300_000  # distinct words kept in a task's memory
+BLOCK_BYTES = 2 << 20  # text whose new words are merged together
 MANY = 48  # positions from which a rank is applied to all at once
 OTHER_SPACE = "\x1c\x1d\x1e\x1f"  # str.split() takes these for spaces, the pattern doesn't
 
