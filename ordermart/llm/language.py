@@ -29,6 +29,7 @@ from ordermart.llm.text import pieces
 TRAIN_CHARS = 100_000  # of training text a language, at most
 TRAIN_DOCS = 400  # distinct documents that training draws from a language, about
 REMEMBER = 200_000
+PIECE_BYTES = 1 << 20  # text whose words are held at a time
 UNKNOWN = "und"
 HELD_OUT = 2
 LETTERS = regex.compile(r"\p{L}+")
@@ -212,7 +213,7 @@ def _predict(model):
     def run(batches):
         predictor = Predictor(model.value)
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE_BYTES):
                 langs, score, rate = predictor.predict(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(langs, pa.string()), pa.array(score), pa.array(rate)],
                                                  names=["doc_id", "lang_pred", "score", "phrases_a_letter"])
@@ -224,7 +225,7 @@ def _known(model, index: int):
         predictor = Predictor(model.value)
         for batch in batches:
             batch = batch.rename_columns([f"c{i}" for i in range(batch.num_columns)])
-            for part in pieces(batch, f"c{index}"):
+            for part in pieces(batch, f"c{index}", PIECE_BYTES):
                 langs, _, _ = predictor.predict(part.column(index).to_pylist())
                 yield part.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
     return run
