@@ -50,7 +50,9 @@ def slice_of(order: Sequence[str]) -> Column:
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], limit: int, cut=cut_lineage) -> DataFrame:
     """``df`` with a column ``_slice``.  ``limit`` 0: no group is split."""
-    whole = df.withColumn(SLICE, F.lit(0))
+    # 0 for all rows, but no constant: the planner would drop a constant from join keys, and rows dealt by (keys, slice)
+    # would be dealt again
+    whole = df.withColumn(SLICE, F.pmod(F.xxhash64(keys[0]), F.lit(1)).cast("int"))
     if not limit:
         return whole
     hot = hot_keys(df, keys, limit)
