@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ordermart.llm.text import pieces
+from ordermart.llm.text import pieces, release
 
 TRAIN_CHARS = 100_000  # of training text a language, at most
 TRAIN_DOCS = 400  # distinct documents that training draws from a language, about
@@ -228,6 +228,8 @@ def _known(model, index: int):
             for part in pieces(batch, f"c{index}", PIECE_BYTES):
                 langs, _, _ = predictor.predict(part.column(index).to_pylist())
                 yield part.filter(pa.array([x != UNKNOWN for x in langs], pa.bool_()))
+        del predictor
+        release()
     return run
 
 

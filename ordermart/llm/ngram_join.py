@@ -41,6 +41,7 @@ RARE = 8  # sets that index a rare token, at most
 BAND = 1.25  # ratio of successive size bands; 100 / PERCENT at least
 SHARE = 0.08  # classes of frequent tokens, as a share of the band's least size
 MEMBERS = 500  # members compared with one leader in one task
+PIECE_BYTES = 1 << 20  # text whose shingles a task holds at a time
 
 
 def shingle_sets(part: pa.RecordBatch, k: int = SHINGLE):
@@ -78,7 +79,7 @@ def _set_names(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 def _info(batches):
     for batch in batches:
-        for part in pieces(batch):
+        for part in pieces(batch, size=PIECE_BYTES):
             tokens, first = shingle_sets(part)
             yield pa.RecordBatch.from_arrays(
                 [part.column("_id"), part.column("_th"), part.column("doc_id"), pa.array(np.diff(first)), pa.array(_set_names(tokens, first).view(np.int64))],
@@ -88,7 +89,7 @@ def _info(batches):
 def _index(percent: int):
     def run(batches):
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE_BYTES):
                 tokens, first = shingle_sets(part)
                 n = np.diff(first)
                 need = 1 + classes_of(n, 0)  # a set of the band below indexes for at least so many
@@ -103,7 +104,7 @@ def _index(percent: int):
 
 def _tokens(batches):
     for batch in batches:
-        for part in pieces(batch):
+        for part in pieces(batch, size=PIECE_BYTES):
             tokens, first = shingle_sets(part)
             take = pa.array(np.repeat(np.arange(part.num_rows), np.diff(first)))
             yield pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), part.column("fp").take(take), part.column("n").take(take)], names=["tok", "fp", "n"])
@@ -157,7 +158,7 @@ def _compare(percent: int):
     def run(batches):
         leader, own = None, None
         for batch in batches:
-            for part in pieces(batch):
+            for part in pieces(batch, size=PIECE_BYTES):
                 tokens, first = shingle_sets(part)
                 a, role, fp = (part.column(c).to_numpy(zero_copy_only=False) for c in ("a", "role", "fp"))
                 out = []

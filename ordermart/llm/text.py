@@ -6,6 +6,9 @@ fingerprint of any range of bytes or words costs a constant number of array oper
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -93,6 +96,15 @@ def pieces(batch: pa.RecordBatch, column: str = "text", size: int = CHUNK_BYTES)
         begin = end
 
 
+def release() -> None:
+    """Give freed memory back to the system: the worker that runs this task is kept for the next stage's tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 def spans(is_word: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Begin and end of every maximal run of word bytes (runs end at document ends), and for each of
     the documents given by ``off`` its first word's index (n + 1 values)."""
