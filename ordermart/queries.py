@@ -25,6 +25,8 @@ from ordermart.pipeline import TEST_CONFIG, test_sources
 from ordermart.plans import mart as M
 from ordermart.plans import orders as O
 from ordermart.plans import users as U
+from ordermart.sources.adapters import build_roles, read_tables
+from ordermart.sources.variables import declare_run, load_views, source_views
 
 # a run over the whole history (period start 1995-01-01 <= first order): exercises every
 # branch of the month-over-month rules, which the one-period cut cannot reach
@@ -113,6 +115,15 @@ def q_filter_period(spark, sf_dir):
     return _src(spark, sf_dir, "fact_payments_transaction")["fact_payments_transaction"]
 
 
+@register("period_variable", "SELECT * FROM s6")
+def q_period_variable(spark, sf_dir):
+    """``filter_period`` with the period in a session variable, read by the source's view."""
+    role = "fact_payments_transaction"
+    declare_run(spark, TEST_CONFIG.as_of)
+    source_views(spark, build_roles(read_tables(spark, sf_dir), [role]))
+    return load_views(spark, [role])[role]
+
+
 @register("struct_fields", "SELECT * FROM s8")
 def q_struct_fields(spark, sf_dir):
     return _src(spark, sf_dir, "fact_orders")["fact_orders"]
