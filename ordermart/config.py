@@ -26,6 +26,10 @@ class RunConfig:
     slice_rows: int = 1_000_000
     # bits of the filter of the period's order keys that undated sources are probed with (operators.keyfilter); 0: none
     key_filter_bits: int = 1 << 23
+    # product categories counted as sets of bits, at most (operators.bitsets); of more, or 0: as distinct values
+    category_codes: int = 1024
+    # buckets of sources laid out by order key (sources.layout), and partitions of the order rows that meet them; 0: the session's
+    order_buckets: int = 0
 
     @property
     def period_start(self) -> dt.date:

@@ -183,7 +183,7 @@ def enrich_orders(src: dict[str, DataFrame], cfg: RunConfig, users: DataFrame |
     """The period's orders with every enrichment and customer-level window value.  ``cut`` writes
     a table and reads it back.  ``columns``: the caller reads only these, so no others are written."""
     skus = O.prep_skus_pim(_known(src["skus_pim_dmart"], "join_sku"), src["pim_level_0_bis"])
-    s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold)
+    s = O.customer_orders(src["customer_orders_sku_level"], skus, cfg.discount_incentive_threshold, cfg.order_buckets)
     s = s.withColumns({
         "k_cust": null_safe_key("join_customer_id"),
         "week_of_year": week_of_year_sunday(week_monday("order_date")),

@@ -56,15 +56,16 @@ def complaint_rollup(s18: DataFrame) -> DataFrame:
                  F.countDistinct("case_number").alias("cases")))
 
 
-def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25) -> DataFrame:
+def customer_orders(lines: DataFrame, skus: DataFrame, threshold: float = 0.25, buckets: int = 0) -> DataFrame:
     """C14 / A5: order lines ⟕ catalogue (L7) rolled up to orders, with bands (R2, R3) and
     flags (R4, R5).
 
     The lines are hashed on the order key once: that partitioning serves the nine-key grouping, the
-    distinct categories and every order-keyed join after it.  Sums keep the type that the lines' money has."""
+    distinct categories and every order-keyed join after it.  Sums keep the type that the lines' money has.
+    ``buckets``: those of the right sides, if they are laid out by order key."""
     cat = skus.select("join_sku", "level_0", "level_2")
     df = enrich(lines, [JoinSpec(cat, ["join_sku_id"], ["join_sku"], {"level_0": "level_0", "level_2": "level_2"}, name="L7 catalogue")])
-    df = df.repartition("join_order_id")
+    df = df.repartition(buckets, "join_order_id") if buckets else df.repartition("join_order_id")
     qty = F.col("fulfilled_quantity")
     disc = F.col("pcm_discount_amount_net_lc")
     agg = df.groupBy(*ORDER_KEYS).agg(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ordermart.config import RunConfig
 from ordermart.functions import rules as R
 from ordermart.functions.numeric import safe_ratio
+from ordermart.operators.bitsets import codes_of, set_of, size_of, with_code
 from ordermart.operators.joins import JoinSpec, enrich
 from ordermart.operators.slices import scan
 from ordermart.operators.spine import expand, fill_idle, month_intervals
@@ -28,6 +29,7 @@ from ordermart.operators.windows import last_active_before, partition_total, pri
 from ordermart.session import cut_lineage
 
 USER_MONTH = ["join_user_id", "join_month"]
+CATEGORY = "master_category_parent_english"
 
 
 def add_months(d: dt.date, n: int) -> dt.date:
@@ -67,16 +69,24 @@ def user_monthly_status(s1: DataFrame, floor: dt.date | None = None) -> DataFram
     return s1.select(F.col("join_id").alias("join_user_id"), "join_month", "type", "mes_en_curso")
 
 
-def user_monthly_orders(lines: DataFrame) -> DataFrame:
+def user_monthly_orders(lines: DataFrame, code_limit: int = 0) -> DataFrame:
     """C4 / A3: orders, basket size, categories and average order value per (user, month).
-    COUNT(DISTINCT) plans as an Expand + two-level aggregate, partial at each level."""
+
+    Two distinct counts would copy every line for each of them (an Expand).  The categories are few: if there are
+    no more than ``code_limit``, they are counted as sets of bits beside the sums, and one distinct count is left."""
     n_orders = F.countDistinct("join_order_id")
-    return (lines.groupBy(F.col("join_customer_id").alias("join_user_id"),
-                          F.col("join_order_month").alias("join_month"))
-            .agg(n_orders.alias("dm_current_frequency"),
-                 safe_ratio(F.sum("fulfilled_quantity"), n_orders).alias("basket_size"),
-                 F.countDistinct("master_category_parent_english").alias("categories"),
-                 safe_ratio(F.sum("total_amount_net_with_discount_lc"), n_orders).alias("afv")))
+    codes = codes_of(lines, CATEGORY, code_limit) if code_limit else None
+    rows = lines if codes is None else with_code(lines, codes)
+    sets = [F.countDistinct(CATEGORY).alias("categories")] if codes is None else set_of(codes)
+    out = (rows.groupBy(F.col("join_customer_id").alias("join_user_id"),
+                        F.col("join_order_month").alias("join_month"))
+           .agg(n_orders.alias("dm_current_frequency"),
+                safe_ratio(F.sum("fulfilled_quantity"), n_orders).alias("basket_size"),
+                *sets,
+                safe_ratio(F.sum("total_amount_net_with_discount_lc"), n_orders).alias("afv")))
+    if codes is None:
+        return out
+    return out.select(*USER_MONTH, "dm_current_frequency", "basket_size", size_of(codes).alias("categories"), "afv")
 
 
 DATES = ("adoption_since", "acquisition_since", "adoption_until", "acquisition_until")
@@ -220,7 +230,7 @@ def spine_rows(src: dict[str, DataFrame], cfg: RunConfig, floor: dt.date | None
     if info:
         s3 = mine(src["monthly_user_info"])
         more = [monthly_info_join(s3 if floor is None else s3.where(F.col("join_month") >= F.lit(floor)))]
-    umo = user_monthly_orders(mine(src["customer_orders_sku_level"], "join_customer_id"))
+    umo = user_monthly_orders(mine(src["customer_orders_sku_level"], "join_customer_id"), cfg.category_codes)
     return dmart_data(user_intervals(ugd, cfg, floor), ugd, active_months(user_monthly_status(s1, floor), umo, more))
 
 

@@ -25,7 +25,9 @@ from ordermart.pipeline import TEST_CONFIG, test_sources
 from ordermart.plans import mart as M
 from ordermart.plans import orders as O
 from ordermart.plans import users as U
+from ordermart.session import scratch_path
 from ordermart.sources.adapters import build_roles, read_tables
+from ordermart.sources.layout import laid_out, lay_out
 from ordermart.sources.variables import declare_run, load_views, source_views
 
 # a run over the whole history (period start 1995-01-01 <= first order): exercises every
@@ -33,6 +35,9 @@ from ordermart.sources.variables import declare_run, load_views, source_views
 FULL_HISTORY = RunConfig(as_of=dt.date(1995, 1, 15), spine_end=dt.date(2001, 8, 1))
 FULL_PERIOD = "DATE '1995-01-01'"
 
+# buckets of the sources laid out by order key, about as many as a small run has cores
+LAYOUT_BUCKETS = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 SPARK: dict[str, Query] = {}
 SQL: dict[str, str] = {}
@@ -260,7 +265,7 @@ def q_user_month_status(spark, sf_dir):
 
 @register("user_month_orders", "SELECT * FROM c_umo")
 def q_user_month_orders(spark, sf_dir):
-    return U.user_monthly_orders(_src(spark, sf_dir, "customer_orders_sku_level")["customer_orders_sku_level"])
+    return U.user_monthly_orders(_src(spark, sf_dir, "customer_orders_sku_level")["customer_orders_sku_level"], TEST_CONFIG.category_codes)
 
 
 @register("user_month_spine", "SELECT * FROM c_dd")
@@ -338,7 +343,7 @@ def q_order_flags(spark, sf_dir):
 
 @register("safe_ratio", """SELECT join_user_id, join_month, basket_size, afv FROM c_umo""")
 def q_safe_ratio(spark, sf_dir):
-    return U.user_monthly_orders(_src(spark, sf_dir, "customer_orders_sku_level")["customer_orders_sku_level"]) \
+    return U.user_monthly_orders(_src(spark, sf_dir, "customer_orders_sku_level")["customer_orders_sku_level"], TEST_CONFIG.category_codes) \
         .select("join_user_id", "join_month", "basket_size", "afv")
 
 
@@ -363,6 +368,21 @@ def q_enrich_by_order(spark, sf_dir):
         "dps_scheme_id", "d_bin_campaign", "actual_delivery_time", "mission_type")
 
 
+@register("enrich_by_order_laid_out", SQL["enrich_by_order"])
+def q_enrich_by_order_laid_out(spark, sf_dir):
+    """``enrich_by_order`` over sources laid out in buckets of the order key."""
+    src = test_sources(spark, sf_dir)
+    path = scratch_path(spark, "layout")
+    prefix = "laid_" + path[-32:] + "_"
+    lay_out(src, prefix, LAYOUT_BUCKETS, path)
+    src = laid_out(spark, src, prefix)
+    skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])
+    orders = O.customer_orders(src["customer_orders_sku_level"], skus, TEST_CONFIG.discount_incentive_threshold, LAYOUT_BUCKETS)
+    return enrich(orders, M.order_joins(src)).select(
+        "join_order_id", *FANOUT, "o1_user_id", "coupon_used_amount", "bank", "operation_type", "payment_name", "crm_vertical", "coupon_campaign",
+        "dps_scheme_id", "d_bin_campaign", "actual_delivery_time", "mission_type")
+
+
 @register("join_fan_out", f"FROM c_rows SELECT {_KEY_SQL}, complaint.cases")
 def q_join_fan_out(spark, sf_dir):
     src = _src(spark, sf_dir, "dmarts_customer_compliant")
