@@ -2,16 +2,17 @@
 
 ``write_pages`` writes a response record for every page; ``resolve`` reads such archives, shuffles the
 records' headers by payload digest, takes the first record of each payload (least page id, then
-least place) as its response and writes new archives with fresh headers, in which every other record
+least record id) as its response and writes new archives with fresh headers, in which every other record
 is a revisit that names the response; ``read`` lists an archive folder's records.
 
-Archives are .warc.gz files: one gzip member for each record.  Spark's text writer writes them, its line
-separator being an empty gzip member, so they go to any store.  An archive holds a bounded number of
-records and is read by one task; the payload itself is shuffled once, compressed, to meet its
-record's decision.
+Archives are files of gzip members, one for each record.  Spark's text writer writes them, its line
+separator being an empty gzip member, so they go to any store, and Spark's text reader splits them
+at it: a task holds some records at a time, whatever an archive's size.  (A record holds no such separator: its first
+two bytes don't follow one another in UTF-8, and payloads are checked against their digests.)  Records are named by their
+WARC-Record-ID, which is unique.  The payload itself is shuffled once, compressed, to meet its record's decision.
 
 Null html is an empty payload; equal payloads shorter than ``least_bytes`` stay responses.  Null
-page_id sorts last and is left out of the headers; of repeated rows the first written is the response.
+page_id sorts last and is left out of the headers; of repeated rows one is the response.
 A null url leaves its header out.  Only page_id, url and html are read; empty tables give no records.
 """
 
@@ -23,6 +24,7 @@ import uuid
 import zlib
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,9 +49,9 @@ def member(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return packer.compress(b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def record(kind: str, page_id, url, digest: str, size: int, payload: bytes = b"", refers_to=None, refers_id=None) -> bytes:
+def record(kind: str, page_id, url, digest: str, size: int, payload: bytes = b"", refers_to=None, refers_id=None, own_id=None) -> bytes:
     common = [
-        ("WARC-Type", kind), ("WARC-Record-ID", record_id(kind, page_id, digest)), ("WARC-Date", "1970-01-01T00:00:00Z"),
+        ("WARC-Type", kind), ("WARC-Record-ID", own_id or record_id(kind, page_id, digest)), ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", url and "".join(url.split())), ("WARC-Payload-Digest", f"sha1:{digest}"), ("Content-Type", "application/http;msgtype=response"),
         ("X-Page-ID", page_id), ("X-Payload-Length", size)]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
@@ -58,8 +60,8 @@ def record(kind: str, page_id, url, digest: str, size: int, payload: bytes = b""
     return member(common, http + payload)
 
 
-def record_id(kind: str, page_id, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{kind} {page_id} {digest}')}>"
+def record_id(*names) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join(map(str, names)))}>"
 
 
 def members(content: bytes):
@@ -86,12 +88,15 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def _responses(batches):
+    task, n = TaskContext.get().partitionId(), 0
     for batch in batches:
         for part in pieces(batch, "html"):
             out = []
             for page_id, url, html in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "html")), strict=True):
                 payload = (html or "").encode()
-                out.append(record("response", page_id, url, digest_of(payload), len(payload), payload))
+                digest, n = digest_of(payload), n + 1
+                # the task's own count tells repeated rows apart
+                out.append(record("response", page_id, url, digest, len(payload), payload, own_id=record_id("response", page_id, digest, task, n)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
 
@@ -105,7 +110,7 @@ def write_pages(pages: DataFrame, path: str) -> None:
     _write(rows.mapInArrow(_responses, "record binary"), path)
 
 
-LISTED = "place string, at long, page_id long, url string, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to long"
+LISTED = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, record_id string, refers_to long"
 
 
 def _list(with_payload: bool):
@@ -113,62 +118,62 @@ def _list(with_payload: bool):
 
     def run(batches):
         for batch in batches:
-            for place, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                rows, size = [], 0
-                for at, data in members(content.as_py()):
+            rows, size = [], 0
+            for content in batch.column("content"):
+                for _, data in members(content.as_py()):
                     h, payload = parse(data)
                     number = lambda k: int(h[k]) if k in h else None  # noqa: E731, B023
                     own = digest_of(payload) if h["WARC-Type"] == "response" else h["WARC-Payload-Digest"].removeprefix("sha1:")
                     if h["WARC-Type"] == "response" and f"sha1:{own}" != h["WARC-Payload-Digest"]:
-                        raise ValueError(f"payload of the record at {at} of {place} doesn't have its digest")
-                    row = (place, at, number("X-Page-ID"), h.get("WARC-Target-URI"), len(payload) if h["WARC-Type"] == "response" else number("X-Payload-Length"),
+                        raise ValueError(f"payload of the record {h['WARC-Record-ID']} doesn't have its digest")
+                    row = (number("X-Page-ID"), h.get("WARC-Target-URI"), len(payload) if h["WARC-Type"] == "response" else number("X-Payload-Length"),
                            own, h["WARC-Type"], h["WARC-Record-ID"], number("X-Refers-To-Page-ID"))
                     rows.append((*row, zlib.compress(payload, 1)) if with_payload else row)
                     size += len(rows[-1][-1]) if with_payload else 100
                     if size > 4 << 20:
                         yield _batch(rows, names, with_payload)
                         rows, size = [], 0
-                if rows:
-                    yield _batch(rows, names, with_payload)
+            if rows:
+                yield _batch(rows, names, with_payload)
     return run
 
 
 def _batch(rows, names, with_payload):
-    kinds = {"at": pa.int64(), "page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary()}
+    kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(), "payload": pa.binary()}
     names = [*names, "payload"] if with_payload else names
     return pa.RecordBatch.from_arrays([pa.array(list(c), kinds.get(n, pa.string())) for n, c in zip(names, zip(*rows, strict=True), strict=True)], names=names)
 
 
 def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """The records of the archives in a folder (and their payloads, deflated)."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
-    return files.mapInArrow(_list(with_payload), LISTED + (", payload binary" if with_payload else ""))
+    records = spark.read.option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(path)
+    return records.select(F.col("value").cast("binary").alias("content")).mapInArrow(_list(with_payload), LISTED + (", payload binary" if with_payload else ""))
 
 
 def _resolved(batches):
-    cols = ("page_id", "url", "payload_digest", "payload_bytes", "payload", "record_type", "first_page")
+    cols = ("page_id", "url", "payload_digest", "payload_bytes", "payload", "record_type", "record_id", "first_page", "first_id")
     for batch in batches:
         out = []
-        for page_id, url, digest, size, payload, kind, first_page in zip(*(batch.column(c).to_pylist() for c in cols), strict=True):
+        for page_id, url, digest, size, payload, kind, own, first_page, first_id in zip(*(batch.column(c).to_pylist() for c in cols), strict=True):
             if kind == "response":
-                out.append(record(kind, page_id, url, digest, size, zlib.decompress(payload)))
+                out.append(record(kind, page_id, url, digest, size, zlib.decompress(payload), own_id=own))
             else:
-                out.append(record(kind, page_id, url, digest, size, refers_to=first_page, refers_id=record_id("response", first_page, digest)))
+                out.append(record(kind, page_id, url, digest, size, refers_to=first_page, refers_id=first_id, own_id=record_id(kind, own)))
         yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
 
 def resolve(spark: SparkSession, path: str, to: str, least_bytes: int = 0) -> None:
     """Archives of responses in ``path`` become deduplicated archives in ``to``."""
-    heads = read(spark, path).select("place", "at", "page_id", "payload_bytes", "payload_digest")
-    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "place", "at")
+    heads = read(spark, path).select("record_id", "page_id", "payload_bytes", "payload_digest")
+    order = F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "record_id")
     first = heads.filter(F.col("payload_bytes") >= least_bytes).groupBy("payload_digest").agg(F.min(order).alias("first"))
     # every record that has an earlier one with its payload revisits it
     revisits = heads.filter(F.col("payload_bytes") >= least_bytes).join(first, "payload_digest").filter(
-        "first.place <> place or first.at <> at").select("place", "at", F.col("first.page_id").alias("first_page"), F.lit(True).alias("again"))
-    rows = read(spark, path, with_payload=True).drop("record_type", "refers_to", "record_id").join(revisits, ["place", "at"], "left")
+        "first.record_id <> record_id").select("record_id", F.col("first.page_id").alias("first_page"), F.col("first.record_id").alias("first_id"), F.lit(True).alias("again"))
+    rows = read(spark, path, with_payload=True).drop("record_type", "refers_to").join(revisits, "record_id", "left")
     _write(rows.select("page_id", "url", "payload_digest", "payload_bytes",
                        F.when(F.col("again"), F.lit(None)).otherwise(F.col("payload")).alias("payload"),
-                       F.when(F.col("again"), "revisit").otherwise("response").alias("record_type"), "first_page")
+                       F.when(F.col("again"), "revisit").otherwise("response").alias("record_type"), "record_id", "first_page", "first_id")
            .mapInArrow(_resolved, "record binary"), to)
 
 

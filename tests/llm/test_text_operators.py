@@ -91,6 +91,31 @@ def test_warc(spark):
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+def test_warc_archives_are_read_in_splits(spark, tmp_path):
+    """An archive much longer than a split, records that cross splits, and payloads that don't compress."""
+    rnd = random.Random(9)
+    rows = [(i, f"u{i}", "".join(chr(rnd.randrange(33, 0x2000)) for _ in range(rnd.choice([0, 5, 300, 3000])))) for i in range(400)]
+    rows += [(i + 1000, "again", html) for i, _, html in rows[::3]]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    raw, done = str(tmp_path / "raw"), str(tmp_path / "done")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+    try:
+        warc.write_pages(pages, raw)
+        assert warc.read(spark, raw).rdd.getNumPartitions() > 20
+        warc.resolve(spark, raw, done)
+        got = warc.read(spark, done, with_payload=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    least = {}
+    for page, _, html in rows:
+        least[html] = min(page, least.get(html, page))
+    same([(r.page_id, r.record_type, r.refers_to, zlib.decompress(r.payload).decode()) for r in got],
+         [(p, "response" if least[h] == p else "revisit", None if least[h] == p else least[h], h if least[h] == p else "") for p, _, h in rows])
+    ids = [r.record_id for r in got]
+    assert len(set(ids)) == len(ids)
+
+
 def test_warc_members_are_gzip(spark):
     import gzip
 
