@@ -161,3 +161,16 @@ def test_lines_are_hashed_on_the_order_key_once(spark):
         node = node.children().apply(0)
     assert [("hashpartitioning(join_order_id" in x) for x in exchanges].count(True) == 1
     assert aggregates and "ObjectHashAggregate" not in aggregates
+
+
+def test_readers_of_few_columns_write_no_others(spark):
+    """The rule queries' columns are the mart's own, and the lineage cut holds what they are made of."""
+    src = test_sources(spark, SF_SMALL)
+    wanted = ["order_id", *M.FANOUT_ORDER, "order_source", "order_source_level_three", "inaccuracy_late", "customer_id", "sku_level_customer_id"]
+    written = {}
+    few = M.order_mart(src, TEST_CONFIG, cut=lambda df, name: (written.__setitem__(name, df.columns), cut_lineage(df, name))[1], columns=wanted)
+    assert few.columns == wanted
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(few) == rows(M.order_mart(src, TEST_CONFIG).select(*wanted))
+    assert not {"u_income", "estimated_prep_time", "venta", "coupon_nivel", "cohort_date"} & set(written["orders"])
+    assert {"v_type", "d_bin_campaign", "actual_delivery_time"} <= set(written["orders"])

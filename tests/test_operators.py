@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermart.config import RunConfig
-from ordermart.operators.joins import JoinSpec, enrich
+from ordermart.operators.joins import JoinSpec, enrich, packed, unpacked
 from ordermart.plans.orders import customer_orders, prep_payments
 from ordermart.plans.users import user_global_dates, user_monthly_status
 from ordermart.sources.spec import SPECS, load_source
@@ -81,3 +81,14 @@ def test_null_keys_are_kept_by_the_operators(spark):
     pay = spark.createDataFrame([(None, "a"), (None, "b"), ("1", "c")], "join_order_id string, issuer string").withColumns(
         {"card_operation_type": F.lit("o"), "provider": F.lit("p")})
     assert {(r.join_order_id, r.bank) for r in prep_payments(pay).collect()} == {(None, "b"), ("1", "c")}
+
+
+def test_packed_joins_give_the_same_rows(spark):
+    left = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
+    one = spark.createDataFrame([("a", 1, None), ("a", 2, "y"), (None, 3, "z")], "k string, n int, s string")
+    two = spark.createDataFrame([("b", 2.5)], "k string, x double")
+    specs = [JoinSpec(one, ["k"], ["k"], {"n": "n", "t": "s"}), JoinSpec(two, ["k"], ["k"], {"x": F.col("x") * 2})]
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(unpacked(enrich(left, packed(specs)), specs)) == rows(enrich(left, specs))
+    few = unpacked(enrich(left, packed(specs, {"t"})), specs, {"t"})  # a join without columns still fans out
+    assert few.columns == ["k", "t"] and rows(few) == rows(enrich(left, specs).select("k", "t"))
