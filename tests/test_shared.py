@@ -122,3 +122,75 @@ def test_rollup_counts_categories_as_bits(spark):
     assert plain.dtypes == bits.dtypes and _rows(plain) == _rows(bits)
     assert plain.where("categories > 1").count()
     assert "count(distinct" not in bits._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_read_values_are_written(spark):
+    """What a query's columns aren't made of is in none of the written tables, and its rows are the mart's."""
+    src = test_sources(spark, SF_SMALL)
+    whole = M.order_mart(src, TEST_CONFIG).cache()
+    of_first = {"_first_m", "_first_c", "_wmin"}
+    for columns, held in ((["inaccuracy_late", "month_activation_source"], {"_first_m"}), (["wsd_week_and_day", "adoption_class"], {"_wmin", "_first_c"}),
+                          (["order_num_month", "dh_shopping_mission_user_v2", "afv_segment"], set())):
+        read, written = ["order_id", *M.FANOUT_ORDER, *columns], {}
+        cut = lambda df, name: (written.__setitem__(name, df.columns), cut_lineage(df, name))[1]  # noqa: E731, B023
+        few = M.order_mart(src, TEST_CONFIG, cut=cut, columns=read)
+        assert few.columns == read and _rows(few) == _rows(whole.select(*read)), columns
+        assert of_first & set(written["fine"]) == held, columns
+        assert ("total_amount_sold_net_lc" in written["lines"]) == ("afv_segment" in columns)
+        assert "total_cogs_sold_net_lc" not in written["lines"] and ("mission_type" in written["orders"]) == ("order_num_month" in columns)
+    whole.unpersist()
+
+
+def test_rollup_of_some_columns_is_the_same(spark):
+    src = load_all(build_roles(_tables(spark)), CFG)
+    skus = O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"], O.ROLLUP_PAYLOAD)
+    lines = src["customer_orders_sku_level"]
+    whole = O.customer_orders(lines, skus)
+    for c in [c for c in whole.columns if c not in O.ORDER_KEYS]:
+        few = O.customer_orders(lines.select(*O.line_reads([c])), skus, columns={c})
+        assert dict(few.dtypes)[c] == dict(whole.dtypes)[c] and _rows(few.select(*O.ORDER_KEYS, c)) == _rows(whole.select(*O.ORDER_KEYS, c)), c
+
+
+def test_lines_are_rolled_up_once(spark):
+    """L16's orders, users and months are a table of their own; the rollup isn't made again for them."""
+    plans = {}
+    cut = lambda df, name: (plans.__setitem__(name, df._jdf.queryExecution().optimizedPlan().toString()), cut_lineage(df, name))[1]
+    src = test_sources(spark, SF_SMALL)
+    M.order_mart(src, TEST_CONFIG, cut=cut, columns=["order_id", "late_order"])
+    assert plans["orders"].count("RepartitionByExpression [join_order_id") == 1
+    got = U.order_users(src["customer_orders_sku_level"], src["fact_orders"])
+    rows = M.enrich(O.customer_orders(src["customer_orders_sku_level"], O.prep_skus_pim(src["skus_pim_dmart"], src["pim_level_0_bis"])), M.order_joins(src))
+    assert _rows(got) == _rows(rows.select(*got.columns).distinct())
+    lines = spark.createDataFrame([("1", None), ("1", None), ("2", dt.date(2024, 2, 1)), (None, dt.date(2024, 1, 1))], "join_order_id string, join_order_month date")
+    fact = spark.createDataFrame([("1", "a"), ("1", "a"), ("1", None), (None, "b")], "join_order_id string, join_user_id string")
+    assert sorted(map(tuple, U.order_users(lines, fact).collect()), key=str) == sorted(
+        [("1", "a", None), ("1", None, None), ("2", None, dt.date(2024, 2, 1)), (None, None, dt.date(2024, 1, 1))], key=str)
+
+
+def test_no_other_months_are_generated(spark):
+    src = test_sources(spark, SF_SMALL)
+    read = U.months_read(src["customer_orders_sku_level"], src["fact_orders"])
+    plan = U.user_months(U.known_users(src), TEST_CONFIG, U.spine_floor(TEST_CONFIG), read)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sequence(" not in plan
+
+
+def test_months_of_a_run_that_are_read(spark):
+    day = dt.date
+    rows = [("a", day(2024, 1, 1), day(2024, 5, 1), [day(2023, 12, 1), day(2024, 1, 1), day(2024, 3, 1), day(2024, 6, 1)]),
+            ("b", day(2024, 2, 1), day(2024, 2, 1), [day(2024, 2, 1)]), ("c", day(2024, 2, 1), day(2024, 4, 1), [])]
+    df = spark.createDataFrame(rows, f"join_user_id string, join_month date, {U.RUN_END} date, {U.MONTHS_READ} array<date>") \
+        .selectExpr("*", "'x' AS dmart_growth_status_past_month", f"'y' AS {U.TWO_BEFORE}", "1L AS _rows_of_month")
+    got = U.idle_months(df, {"dmart_growth_status_past_month": "dmart_growth_status"})
+    idle = spark.range(1).select(U.idle_status().alias("s")).first().s
+    assert sorted(map(tuple, got.select("join_user_id", "join_month", "dmart_growth_status_past_month", U.TWO_BEFORE).collect())) == [
+        ("a", day(2024, 1, 1), "x", "y"), ("a", day(2024, 3, 1), idle, idle), ("b", day(2024, 2, 1), "x", "y")]
+
+
+def test_whole_users_are_not_sliced(spark):
+    """Without a limit the windows see whole keys: no join, no aggregate."""
+    src = test_sources(spark, SF_SMALL)
+    missions = src["dmart_purchase_missions"]
+    plain, split = (O.prep_purchase_missions(missions, limit) for limit in (0, 2))
+    assert _rows(plain) == _rows(split)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan(plain).count("Join") == plan(missions).count("Join") and plan(plain).count("Aggregate") == plan(missions).count("Aggregate")
