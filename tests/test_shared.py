@@ -7,13 +7,16 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from mart_paths import SF_SMALL
+from ordermart import session
 from ordermart.config import RunConfig
 from ordermart.operators.bitsets import codes_of
 from ordermart.operators.joins import JoinSpec, enrich, meet
+from ordermart.operators.keyfilter import key_filter
 from ordermart.pipeline import TEST_CONFIG, shared_sources, test_sources
 from ordermart.plans import mart as M
 from ordermart.plans import orders as O
 from ordermart.plans import users as U
+from ordermart.queries import SPARK
 from ordermart.session import cut_lineage
 from ordermart.sources.adapters import build_roles, customer_months, shared_tables
 from ordermart.sources.spec import load_all
@@ -194,3 +197,33 @@ def test_whole_users_are_not_sliced(spark):
     assert _rows(plain) == _rows(split)
     plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
     assert plan(plain).count("Join") == plan(missions).count("Join") and plan(plain).count("Aggregate") == plan(missions).count("Aggregate")
+
+
+def test_tables_that_nothing_reads_any_more_are_deleted(spark):
+    """Of the tables a mart query writes, only those that its rows are read from stay."""
+    before = len(session._written)
+    rows = SPARK["week_start_day"](spark, SF_SMALL)
+    assert sorted(path.split("/ordermart-")[1].rsplit("-", 1)[0] for _, path in session._written[before:]) == ["fine", "matches", "orders"]
+    assert _rows(rows) == _rows(M.order_mart(test_sources(spark, SF_SMALL), TEST_CONFIG, columns=rows.columns))
+    seen = []  # a caller's own tables stay
+
+    def cut(df, name):
+        seen.append(cut_lineage(df, name))
+        return seen[-1]
+    M.order_mart(test_sources(spark, SF_SMALL), TEST_CONFIG, cut=cut, columns=["order_id"])
+    assert len(seen) > 3 and all(t.count() >= 0 for t in seen)
+
+
+def test_lookups_read_the_smallest_table(spark, monkeypatch):
+    """The categories of a user month are looked up in the lines as they are, the filter's keys in the orders."""
+    looked, keyed = [], []
+    monkeypatch.setattr(U, "codes_of", lambda df, *a: (looked.append(df._jdf.queryExecution().optimizedPlan().toString()), codes_of(df, *a))[1])
+    monkeypatch.setattr(M, "key_filter", lambda df, *a: (keyed.append(df.columns), key_filter(df, *a))[1])
+    src = test_sources(spark, SF_SMALL)
+    M.order_mart(src, TEST_CONFIG, columns=["order_id"])
+    assert len(looked) == 1 and "Join" not in looked[0]
+    assert keyed == [["join_order_id", "o1_join_user_id", "join_order_month"]]
+    lines = load_all(build_roles(_tables(spark)), CFG)["customer_orders_sku_level"]
+    few = lines.where("join_customer_id IN ('1', '3')")
+    want = _rows(U.user_monthly_orders(few))
+    assert want and all(_rows(U.user_monthly_orders(few, limit, lines)) == want for limit in (0, 1, 64))
