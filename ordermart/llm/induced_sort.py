@@ -8,7 +8,8 @@ a priority queue; downward, its S predecessor.  The queue holds tuples (symbol,
 prefix with the tuple before of that symbol).  As tuples arrive in their suffixes' order, those of
 one symbol stand in a file of their own in order of arrival, and the least symbol in use is handed out next.
 The common prefix of two successive tuples is one more than the least one handed out between their
-successors, up to ``cap``.
+successors, up to ``cap``.  Those of successive S* suffixes, from which these follow, are compared ``PACK``
+symbols at a time; so with a ``cap`` symbols have up to ``BITS`` bits.
 
 Everything of the text's length is on disk; memory holds a chunk of it, the tails of the queues and what
 ``memory`` allows for naming and for a sequence of names.
@@ -16,6 +17,7 @@ Everything of the text's length is on disk; memory holds a chunk of it, the tail
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import os
 import shutil
@@ -29,6 +31,9 @@ from ordermart.llm.decontaminate import suffix_order
 CHUNK = 1 << 20
 MEMORY = 1 << 22  # symbols named or sorted in memory
 TAIL = 1 << 16  # tuples of one symbol's queue before they go to its file
+BITS = 9  # of a symbol: a byte and the end
+PACK = 64 // BITS  # symbols compared at a time
+_LEAST = np.uint64(1) << np.arange(0, BITS * PACK, BITS, dtype=np.uint64)  # least differences of the last symbol, the one before it, ...
 
 
 class Folder:
@@ -221,7 +226,7 @@ def star_names(text: np.ndarray, types: np.ndarray, stars: np.ndarray, largest:
         new[0] = True
         slots, key, step = np.arange(len(own)), np.asarray(firsts[own]), 0
         while len(slots):
-            by = np.lexsort((key, group[slots]))
+            by = np.lexsort((key, group[slots])) if step else np.argsort(key, kind="stable")
             order[slots] = order[slots][by]
             key, g = key[by], group[slots][by]
             fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (g[1:] != g[:-1])])
@@ -240,37 +245,79 @@ def star_names(text: np.ndarray, types: np.ndarray, stars: np.ndarray, largest:
     return names
 
 
-def common_prefix(text: np.ndarray, ends: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of pairs of suffixes, within their strings, up to cap."""
-    room = np.minimum(np.minimum(ends[np.searchsorted(ends, a)] - a, ends[np.searchsorted(ends, b)] - b), cap)
+def packed(text: np.ndarray, folder: Folder) -> np.ndarray:
+    """For each place the ``PACK`` symbols from there in one number, the first one highest; 0 after the text's end."""
+    out = folder.array(np.uint64, len(text))
+    for begin in range(0, len(text), CHUNK):
+        n = min(CHUNK, len(text) - begin)
+        x = np.zeros(n + PACK - 1, np.uint64)
+        own = text[begin: begin + len(x)]
+        x[: len(own)] = own
+        words = x[:n]
+        for j in range(1, PACK):
+            words = (words << np.uint64(BITS)) | x[j: j + n]
+        out[begin: begin + n] = words
+    return out
+
+
+def common_prefix(words: np.ndarray, a: np.ndarray, b: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Common prefixes of pairs of suffixes of a packed text, up to ``room``."""
     out = np.zeros(len(a), np.int64)
     live = np.flatnonzero(room > 0)
+    done = 0
     while len(live):
-        x, y = a[live] + out[live], b[live] + out[live]
-        same = np.ones(len(live), bool)
-        for j in range(8):
-            same &= (out[live] < room[live])
-            p, q = np.minimum(x + j, len(text) - 1), np.minimum(y + j, len(text) - 1)
-            same &= text[p] == text[q]
-            out[live[same]] += 1
-        live = live[same]
+        differ = words[a[live] + done] ^ words[b[live] + done]
+        unequal = differ != 0
+        out[live[unequal]] = done + PACK - np.searchsorted(_LEAST, differ[unequal], "right")
+        live = live[~unequal]
+        done += PACK
+        out[live] = done
+        live = live[room[live] > done]
+    return np.minimum(out, room)
+
+
+def star_prefixes(text: np.ndarray, ends: np.ndarray, stars: np.ndarray, cap: int, folder: Folder) -> np.ndarray:
+    """Common prefixes of successive S* suffixes, within their strings, up to cap; 0 for the first."""
+    out, words = folder.array(np.uint16, len(stars)), packed(text, folder)
+    before, room = 0, 0
+    for begin in range(0, len(stars), CHUNK):
+        b = np.asarray(stars[begin: begin + CHUNK]).astype(np.int64)
+        left = np.minimum(ends[np.searchsorted(ends, b)] - b, cap)
+        out[begin: begin + CHUNK] = common_prefix(words, np.append(before, b[:-1]), b, np.minimum(np.append(room, left[:-1]), left))
+        before, room = b[-1], left[-1]
+    folder.drop(words)
     return out
 
 
-def induce(text, types, stars: np.ndarray, star_lcp, ends, cap: int, folder: Folder) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def predecessors(text: np.ndarray, types: np.ndarray, folder: Folder) -> np.ndarray:
+    """For each place twice the symbol before it, and 1 more if an S suffix begins there; 0 at the text's begin."""
+    out = folder.array(np.uint16 if text.dtype == np.uint16 else np.int64, len(text))
+    for begin in range(1, len(text), CHUNK):
+        own = slice(begin - 1, min(begin + CHUNK, len(text)) - 1)
+        out[begin: begin + CHUNK] = text[own].astype(out.dtype) * 2 + types[own]
+    return out
+
+
+def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """All suffixes that begin with no end, greatest first, in chunks of (position, common prefix with the one
     before), from the S* places in order."""
     place = places_of(len(text))
     up = PriorityQueue(folder, place, cap)
 
+    left = predecessors(text, types, folder)
+
     def hand_out(queue, at, lcp, c, want):
-        before = np.maximum(at - 1, 0)
-        fits = (at > 0) & (types[before] == want) & (text[before] > 0)
-        when = np.flatnonzero(fits)
-        queue.insert(lcp, text[before[when]].astype(np.int64), before[when], when, c)
+        own = left[at]
+        when = np.flatnonzero((own > 1) & ((own & 1) == want))
+        queue.insert(lcp, own[when] >> 1, at[when] - 1, when, c)
 
     def meeting(a, b):
-        return int(common_prefix(text, ends, np.array([a]), np.array([b]), cap)[0]) if cap else 0
+        if not cap:
+            return 0
+        x, y = (np.asarray(text[i: i + cap]) for i in (a, b))
+        n = min(len(x), len(y))
+        stops = np.flatnonzero((x[:n] != y[:n]) | (x[:n] == 0))
+        return int(stops[0]) if len(stops) else n
 
     done, n = 0, len(stars)
     while done < n or up.heap:
@@ -284,8 +331,8 @@ def induce(text, types, stars: np.ndarray, star_lcp, ends, cap: int, folder: Fol
         else:
             c = star
         while done < n and text[stars[done]] == c:
-            at = np.asarray(stars[done: done + CHUNK]).astype(np.int64)
-            at = at[: int(np.argmax(np.append(text[at] != c, True)))]
+            end = bisect.bisect_right(range(done, min(done + CHUNK, n)), c, key=lambda i: text[stars[i]])
+            at = np.asarray(stars[done: done + end]).astype(np.int64)
             lcp = np.array(star_lcp[done: done + len(at)]).astype(np.int64) if cap else np.zeros(len(at), np.int64)
             if last is not None:
                 lcp[0] = meeting(last, int(at[0]))
@@ -317,6 +364,7 @@ def induce(text, types, stars: np.ndarray, star_lcp, ends, cap: int, folder: Fol
                 hand_out(down, at, lcp, c, True)
                 yield at, lcp
             own.drop()
+    folder.drop(left)
 
 
 def sort_stars(text, types, largest: int, memory: int, folder: Folder) -> np.ndarray:
@@ -339,7 +387,7 @@ def sort_suffixes(text: np.ndarray, largest: int, memory: int, folder: Folder) -
     types = suffix_types(text, folder)
     out = folder.array(places_of(len(text)), len(text) - 1)
     end = len(out)
-    for at, _ in induce(text, types, sort_stars(text, types, largest, memory, folder), None, None, 0, folder):
+    for at, _ in induce(text, types, sort_stars(text, types, largest, memory, folder), None, 0, folder):
         out[end - len(at): end] = at[::-1]
         end -= len(at)
     folder.drop(types)
@@ -357,11 +405,4 @@ def sorted_suffixes(text: np.ndarray, cap: int, folder: Folder, memory: int = ME
             f.write((begin + np.flatnonzero(np.asarray(text[begin: begin + CHUNK]) == 0)).astype(np.int64).tobytes())
     ends = np.memmap(name, np.int64, "r")
     stars = sort_stars(text, types, 256, memory, folder)
-    lcp = folder.array(np.uint16, len(stars))
-    for begin in range(0, len(stars), CHUNK):
-        b = np.asarray(stars[begin: begin + CHUNK]).astype(np.int64)
-        a = np.concatenate([[stars[max(begin - 1, 0)]], b[:-1]])
-        lcp[begin: begin + CHUNK] = common_prefix(text, ends, a, b, cap)
-    if len(lcp):
-        lcp[0] = 0
-    yield from induce(text, types, stars, lcp, ends, cap, folder)
+    yield from induce(text, types, stars, star_prefixes(text, ends, stars, cap, folder), cap, folder)

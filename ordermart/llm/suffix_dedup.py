@@ -274,11 +274,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     parsed = cut_lineage(rows.mapInArrow(_parse(window), PARSED), "suffix-parsed", compression="zstd")
     flat_rows = parsed.select("_id", "_th", F.inline("anchors"))
     # Equal strings are counted on the map side before anything is shuffled by key, so a key that a third of the
-    # rows have is as many rows as it has different strings.
-    bodies = cut_lineage(flat_rows.groupBy("key", "body").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_th", "at", "n")).alias("one")),
+    # rows have is as many rows as it has different strings.  Any row of equal strings stands for all: the first one's
+    # columns, which always come from the same row and, unlike the least struct, need no sort.
+    place = ["_id", "_th", "at", "n"]
+    bodies = cut_lineage(flat_rows.groupBy("key", "body").agg(F.count("*").alias("c"), *(F.first(c).alias(c) for c in place)),
                          "suffix-bodies", compression="zstd")
     several = bodies.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key")
-    ask = cut_lineage(bodies.join(several, "key", "left_semi").select("key", "one.*", (F.col("c") == 1).alias("single")), "suffix-asked", compression="zstd")
+    ask = cut_lineage(bodies.join(several, "key", "left_semi").select("key", *place, (F.col("c") == 1).alias("single")), "suffix-asked", compression="zstd")
     known = cut_lineage(bodies.filter("c > 1").select("key", "body"), "suffix-known", compression="zstd")
     drop_cut(bodies)
     whole = cut_lineage(flat_rows.join(known, ["key", "body"], "left_semi").select("_id", "_th", "at", "n"), "suffix-whole", compression="zstd")

@@ -133,6 +133,43 @@ def test_induced_sort(monkeypatch, chunk, tail, memory):
         assert (at, lcp) == plain_order(parts, 10)
 
 
+def test_induced_sort_compares_several_symbols_at_a_time():
+    """Places of the text read one by one, for suffixes that share up to 200 symbols with their neighbours."""
+    read = [0]
+
+    class Counted(np.ndarray):
+        def __getitem__(self, i):
+            read[0] += i.size if isinstance(i, np.ndarray) else 0
+            return super().__getitem__(i)
+
+    rng = random.Random(4)
+    passage = [rng.randrange(1, 257) for _ in range(400)]
+    parts = [x for _ in range(40) for x in [*passage, rng.randrange(1, 257), 0]]
+    with induced_sort.Folder() as folder:
+        text = np.array(parts, np.uint16).view(Counted)
+        got = list(induced_sort.sorted_suffixes(text, 200, folder))
+    at, lcp = (np.concatenate(x).tolist() for x in zip(*got, strict=True))
+    assert sum(lcp) > 100 * len(parts)
+    assert read[0] < 20 * len(parts)
+    assert (at, lcp) == plain_order(parts, 200)
+
+
+def test_suffix_dedup_counts_equal_strings_without_a_sort(spark, monkeypatch):
+    plans = {}
+
+    def cut(df, name, **options):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return cut_lineage(df, name, **options)
+    monkeypatch.setattr(suffix_dedup, "cut_lineage", cut)
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(120))
+    docs = spark.createDataFrame([(0, text), (1, text + " more"), (1, text), (None, text[50:]), (3, "other")], "doc_id long, text string")
+    data = [r.text.encode() for r in docs.collect()]
+    got = suffix_dedup.remove_repeats(docs).collect()
+    same([(r.doc_id, r.n_removed) for r in got], [(i, sum(hit)) for i, hit in zip([0, 1, 1, None, 3], covered(data, 200), strict=True)])
+    assert "SortAggregate" not in plans["suffix-bodies"]
+
+
 def linked_components(corpus):
     sets = []
     for _, t in corpus:
