@@ -304,7 +304,8 @@ def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -
     place = places_of(len(text))
     up = PriorityQueue(folder, place, cap)
 
-    left = predecessors(text, types, folder)
+    scratch = predecessors(text, types, folder)
+    left, text, stars = np.asarray(scratch), np.asarray(text), np.asarray(stars)  # a memmap's own indexing is slow for single places
 
     def hand_out(queue, at, lcp, c, want):
         own = left[at]
@@ -314,7 +315,7 @@ def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -
     def meeting(a, b):
         if not cap:
             return 0
-        x, y = (np.asarray(text[i: i + cap]) for i in (a, b))
+        x, y = text[a: a + cap], text[b: b + cap]
         n = min(len(x), len(y))
         stops = np.flatnonzero((x[:n] != y[:n]) | (x[:n] == 0))
         return int(stops[0]) if len(stops) else n
@@ -332,7 +333,7 @@ def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -
             c = star
         while done < n and text[stars[done]] == c:
             end = bisect.bisect_right(range(done, min(done + CHUNK, n)), c, key=lambda i: text[stars[i]])
-            at = np.asarray(stars[done: done + end]).astype(np.int64)
+            at = stars[done: done + end].astype(np.int64)
             lcp = np.array(star_lcp[done: done + len(at)]).astype(np.int64) if cap else np.zeros(len(at), np.int64)
             if last is not None:
                 lcp[0] = meeting(last, int(at[0]))
@@ -364,7 +365,7 @@ def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -
                 hand_out(down, at, lcp, c, True)
                 yield at, lcp
             own.drop()
-    folder.drop(left)
+    folder.drop(scratch)
 
 
 def sort_stars(text, types, largest: int, memory: int, folder: Folder) -> np.ndarray:

@@ -133,27 +133,45 @@ def test_induced_sort(monkeypatch, chunk, tail, memory):
         assert (at, lcp) == plain_order(parts, 10)
 
 
-def test_induced_sort_compares_several_symbols_at_a_time():
-    """Places of the text read one by one, for suffixes that share up to 200 symbols with their neighbours."""
-    read = [0]
+class Counted(np.ndarray):
+    """An array that counts the places it is read at by arrays of places."""
+
+    def __array_finalize__(self, other):
+        self.read = getattr(other, "read", None)
 
-    class Counted(np.ndarray):
-        def __getitem__(self, i):
-            read[0] += i.size if isinstance(i, np.ndarray) else 0
-            return super().__getitem__(i)
+    def __getitem__(self, i):
+        if isinstance(i, np.ndarray):
+            self.read[0] += i.size
+        return super().__getitem__(i)
 
+
+def test_induced_sort_compares_several_symbols_at_a_time():
+    """Places of the text read one by one, for suffixes that share up to 200 symbols with their neighbours."""
     rng = random.Random(4)
     passage = [rng.randrange(1, 257) for _ in range(400)]
     parts = [x for _ in range(40) for x in [*passage, rng.randrange(1, 257), 0]]
     with induced_sort.Folder() as folder:
         text = np.array(parts, np.uint16).view(Counted)
+        text.read = [0]
         got = list(induced_sort.sorted_suffixes(text, 200, folder))
     at, lcp = (np.concatenate(x).tolist() for x in zip(*got, strict=True))
     assert sum(lcp) > 100 * len(parts)
-    assert read[0] < 20 * len(parts)
+    assert text.read[0] < 20 * len(parts)
     assert (at, lcp) == plain_order(parts, 200)
 
 
+@pytest.mark.parametrize("memory", [1 << 20, 300])
+def test_induced_sort_of_names_reads_each_place_a_few_times(memory):
+    """A sequence of names too long for memory has almost as many symbols as places: no symbol may look at all that are left."""
+    names = random.Random(5).sample(range(1, 8001), 8000)
+    with induced_sort.Folder() as folder:
+        text = np.array([*names, 0], np.int32).view(Counted)
+        text.read = [0]
+        order = induced_sort.sort_suffixes(text, 8000, memory, folder).tolist()
+    assert order == sorted(range(len(names)), key=names.__getitem__)
+    assert text.read[0] < 30 * len(names)
+
+
 def test_suffix_dedup_counts_equal_strings_without_a_sort(spark, monkeypatch):
     plans = {}
 
