@@ -2,14 +2,14 @@
 
 The text is a file of symbols in which 0 ends each string; equal ends count as different, the earlier one
 being smaller.  S* suffixes (an S suffix after an L suffix) are sorted by naming the substrings between
-them and sorting the sequence of names: in memory if it fits, else by this same procedure.  From
+them and sorting the sequence of names: in memory if it fits, else by the same induction into slots of one file.  From
 their order two sweeps induce all others: upward, every suffix handed out puts its L predecessor into
 a priority queue; downward, its S predecessor.  The queue holds tuples (symbol, position, common
 prefix with the tuple before of that symbol).  As tuples arrive in their suffixes' order, those of
 one symbol stand in a file of their own in order of arrival, and the least symbol in use is handed out next.
 The common prefix of two successive tuples is one more than the least one handed out between their
 successors, up to ``cap``.  Those of successive S* suffixes, from which these follow, are compared ``PACK``
-symbols at a time; so with a ``cap`` symbols have up to ``BITS`` bits.
+symbols at a time; so the text's symbols have up to ``BITS`` bits.
 
 Everything of the text's length is on disk; memory holds a chunk of it, the tails of the queues and what
 ``memory`` allows for naming and for a sequence of names.
@@ -119,14 +119,13 @@ class Tuples:
 
 
 class PriorityQueue:
-    """Tuples by symbol, least (or greatest) symbol first.  With a cap, symbols are below 2**16 and common
-    prefixes are kept; without, they are all 0."""
+    """Tuples by symbol, least (or greatest) symbol first."""
 
     def __init__(self, folder: Folder, place, cap: int, descending: bool = False):
         self.folder, self.place, self.cap, self.sign = folder, place, cap, -1 if descending else 1
         self.of: dict[int, Tuples] = {}
         self.heap: list[int] = []
-        self.least = np.full(1 << 16 if cap else 0, cap, np.int64)  # handed out since a symbol's last tuple
+        self.least = np.full(1 << 16, cap, np.int64)  # handed out since a symbol's last tuple
 
     def next_symbol(self) -> int | None:
         return self.sign * self.heap[0] if self.heap else None
@@ -147,16 +146,14 @@ class PriorityQueue:
                 self.of[c] = Tuples(self.folder, self.place)
                 if c != current:
                     heapq.heappush(self.heap, self.sign * c)
-            lcp = np.zeros(b - a, np.int64)
-            if self.cap:
-                own = when[a:b]
-                lcp = np.minimum.reduceat(handed[: own[-1] + 1], np.concatenate([[0], own[:-1] + 1]))
-                lcp[0] = -1 if new else min(lcp[0], self.least[c])
-                lcp = np.minimum(lcp + 1, self.cap)
-                tail = handed[own[-1] + 1:]
-                rest.append((c, int(tail.min()) if len(tail) else self.cap))
+            own = when[a:b]
+            lcp = np.minimum.reduceat(handed[: own[-1] + 1], np.concatenate([[0], own[:-1] + 1]))
+            lcp[0] = -1 if new else min(lcp[0], self.least[c])
+            lcp = np.minimum(lcp + 1, self.cap)
+            tail = handed[own[-1] + 1:]
+            rest.append((c, int(tail.min()) if len(tail) else self.cap))
             self.of[c].add(at[a:b], lcp)
-        if self.cap and len(handed):
+        if len(handed):
             np.minimum(self.least, handed.min(), out=self.least)
             for c, low in rest:
                 self.least[c] = low
@@ -313,8 +310,6 @@ def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -
         queue.insert(lcp, own[when] >> 1, at[when] - 1, when, c)
 
     def meeting(a, b):
-        if not cap:
-            return 0
         x, y = text[a: a + cap], text[b: b + cap]
         n = min(len(x), len(y))
         stops = np.flatnonzero((x[:n] != y[:n]) | (x[:n] == 0))
@@ -334,7 +329,7 @@ def induce(text, types, stars: np.ndarray, star_lcp, cap: int, folder: Folder) -
         while done < n and text[stars[done]] == c:
             end = bisect.bisect_right(range(done, min(done + CHUNK, n)), c, key=lambda i: text[stars[i]])
             at = stars[done: done + end].astype(np.int64)
-            lcp = np.array(star_lcp[done: done + len(at)]).astype(np.int64) if cap else np.zeros(len(at), np.int64)
+            lcp = np.array(star_lcp[done: done + len(at)]).astype(np.int64)
             if last is not None:
                 lcp[0] = meeting(last, int(at[0]))
                 last = None
@@ -383,18 +378,68 @@ def sort_stars(text, types, largest: int, memory: int, folder: Folder) -> np.nda
     return out
 
 
-def sort_suffixes(text: np.ndarray, largest: int, memory: int, folder: Folder) -> np.ndarray:
-    """Suffix order of a text with one end, its last symbol, without that."""
-    types = suffix_types(text, folder)
-    out = folder.array(places_of(len(text)), len(text) - 1)
-    end = len(out)
-    for at, _ in induce(text, types, sort_stars(text, types, largest, memory, folder), None, 0, folder):
-        out[end - len(at): end] = at[::-1]
-        end -= len(at)
-    folder.drop(types)
+def bucket_starts(text: np.ndarray, largest: int, folder: Folder) -> np.ndarray:
+    """Where each symbol's suffixes begin in the order of all, and the length of the text."""
+    out = folder.array(np.int64, largest + 2)
+    for begin in range(0, len(text), CHUNK):
+        values, counts = np.unique(text[begin: begin + CHUNK], return_counts=True)
+        out[values.astype(np.int64) + 1] += counts
+    np.cumsum(out, out=out)
     return out
 
 
+def sort_suffixes(text: np.ndarray, largest: int, memory: int, folder: Folder) -> np.ndarray:
+    """Suffix order of a text with one end, its last symbol, without that.  With about as many symbols as places a queue
+    for each would be mostly queues; here the symbols' queues are consecutive slots of one file, and the slots handed
+    out together are as many as none of them induces."""
+    types, n = suffix_types(text, folder), len(text)
+    stars, left = sort_stars(text, types, largest, memory, folder), predecessors(text, types, folder)
+    starts = bucket_starts(text, largest, folder)
+    heads, tails = folder.array(np.int64, largest + 1), folder.array(np.int64, largest + 1)
+    heads[:], tails[:] = starts[:-1], starts[1:]
+    out = folder.array(places_of(n), n)
+    for begin in range(0, n, CHUNK):
+        out[begin: begin + CHUNK] = -1
+    for end in range(len(stars), 0, -CHUNK):  # S* suffixes are the last ones of their symbols for now
+        at = np.asarray(stars[max(0, end - CHUNK): end])[::-1]
+        insert_slots(text[at], tails, out, at, -1)
+    tails[:] = starts[1:]
+    for ends, step, want in ((heads, 1, 0), (tails, -1, 1)):
+        done, size = 0, 1 << 10
+        while done < n:
+            slots = np.arange(done, min(done + size, n)) if step > 0 else np.arange(n - 1 - done, max(n - 1 - done - size, -1), -1)
+            at = out[slots].astype(np.int64)
+            own = left[np.maximum(at, 0)]
+            when = np.flatnonzero((at >= 0) & (own > 1) & ((own & 1) == want))
+            ready = insert_slots(own[when] >> 1, ends, out, at[when] - 1, step, slots, when)
+            done, size = done + ready, min(CHUNK, max(1 << 10, 2 * ready))
+    folder.drop(types, stars, left, starts, heads, tails)
+    return out[1:]
+
+
+def insert_slots(symbols, ends, out, at, step: int, slots=None, when=None) -> int:
+    """Put places into the next slots of their symbols, up (1) or down (-1).  If they come from the places at ``when`` of
+    ``slots``, only those before the first slot that one of them fills; returns how many slots that are."""
+    ready = len(slots) if slots is not None else len(at)
+    if len(at):
+        symbols = symbols.astype(np.int64)
+        order = np.argsort(symbols, kind="stable")
+        s = symbols[order]
+        head = np.concatenate([[True], s[1:] != s[:-1]])
+        i = np.arange(len(s))
+        to = np.empty(len(s), np.int64)
+        to[order] = np.asarray(ends[s]) + (0 if step > 0 else -1) + step * (i - np.maximum.accumulate(np.where(head, i, 0)))
+        n = len(at)
+        if slots is not None:
+            first = np.minimum.accumulate(step * (to - slots[0]))  # of the slots filled so far, counted from the first one handed out
+            late = np.flatnonzero(when[1:] >= first[:-1])
+            n = int(late[0]) + 1 if len(late) else n
+            ready = min(ready, int(first[n - 1]))
+        out[to[:n]] = at[:n]
+        ends[symbols[:n]] = to[:n] + (1 if step > 0 else 0)  # of equal symbols the last one counts
+    return ready
+
+
 def sorted_suffixes(text: np.ndarray, cap: int, folder: Folder, memory: int = MEMORY) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Suffixes of a file of strings, greatest first: chunks of (position, common prefix with the one before)."""
     if not len(text):

@@ -188,6 +188,18 @@ def test_suffix_dedup_counts_equal_strings_without_a_sort(spark, monkeypatch):
     assert "SortAggregate" not in plans["suffix-bodies"]
 
 
+@pytest.mark.parametrize("chunk", [3, 64, 1 << 20])
+def test_sort_suffixes_in_slots(monkeypatch, chunk):
+    monkeypatch.setattr(induced_sort, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    for _ in range(40):
+        a = rng.choice([1, 2, 3, 200])
+        names = [rng.randrange(1, a + 1) for _ in range(rng.randrange(1, 200))] * rng.choice([1, 1, 3])
+        with induced_sort.Folder() as folder:
+            got = induced_sort.sort_suffixes(np.array([*names, 0], np.int32), max(names), rng.choice([2, 20, 1000]), folder).tolist()
+        assert got == sorted(range(len(names)), key=lambda i: [*names[i:], 0])
+
+
 def linked_components(corpus):
     sets = []
     for _, t in corpus:
